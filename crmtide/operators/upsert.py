@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,13 +39,15 @@ def merge_rows(target: DataFrame, source: DataFrame, keys: Sequence[str], guard:
     return kept.select(*target.columns).unionByName(applied)
 
 
-def _read_target(source: DataFrame, path: str) -> DataFrame | None:
-    try:
-        return source.sparkSession.read.schema(source.schema).parquet(path).select(*source.columns)
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" in str(e):
-            return None
-        raise
+def create_curated(path: str, like: DataFrame, partition_col: str) -> None:
+    """Create the empty partitioned table at ``path`` unless it is there already."""
+    empty = like.sparkSession.createDataFrame([], like.schema)
+    empty.write.mode("ignore").partitionBy(partition_col).parquet(path)
+
+
+def read_curated(path: str, like: DataFrame) -> DataFrame:
+    """The table with its declared types, partition column included."""
+    return like.sparkSession.read.schema(like.schema).parquet(path).select(*like.columns)
 
 
 def touched_partitions(target: DataFrame, source: DataFrame, partition_col: str) -> DataFrame:
@@ -72,10 +73,9 @@ def upsert(
     """
     if partition_col not in keys:
         raise ValueError("partition_col must be one of the keys")
-    target = _read_target(source, path)
-    merged = source
-    if target is not None:
-        merged = merge_rows(touched_partitions(target, source, partition_col), source, keys, guard)
+    create_curated(path, source, partition_col)
+    target = touched_partitions(read_curated(path, source), source, partition_col)
+    merged = merge_rows(target, source, keys, guard)
     (
         clustered(merged, [partition_col])
         .write.mode("overwrite")

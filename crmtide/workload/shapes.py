@@ -100,7 +100,7 @@ def record_modules(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
         record_name=F.col("c_name"),
         employee_band=F.when(F.col("c_acctbal") > 5000, "large").otherwise("small"),
         annual_revenue_usd=F.floor(F.col("c_acctbal") * 100).cast("bigint"),
-        health_score=F.col("c_acctbal") / 100,
+        health_score=F.col("c_acctbal") / 97,
     )
     leads = _record(
         supplier, "s_suppkey", "lead_", "LEADS",
@@ -108,7 +108,7 @@ def record_modules(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
         resolved_stage_value=F.lit("NEW"),
         record_name=F.col("s_name"),
         lead_source=_text("source_", F.col("s_suppkey") % 5),
-        lead_score_hint=F.col("s_acctbal") / 100,
+        lead_score_hint=F.col("s_acctbal") / 97,
     )
     opportunities = _record(
         orders, "o_orderkey", "opp_", "OPPORTUNITIES",
