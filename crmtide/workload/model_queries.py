@@ -16,12 +16,19 @@ from crmtide.sources.bronze import read_bronze, typed_bronze
 from crmtide.workload import shapes, stages
 
 
-def _stg(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    return (
-        staging.stg_records(shapes.records(spark, d)),
-        staging.stg_activity(shapes.activity(spark, d)),
-        staging.stg_kpi(shapes.kpi(spark, d)),
-    )
+@shapes.planned_once
+def _records(spark: SparkSession, d: str) -> DataFrame:
+    return staging.stg_records(shapes.records(spark, d))
+
+
+@shapes.planned_once
+def _activity(spark: SparkSession, d: str) -> DataFrame:
+    return staging.stg_activity(shapes.activity(spark, d))
+
+
+@shapes.planned_once
+def _kpi(spark: SparkSession, d: str) -> DataFrame:
+    return staging.stg_kpi(shapes.kpi(spark, d))
 
 
 def _rounded(df: DataFrame, **digits: int) -> DataFrame:
@@ -39,15 +46,15 @@ def _variant_text(df: DataFrame) -> DataFrame:
 
 
 def p7_stg_records(spark: SparkSession, d: str) -> DataFrame:
-    return _variant_text(_stg(spark, d)[0])
+    return _variant_text(_records(spark, d))
 
 
 def p8_stg_activity(spark: SparkSession, d: str) -> DataFrame:
-    return _variant_text(_stg(spark, d)[1])
+    return _variant_text(_activity(spark, d))
 
 
 def p9_stg_kpi(spark: SparkSession, d: str) -> DataFrame:
-    return _stg(spark, d)[2]
+    return _kpi(spark, d)
 
 
 def p10_variant_get(spark: SparkSession, d: str) -> DataFrame:
@@ -84,13 +91,13 @@ def j1_record_activity_or(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _joined(spark: SparkSession, d: str, by_module: bool) -> DataFrame:
-    records, activity, _ = _stg(spark, d)
+    records, activity = _records(spark, d), _activity(spark, d)
     rows = marts.record_daily_activity(records, activity, by_module=by_module)
     return rows.select("organization_id", "module_key", "record_id", "record_date", *rollups.ROLLUP_MEASURES)
 
 
 def j2_kpi_records(spark: SparkSession, d: str) -> DataFrame:
-    records, activity, kpi = _stg(spark, d)
+    records, activity, kpi = _records(spark, d), _activity(spark, d), _kpi(spark, d)
     daily = marts.record_daily_activity(records, activity).select(
         "organization_id", "record_date", "module_key", "record_id", "total_activities"
     )
@@ -103,26 +110,26 @@ def j4_tenant_dim(spark: SparkSession, d: str) -> DataFrame:
 
 
 def a1_activity_rollup(spark: SparkSession, d: str) -> DataFrame:
-    return rollups.activity_rollup(_stg(spark, d)[1])
+    return rollups.activity_rollup(_activity(spark, d))
 
 
 def m1_record_daily_activity(spark: SparkSession, d: str) -> DataFrame:
-    records, activity, _ = _stg(spark, d)
+    records, activity = _records(spark, d), _activity(spark, d)
     return marts.record_daily_activity(records, activity)
 
 
 def m1_record_daily_activity_dedup(spark: SparkSession, d: str) -> DataFrame:
-    records, activity, _ = _stg(spark, d)
+    records, activity = _records(spark, d), _activity(spark, d)
     return marts.record_daily_activity(records, activity, dedup_grain=True)
 
 
 def m2_scorecard(spark: SparkSession, d: str) -> DataFrame:
-    records, activity, kpi = _stg(spark, d)
+    records, activity, kpi = _records(spark, d), _activity(spark, d), _kpi(spark, d)
     return _scorecard_out(marts.daily_scorecard_weighted(kpi, records, activity))
 
 
 def m2_scorecard_plain(spark: SparkSession, d: str) -> DataFrame:
-    records, activity, kpi = _stg(spark, d)
+    records, activity, kpi = _records(spark, d), _activity(spark, d), _kpi(spark, d)
     return _scorecard_out(marts.daily_scorecard(kpi, marts.record_daily_activity(records, activity)))
 
 
@@ -132,7 +139,7 @@ def m3_pipeline_health(spark: SparkSession, d: str) -> DataFrame:
 
 
 def m4_module_snapshot(spark: SparkSession, d: str) -> DataFrame:
-    snapshot = rollups.module_snapshot(_stg(spark, d)[0])
+    snapshot = rollups.module_snapshot(_records(spark, d))
     return _rounded(snapshot, avg_health_score=6, avg_lead_score_hint=6, total_amount_usd=2)
 
 
