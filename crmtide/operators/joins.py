@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from crmtide.operators.skew import HOT_ROWS, hot_keys, is_hot
+
 RECORD_KEYS = ["organization_id", "module_key", "record_id", "record_date"]
 # Modules whose records take part in activity matching, with the id they match on.
 MATCHED_MODULES = {"ACCOUNTS": "account_id", "LEADS": "lead_id"}
@@ -18,29 +20,39 @@ def fanout_left_join(
     right: DataFrame,
     left_keys: Sequence[str],
     right_keys: Sequence[str],
+    hot: Sequence[int] | None = None,
     key_source: DataFrame | None = None,
 ) -> DataFrame:
-    """``left LEFT JOIN right`` on key equality, as inner join plus anti join.
-
-    Spark's runtime skew handling can split only the preserved side of an outer
-    join, but both sides of an inner one, so a key that is hot on the right
-    still spreads over many tasks. The anti join needs just the distinct right
-    keys (combined map-side); both joins read the same shuffle of ``left``.
-    ``key_source`` may name a cheaper frame that holds the same distinct keys.
-    The right key columns are not part of the result.
+    """``left LEFT JOIN right`` on key equality; right key columns are not kept.
+
+    Spark's runtime skew handling splits only the preserved side of an outer
+    join, but both sides of an inner one. Keys that are hot on the right are
+    therefore joined as inner join plus anti join against the distinct right
+    keys (combined map-side), all others as a plain left join. ``hot`` lists the
+    key hashes to treat that way; None treats every key as hot. Either way of
+    joining is exact, whatever the list holds. ``key_source`` may name a cheaper
+    frame with the same distinct keys as ``right``.
     """
     names = [f"_right_{k}" for k in right_keys]
-
-    def keys_only(df: DataFrame) -> DataFrame:
-        return df.select(*[F.col(k).alias(n) for k, n in zip(right_keys, names)]).distinct()
-
-    def matches() -> Column:
-        return reduce(Column.__and__, [F.col(k) == F.col(n) for k, n in zip(left_keys, names)])
-
-    renamed = right.withColumnsRenamed(dict(zip(right_keys, names)))
-    matched = left.join(renamed, matches(), "inner").drop(*names)
-    unmatched = left.join(keys_only(right if key_source is None else key_source), matches(), "left_anti")
-    return matched.unionByName(unmatched, allowMissingColumns=True)
+    for a, b in zip(left_keys, right_keys):
+        if left.schema[a].dataType != right.schema[b].dataType:
+            raise ValueError(f"join keys {a} and {b} differ in type, so their hashes would not agree")
+    right_keys_only = right if key_source is None else key_source
+    right = right.withColumnsRenamed(dict(zip(right_keys, names)))
+    right_keys_only = right_keys_only.select(*[F.col(k).alias(n) for k, n in zip(right_keys, names)])
+    matches = reduce(Column.__and__, [F.col(k) == F.col(n) for k, n in zip(left_keys, names)])
+
+    def split(a: DataFrame, b: DataFrame, keys: DataFrame) -> DataFrame:
+        matched = a.join(b, matches, "inner").drop(*names)
+        return matched.unionByName(a.join(keys.distinct(), matches, "left_anti"), allowMissingColumns=True)
+
+    if hot is None:
+        return split(left, right, right_keys_only)
+    if not hot:
+        return left.join(right, matches, "left").drop(*names)
+    left_hot, right_hot = is_hot(left_keys, hot), is_hot(names, hot)
+    cold = left.filter(~left_hot).join(right.filter(~right_hot), matches, "left").drop(*names)
+    return cold.unionByName(split(left.filter(left_hot), right.filter(right_hot), right_keys_only.filter(right_hot)))
 
 
 def by_record(activity: DataFrame) -> DataFrame:
@@ -58,19 +70,22 @@ def split_matchable(records: DataFrame) -> tuple[DataFrame, DataFrame]:
     return records.filter(matchable), records.filter(~matchable)
 
 
-def join_record_activity(records: DataFrame, rollup: DataFrame, activity: DataFrame | None = None) -> DataFrame:
+def hot_records(activity: DataFrame, min_rows: int = HOT_ROWS) -> list[int]:
+    """Records with so many activities on one day that their rollup may not fit a task."""
+    rows = by_record(activity.select("organization_id", "activity_date", *MATCHED_MODULES.values()))
+    return hot_keys(rows, ["organization_id", "module_key", "record_id", "activity_date"], min_rows)
+
+
+def join_record_activity(records: DataFrame, rollup: DataFrame, hot: Sequence[int] | None = None) -> DataFrame:
     """Records LEFT JOIN rollup, the module deciding which id has to match.
 
     The either/or condition becomes plain equality on (tenant, module, record,
     day) by unpivoting the rollup. Other modules never match: they skip the
-    join and its shuffle.
+    join and its shuffle. ``hot`` comes from ``hot_records``.
     """
     matchable, others = split_matchable(records)
     right_keys = ["organization_id", "module_key", "record_id", "activity_date"]
-    keys = None
-    if activity is not None:
-        keys = by_record(activity.select("organization_id", "activity_date", *MATCHED_MODULES.values()))
-    joined = fanout_left_join(matchable, by_record(rollup), RECORD_KEYS, right_keys, key_source=keys)
+    joined = fanout_left_join(matchable, by_record(rollup), RECORD_KEYS, right_keys, hot)
     return joined.unionByName(others, allowMissingColumns=True)
 
 
@@ -91,9 +106,14 @@ def join_record_activity_by_module(records: DataFrame, rollup: DataFrame) -> Dat
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
-def join_kpi_records(kpi: DataFrame, record_daily: DataFrame) -> DataFrame:
-    """KPI days LEFT JOIN record-days of the same tenant and day."""
+def join_kpi_records(kpi: DataFrame, record_daily: DataFrame, day_source: DataFrame | None = None) -> DataFrame:
+    """KPI days LEFT JOIN record-days of the same tenant and day.
+
+    Every tenant-day holds many records, so every key counts as hot.
+    ``day_source`` may name a cheaper frame with the same tenant-days.
+    """
     shared = [c for c in record_daily.columns if c in kpi.columns and c != "organization_id"]
+    keys = ["organization_id", "record_date"]
     return fanout_left_join(
-        kpi, record_daily.drop(*shared), ["organization_id", "kpi_date"], ["organization_id", "record_date"]
+        kpi, record_daily.drop(*shared), ["organization_id", "kpi_date"], keys, key_source=day_source
     )

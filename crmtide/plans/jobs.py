@@ -16,6 +16,7 @@ from crmtide.functions.columns import (
     with_stamp,
     with_time_parts,
 )
+from crmtide.operators.joins import hot_records
 from crmtide.operators.latest import latest_per_key
 from crmtide.operators.validate import split_valid
 from crmtide.plans.marts import build_marts
@@ -101,7 +102,8 @@ def load_silver_landing(
 
 def build_project(spark: SparkSession, landing: Mapping[str, str], database: str) -> dict[str, DataFrame]:
     """Staging and intermediate models as views, marts as documented tables."""
-    models = build_marts(*[spark.table(landing[n]) for n in ("records", "activity", "kpi")])
+    records, activity, kpi = (spark.table(landing[n]) for n in ("records", "activity", "kpi"))
+    models = build_marts(records, activity, kpi, hot_records(activity))
     for name, df in models.items():
         if name in ("pipeline_health", "module_snapshot"):
             tables.materialize(df, f"{database}.{name}", S.MODEL_DOCS[name])

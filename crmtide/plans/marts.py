@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,17 +33,27 @@ KPI_COLUMNS = [
 HEALTHY_COVERAGE, HEALTHY_CONVERSION, WATCH_COVERAGE = 1.10, 0.45, 0.85
 
 
+def record_days(records: DataFrame) -> DataFrame:
+    return records.select(
+        *RECORD_COLUMNS, F.col("cdc_timestamp").cast("date").alias("record_date"), *RECORD_MEASURES
+    )
+
+
 def record_daily_activity(
-    records: DataFrame, activity: DataFrame, dedup_grain: bool = False, by_module: bool = False
+    records: DataFrame,
+    activity: DataFrame,
+    dedup_grain: bool = False,
+    by_module: bool = False,
+    hot: Sequence[int] | None = None,
 ) -> DataFrame:
     """Records with the activity volume of their change day.
 
     A record appears once per (account, lead) pair active on that day.
     ``dedup_grain`` adds those pairs up, giving one row per record version.
+    ``hot`` comes from ``joins.hot_records``; without it every key is joined the
+    way hot ones are, which is as exact but shuffles more.
     """
-    days = records.select(
-        *RECORD_COLUMNS, F.col("cdc_timestamp").cast("date").alias("record_date"), *RECORD_MEASURES
-    )
+    days = record_days(records)
     if dedup_grain:
         per_record = rollups.rollup_per_record(activity).withColumnRenamed("activity_date", "record_date")
         matchable, others = split_matchable(days)
@@ -49,7 +61,7 @@ def record_daily_activity(
     elif by_module:
         joined = join_record_activity_by_module(days, rollups.activity_rollup(activity))
     else:
-        joined = join_record_activity(days, rollups.activity_rollup(activity), activity)
+        joined = join_record_activity(days, rollups.activity_rollup(activity), hot)
     return joined.select(
         *RECORD_COLUMNS,
         "record_date",
@@ -58,8 +70,8 @@ def record_daily_activity(
     )
 
 
-def daily_scorecard(kpi: DataFrame, record_daily: DataFrame) -> DataFrame:
-    """Tenant-day scorecard from materialised record-days."""
+def daily_scorecard(kpi: DataFrame, record_daily: DataFrame, day_source: DataFrame | None = None) -> DataFrame:
+    """Tenant-day scorecard from record-days, best from their materialised table."""
 
     def seen(module: str) -> Column:
         return F.count_if(F.col("module_key") == module)
@@ -67,6 +79,7 @@ def daily_scorecard(kpi: DataFrame, record_daily: DataFrame) -> DataFrame:
     joined = join_kpi_records(
         kpi.select(*KPI_COLUMNS),
         record_daily.select("organization_id", "record_date", "module_key", "total_activities", *RECORD_MEASURES),
+        day_source,
     )
     return joined.groupBy(*KPI_COLUMNS).agg(
         seen("LEADS").alias("lead_records_seen"),
@@ -83,7 +96,12 @@ def daily_scorecard_weighted(kpi: DataFrame, records: DataFrame, activity: DataF
     """The same scorecard with records combined per tenant-day before the KPI join.
 
     Equal KPI rows merge into one group whose joined rows count once per copy.
+    Days outside the KPI window cannot reach the result and are not read.
     """
+    first, last = (kpi.select(f("kpi_date")).scalar() for f in (F.min, F.max))
+    changed = F.col("cdc_timestamp").cast("date")
+    records = records.filter(changed.between(first, last))
+    activity = activity.filter(F.col("activity_date").between(first, last))
     totals = rollups.record_day_totals(records, activity).withColumnRenamed("record_date", "kpi_date")
     days = kpi.groupBy(*KPI_COLUMNS).agg(F.count("*").alias("kpi_copies"))
 
@@ -117,7 +135,9 @@ def pipeline_health(scorecard: DataFrame) -> DataFrame:
     return scorecard.withColumn("pipeline_health_status", status)
 
 
-def build_marts(raw_records: DataFrame, raw_activity: DataFrame, raw_kpi: DataFrame) -> dict[str, DataFrame]:
+def build_marts(
+    raw_records: DataFrame, raw_activity: DataFrame, raw_kpi: DataFrame, hot: Sequence[int] | None = None
+) -> dict[str, DataFrame]:
     """Every model of the project, lazily: each mart is one plan, run at its write."""
     records = staging.stg_records(raw_records)
     activity = staging.stg_activity(raw_activity)
@@ -127,7 +147,7 @@ def build_marts(raw_records: DataFrame, raw_activity: DataFrame, raw_kpi: DataFr
         "stg_records": records,
         "stg_activity": activity,
         "stg_kpi": kpi,
-        "record_daily_activity": record_daily_activity(records, activity),
+        "record_daily_activity": record_daily_activity(records, activity, hot=hot),
         "daily_scorecard": scorecard,
         "pipeline_health": pipeline_health(scorecard),
         "module_snapshot": rollups.module_snapshot(records),

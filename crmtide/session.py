@@ -15,6 +15,8 @@ def build_session(app_name: str = "crmtide", master: str | None = None, **conf:
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+        # Hash instead of sort-merge where every shuffled partition is seen to be small.
+        "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
         "spark.sql.parquet.compression.codec": "snappy",
     }
     settings.update({k.replace("__", "."): v for k, v in conf.items()})

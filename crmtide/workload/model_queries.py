@@ -82,6 +82,10 @@ def p15_extras_schema(spark: SparkSession, d: str) -> DataFrame:
     return documents.groupBy("organization_id").agg(F.schema_of_variant_agg("doc").alias("extras_schema"))
 
 
+def _hot(spark: SparkSession, d: str) -> list[int]:
+    return joins.hot_records(shapes.activity(spark, d))
+
+
 def j1_record_activity_equi(spark: SparkSession, d: str) -> DataFrame:
     return _joined(spark, d, by_module=False)
 
@@ -92,16 +96,17 @@ def j1_record_activity_or(spark: SparkSession, d: str) -> DataFrame:
 
 def _joined(spark: SparkSession, d: str, by_module: bool) -> DataFrame:
     records, activity = _records(spark, d), _activity(spark, d)
-    rows = marts.record_daily_activity(records, activity, by_module=by_module)
+    rows = marts.record_daily_activity(records, activity, by_module=by_module, hot=_hot(spark, d))
     return rows.select("organization_id", "module_key", "record_id", "record_date", *rollups.ROLLUP_MEASURES)
 
 
 def j2_kpi_records(spark: SparkSession, d: str) -> DataFrame:
     records, activity, kpi = _records(spark, d), _activity(spark, d), _kpi(spark, d)
-    daily = marts.record_daily_activity(records, activity).select(
+    daily = marts.record_daily_activity(records, activity, hot=_hot(spark, d)).select(
         "organization_id", "record_date", "module_key", "record_id", "total_activities"
     )
-    return joins.join_kpi_records(kpi.select("organization_id", "kpi_date", "kpi_readiness_status"), daily)
+    kpi = kpi.select("organization_id", "kpi_date", "kpi_readiness_status")
+    return joins.join_kpi_records(kpi, daily, marts.record_days(records))
 
 
 def j4_tenant_dim(spark: SparkSession, d: str) -> DataFrame:
@@ -115,7 +120,7 @@ def a1_activity_rollup(spark: SparkSession, d: str) -> DataFrame:
 
 def m1_record_daily_activity(spark: SparkSession, d: str) -> DataFrame:
     records, activity = _records(spark, d), _activity(spark, d)
-    return marts.record_daily_activity(records, activity)
+    return marts.record_daily_activity(records, activity, hot=_hot(spark, d))
 
 
 def m1_record_daily_activity_dedup(spark: SparkSession, d: str) -> DataFrame:
@@ -130,7 +135,8 @@ def m2_scorecard(spark: SparkSession, d: str) -> DataFrame:
 
 def m2_scorecard_plain(spark: SparkSession, d: str) -> DataFrame:
     records, activity, kpi = _records(spark, d), _activity(spark, d), _kpi(spark, d)
-    return _scorecard_out(marts.daily_scorecard(kpi, marts.record_daily_activity(records, activity)))
+    daily = marts.record_daily_activity(records, activity, hot=_hot(spark, d))
+    return _scorecard_out(marts.daily_scorecard(kpi, daily, marts.record_days(records)))
 
 
 def m3_pipeline_health(spark: SparkSession, d: str) -> DataFrame:
@@ -269,7 +275,7 @@ def _duplicates(spark: SparkSession, d: str, model: str) -> DataFrame:
 
 
 def q_unique_record_day(spark: SparkSession, d: str) -> DataFrame:
-    return _duplicates(spark, d, "record_daily_activity")
+    return quality.unique_grain(m1_record_daily_activity(spark, d), S.UNIQUE_GRAIN["record_daily_activity"])
 
 
 def q_unique_scorecard(spark: SparkSession, d: str) -> DataFrame:

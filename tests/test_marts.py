@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from crmtide import schemas as S
 from crmtide.operators import rollups
-from crmtide.operators.joins import fanout_left_join
+from crmtide.operators.joins import fanout_left_join, hot_records
+from crmtide.operators.skew import hot_keys, key_hash
 from crmtide.plans import marts, staging
 
 D1, D2 = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
@@ -104,10 +105,13 @@ def test_rollup_groups_null_keys(frames):
 
 
 @pytest.mark.parametrize("by_module", [False, True])
-def test_record_join_equals_either_or_condition(frames, by_module):
+@pytest.mark.parametrize("min_rows", [None, 1, 2, 10**9])
+def test_record_join_equals_either_or_condition(frames, by_module, min_rows):
     records, activity, _ = frames
+    hot = None if min_rows is None else hot_records(activity, min_rows)
+    assert not hot if min_rows in (None, 10**9) else len(hot) > 0
     columns = ["organization_id", "module_key", "record_id", "record_date", *rollups.ROLLUP_MEASURES, "health_score"]
-    got = marts.record_daily_activity(records, activity, by_module=by_module).select(*columns)
+    got = marts.record_daily_activity(records, activity, by_module=by_module, hot=hot).select(*columns)
     want = either_or(records, activity).select(*columns)
     assert rows(got) == rows(want)
     assert got.filter("module_key = 'ACCOUNTS' and record_id = 'a1' and organization_id = 'o' and record_date = '2024-01-01'").count() == 3
@@ -121,14 +125,25 @@ def test_dedup_grain_adds_pairs_up(frames):
     assert rows(hit, "total_activities", "total_duration_seconds") == [(4, 20)]
 
 
-def test_fanout_join_with_duplicates_and_nulls(spark):
+@pytest.mark.parametrize("hot_value", [None, "none", 1, 2])
+def test_fanout_join_with_duplicates_and_nulls(spark, hot_value):
     left = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "d")], "k int, l string")
     right = spark.createDataFrame([(1, "x"), (1, "y"), (None, "z"), (3, "w")], "rk int, r string")
-    got = fanout_left_join(left, right, ["k"], ["rk"])
+    hot = hot_value
+    if hot_value is not None:
+        hot = [r[0] for r in left.filter(F.col("k").cast("string") == str(hot_value)).select(key_hash(["k"])).collect()]
+    got = fanout_left_join(left, right, ["k"], ["rk"], hot)
     want = left.join(right, F.col("k") == F.col("rk"), "left").drop("rk")
     assert rows(got, "k", "l", "r") == rows(want, "k", "l", "r")
 
 
+def test_hot_keys_finds_the_heavy_key(spark):
+    df = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"))
+    heavy = spark.range(1).select(F.lit(0).cast("bigint").alias("k")).select(key_hash(["k"])).first()[0]
+    assert hot_keys(df, ["k"], 9_000) == [heavy]
+    assert hot_keys(df, ["k"], 11_000) == []
+
+
 def test_weighted_scorecard_equals_plain(frames):
     records, activity, kpis = frames
     plain = marts.daily_scorecard(kpis, marts.record_daily_activity(records, activity))
