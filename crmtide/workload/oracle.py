@@ -137,12 +137,12 @@ kpi_counts AS (
 ), kpi_raw AS (
   SELECT organization_id, tenant_name, tenant_domain, tenant_company_size, kpi_date,
          pipeline_created_count, qualified_lead_count, active_opportunity_count,
-         round(pipeline_created_count / CAST(nullif(pipeline_created_count + qualified_lead_count, 0) AS DOUBLE), 4)
+         pipeline_created_count / CAST(nullif(pipeline_created_count + qualified_lead_count, 0) AS DOUBLE)
            AS stage_conversion_rate,
-         round(CAST(duration AS DOUBLE) / activity_volume / 10, 2) AS avg_stage_dwell_days,
+         CAST(duration AS DOUBLE) / activity_volume / 10 AS avg_stage_dwell_days,
          activity_volume,
-         round(activity_volume / CAST(60 AS DOUBLE), 4) AS goal_attainment_ratio,
-         round(active_opportunity_count / CAST(nullif(views, 0) AS DOUBLE), 4) AS pipeline_coverage_ratio,
+         activity_volume / CAST(60 AS DOUBLE) AS goal_attainment_ratio,
+         active_opportunity_count / CAST(nullif(views, 0) AS DOUBLE) AS pipeline_coverage_ratio,
          CASE day(kpi_date) % 7 WHEN 0 THEN 'BLOCKED' WHEN 1 THEN 'PARTIAL' ELSE 'READY' END AS kpi_readiness_status,
          'run_1' AS pipeline_run_id, 'kpi.parquet' AS src_filename, TIMESTAMP '2024-02-01 00:00:00' AS loaded_at
   FROM kpi_counts

@@ -214,14 +214,12 @@ def kpi(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return counted.withColumns(
         {
-            "stage_conversion_rate": F.round(
-                F.try_divide(
-                    F.col("pipeline_created_count"), F.col("pipeline_created_count") + F.col("qualified_lead_count")
-                ), 4,
+            "stage_conversion_rate": F.try_divide(
+                F.col("pipeline_created_count"), F.col("pipeline_created_count") + F.col("qualified_lead_count")
             ),
-            "avg_stage_dwell_days": F.round(F.col("duration") / F.col("activity_volume") / 10, 2),
-            "goal_attainment_ratio": F.round(F.col("activity_volume") / 60, 4),
-            "pipeline_coverage_ratio": F.round(F.try_divide("active_opportunity_count", "views"), 4),
+            "avg_stage_dwell_days": F.col("duration") / F.col("activity_volume") / 10,
+            "goal_attainment_ratio": F.col("activity_volume") / 60,
+            "pipeline_coverage_ratio": F.try_divide("active_opportunity_count", "views"),
             "kpi_readiness_status": F.when(day == 0, "BLOCKED").when(day == 1, "PARTIAL").otherwise("READY"),
             "pipeline_run_id": F.lit("run_1"),
             "src_filename": F.lit("kpi.parquet"),
