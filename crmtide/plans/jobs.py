@@ -80,6 +80,20 @@ def curate_churn(raw: DataFrame) -> DataFrame:
     return latest_per_key(raw, S.CHURN_KEYS)
 
 
+def churn_batch(
+    spark: SparkSession, stage_path: str, raw_table: str, curated_table: str, full_refresh: bool = True
+) -> None:
+    """Load the churn export into its raw table and rebuild the curated one from it.
+
+    ``full_refresh`` replaces the raw rows; otherwise the load adds to them. To
+    load each file once, feed the raw table with ``ingest.load_incremental``.
+    """
+    if full_refresh or not spark.catalog.tableExists(raw_table):
+        tables.create_landing(spark, raw_table, "churn")
+    tables.append_landing(load_landing(spark, "churn", stage_path, leaf_columns_only=True), raw_table)
+    tables.materialize(curate_churn(spark.table(raw_table)), curated_table)
+
+
 def load_silver_landing(
     spark: SparkSession, stage_root: str, database: str, full_refresh: bool = True
 ) -> dict[str, str]:

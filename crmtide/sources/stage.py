@@ -60,7 +60,8 @@ def read_stage(
 
 def stage_relative(file_path: Column, stage_path: str) -> Column:
     """File URI without the stage prefix; a URI outside the stage is kept whole."""
-    prefix = urlparse(stage_path).path.rstrip("/")
+    location = urlparse(stage_path)
+    prefix = (location.netloc + location.path).rstrip("/")
     inside = F.regexp_extract(file_path, f"{re.escape(prefix)}/+(.*)$", 1)
     return F.when(inside != "", inside).otherwise(file_path)
 
