@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 from crmtide import schemas as S
 from crmtide.functions.columns import scope_snapshot
 from crmtide.operators import upsert as U
+from crmtide.operators.joins import fanout_left_join
 from crmtide.operators.latest import latest_per_key
+from crmtide.operators.skew import hot_keys
 from crmtide.plans import jobs, marts, staging
 from crmtide.sinks import files, tables
 from crmtide.sources.stage import stage_relative
@@ -116,3 +118,33 @@ def test_churn_batch_round_trip(spark, path):
     got = spark.table("churn_db.curated")
     assert rows(got, "client_id", "account_id", "churn_risk_score", "export_client_scope") == [("c", "a", 0.9, "ALL")]
     assert str(got.first()["contract_value"]) == "12.35"
+
+
+def test_hot_key_on_the_right_is_split_at_run_time(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "512KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        left = spark.range(50_000).selectExpr("concat('k', id) k", "id l")
+        right = spark.range(0, 1_200_000, 1, 16).selectExpr(
+            "if(id % 3 = 0, 'k0', concat('k', id % 100000)) rk", "id r", "concat('pad', hash(id)) pad"
+        )
+        results = {}
+        for name, hot in (("plain", []), ("split", hot_keys(right, ["rk"], 200_000))):
+            total = fanout_left_join(left, right, ["k"], ["rk"], hot).agg(
+                F.count("*"), F.count("r"), F.sum("r"), F.max("pad")
+            )
+            results[name] = (total.collect(), physical(total).split("== Initial Plan ==")[0])
+        assert results["plain"][0] == results["split"][0]
+        assert "skew=true" in results["split"][1] and "skew=true" not in results["plain"][1]
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
