@@ -55,7 +55,12 @@ def hex_bucket(key: str, buckets: int) -> Column:
 
 
 def positions(
-    df: DataFrame, group: str, bucket: str, order: Sequence[str], weight: str | None = None
+    df: DataFrame,
+    group: str,
+    bucket: str,
+    order: Sequence[str],
+    weight: str | None = None,
+    facts: DataFrame | None = None,
 ) -> DataFrame:
     """Adds each row's place in the order of its group, however large the group.
 
@@ -63,7 +68,8 @@ def positions(
     with the row) and ``_sum`` (weights of the group). ``bucket`` must rise with
     ``order``: a window then sees one bucket of one group only, and the buckets
     before it count by their sums, which are combined before they are shuffled.
-    ``group`` and ``bucket`` hold no NULL.
+    ``group`` and ``bucket`` hold no NULL. ``facts`` has more columns by group,
+    which are added on the way without another shuffle of the rows.
     """
     w = F.lit(1) if weight is None else F.col(weight)
     sums = df.groupBy(group, bucket).agg(F.count(F.lit(1)).alias("_bn"), F.sum(w).alias("_bw"))
@@ -76,6 +82,8 @@ def positions(
         F.sum("_bn").over(whole).alias("_n"),
         F.sum("_bw").over(whole).alias("_sum"),
     )
+    if facts is not None:
+        sums = sums.join(facts, group)
     local = Window.partitionBy(group, bucket).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     return (
         df.withColumns({"_rn": F.row_number().over(local), "_rw": F.sum(w).over(local)})

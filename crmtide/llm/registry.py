@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
-from crmtide.llm import near_dedup
+from crmtide.llm import mixing, near_dedup, sharding, topk, warc
 
 QUERIES = {
+    "op1_sharding": sharding.op1_sharding,
     "op7_near_dedup": near_dedup.op7_near_dedup,
+    "op8_mixing": mixing.op8_mixing,
+    "op9_warc": warc.op9_warc,
+    "op10_topk": topk.op10_topk,
 }
 
 ORACLE = {
+    "op1_sharding": sharding.ORACLE,
     "op7_near_dedup": near_dedup.ORACLE,
+    "op8_mixing": mixing.ORACLE,
+    "op9_warc": warc.ORACLE,
+    "op10_topk": topk.ORACLE,
 }
