@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from crmtide.llm import mixing, near_dedup, sharding, topk, warc
+from crmtide.llm import embedding_dedup, mixing, near_dedup, sharding, topk, toxicity, warc
 
 QUERIES = {
     "op1_sharding": sharding.op1_sharding,
+    "op2_embedding_dedup": embedding_dedup.op2_embedding_dedup,
+    "op4_toxicity": toxicity.op4_toxicity,
     "op7_near_dedup": near_dedup.op7_near_dedup,
     "op8_mixing": mixing.op8_mixing,
     "op9_warc": warc.op9_warc,
@@ -14,6 +16,7 @@ QUERIES = {
 
 ORACLE = {
     "op1_sharding": sharding.ORACLE,
+    "op2_embedding_dedup": embedding_dedup.ORACLE,
     "op7_near_dedup": near_dedup.ORACLE,
     "op8_mixing": mixing.ORACLE,
     "op9_warc": warc.ORACLE,
