@@ -2,12 +2,26 @@
 
 from __future__ import annotations
 
-from crmtide.llm import embedding_dedup, mixing, near_dedup, sharding, topk, toxicity, warc
+from crmtide.llm import (
+    embedding_dedup,
+    hmm,
+    mixing,
+    near_dedup,
+    packing,
+    sharding,
+    substring_dedup,
+    topk,
+    toxicity,
+    warc,
+)
 
 QUERIES = {
     "op1_sharding": sharding.op1_sharding,
     "op2_embedding_dedup": embedding_dedup.op2_embedding_dedup,
+    "op3_packing": packing.op3_packing,
     "op4_toxicity": toxicity.op4_toxicity,
+    "op5_substring_dedup": substring_dedup.op5_substring_dedup,
+    "op6_hmm": hmm.op6_hmm,
     "op7_near_dedup": near_dedup.op7_near_dedup,
     "op8_mixing": mixing.op8_mixing,
     "op9_warc": warc.op9_warc,
