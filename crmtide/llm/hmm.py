@@ -149,10 +149,10 @@ def baum_welch(texts: DataFrame, model: Model, unigram: np.ndarray) -> Model:
     now = spark.sparkContext.broadcast(model)
     names = [f"s{k}" for k in range(states)]
     counts = texts.mapInArrow(_expecter(now), "kind int, " + ", ".join(f"{c} double" for c in names))
-    found = counts.groupBy("kind").agg(*[F.sum(c).alias(c) for c in names]).toPandas()
+    found = counts.groupBy("kind").agg(*[F.sum(c).alias(c) for c in names]).toArrow()
     now.destroy()
     sums = np.zeros((CLASSES + 1, states))
-    kinds, values = found["kind"].to_numpy(np.int64), found[names].to_numpy(np.float64)
+    kinds, values = found["kind"].to_numpy(), np.column_stack([found[c].to_numpy() for c in names])
     sums[kinds[kinds >= 0]] = values[kinds >= 0]
     rest = np.zeros((states + 1, states))
     rest[-1 - kinds[kinds < 0]] = values[kinds < 0]
@@ -216,11 +216,11 @@ def score_texts(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     counts = saved(counts, "word-counts")
 
     kind = F.when(F.col("word") == END, CLASSES).otherwise(F.shiftrightunsigned("word", 48)).cast("int")
-    by_class = counts.groupBy(kind.alias("kind")).agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).toPandas()
-    at = by_class["kind"].to_numpy(np.int64)
+    by_class = counts.groupBy(kind.alias("kind")).agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).toArrow()
+    at = by_class["kind"].to_numpy()
     n, v = np.zeros(CLASSES + 1), np.zeros(CLASSES + 1)
-    n[at], v[at] = by_class["n"], by_class["v"]
-    total, words = int(by_class["n"].sum()), int(by_class["v"].sum())
+    n[at], v[at] = by_class["n"].to_numpy(), by_class["v"].to_numpy()
+    total, words = int(n.sum()), int(v.sum())
     of_class = n + 0.5 * (v + 1)
     unigram = of_class / of_class.sum()
 
@@ -232,9 +232,9 @@ def score_texts(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     for _ in range(ROUNDS):
         model = baum_welch(training.select("text"), model, unigram)
 
-    top = counts.orderBy(F.col("c").desc(), "word").limit(FREQUENT).toPandas().sort_values("word")
-    logs = np.log10(top["c"].to_numpy(np.float64) + 0.5)
-    shared = spark.sparkContext.broadcast((model, top["word"].to_numpy(np.int64), logs, np.log10(of_class)))
+    top = counts.orderBy(F.col("c").desc(), "word").limit(FREQUENT).orderBy("word").toArrow()
+    logs = np.log10(top["c"].to_numpy() + 0.5)
+    shared = spark.sparkContext.broadcast((model, top["word"].to_numpy(), logs, np.log10(of_class)))
     kind_of_id = rows.schema["id"].dataType.simpleString()
     schema = f"uid long, id {kind_of_id}, n_tokens long, known long, log_words double, log_rest double"
     scored = saved(rows.mapInArrow(_scorer(shared), schema + ", rare array<long>, times array<long>"), "scored")

@@ -127,7 +127,7 @@ def _slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _membership(values: DataFrame):
     """A bit set that holds every value of the one column and few others; its size is fixed, 2 ** FILTER_BITS bits."""
-    slots = values.mapInArrow(_slots, "slot long").distinct().toPandas()["slot"].to_numpy(np.int64)
+    slots = values.mapInArrow(_slots, "slot long").distinct().toArrow()["slot"].to_numpy()
     bits = np.zeros(1 << FILTER_BITS, bool)
     bits[slots] = True
     return values.sparkSession.sparkContext.broadcast(np.packbits(bits))
@@ -288,16 +288,21 @@ def remove_passages(docs: DataFrame, id_column: str = "doc_id", text_column: str
     such a column, follows the text.
     """
     spans = repeated_passages(docs, id_column, text_column)
-    spans = spans.groupBy("id", "tid").agg(F.collect_list(F.struct("start", "end")).alias("_spans"))
-    spans = saved(spans, "passages").withColumnsRenamed({"id": "_id", "tid": "_tid"})
-    same = (F.col(id_column).cast("long") == F.col("_id")) & (F.xxhash64(F.col(text_column).cast("string")) == F.col("_tid"))
-    joined = docs.join(spans, same, "left")
-    left = joined.filter("_spans is null").select(*docs.columns)
-    cut = joined.filter("_spans is not null").withColumn(text_column, _without(text_column, "_spans"))
-    cut = cut.filter(F.col(text_column).rlike(WORD))
+    spans = spans.groupBy("id", "tid").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    spans = saved(spans, "passages")
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        F.col(id_column).cast("long").alias("id"),
+        F.xxhash64(F.col(text_column).cast("string")).alias("tid"),
+    )
+    joined = rows.join(spans, ["id", "tid"], "left")
+    text = F.col(f"row.{text_column}")
+    cut = joined.filter("spans is not null").withColumn("row", F.col("row").withField(text_column, _without(text, "spans")))
+    cut = cut.filter(text.rlike(WORD))
     if "n_chars" in docs.columns:
-        cut = cut.withColumn("n_chars", F.char_length(text_column).cast(docs.schema["n_chars"].dataType))
-    return left.unionByName(cut.select(*docs.columns))
+        length = F.char_length(text).cast(docs.schema["n_chars"].dataType)
+        cut = cut.withColumn("row", F.col("row").withField("n_chars", length))
+    return joined.filter("spans is null").select("row.*").unionByName(cut.select("row.*"))
 
 
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
