@@ -19,7 +19,7 @@ BANDS, ROWS = 32, 4
 COORDINATES = BANDS * ROWS
 # Two sets of similarity 0.75 agree in 96 of 128 coordinates on average, with a deviation below 5.
 LEAST_AGREEING = 70
-BLOCK = 1024
+BLOCK = 256
 _EMPTY = np.uint64(2**64 - 1)
 _CHUNK = 4_000_000
 
@@ -104,18 +104,40 @@ def verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def _across(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Pairs of one block or two that the sketches find likely and that are not connected yet."""
-    marks = np.frombuffer(b"".join(pdf["marks"]), np.uint8).reshape(-1, COORDINATES)
-    ids, part, block = pdf["id"].to_numpy(), pdf["component"].to_numpy(), pdf["block"].to_numpy()
-    first, second = np.nonzero(block == pdf["i"].iloc[0])[0], np.nonzero(block == pdf["j"].iloc[0])[0]
+    """Verified links between documents of one block or two that are not connected yet.
+
+    A pair is compared at the first band value it shares only. What is found to
+    be linked counts as connected from then on.
+    """
+    first = pdf[pdf["block"] == pdf["i"]].sort_values("id")
+    second = pdf[pdf["block"] == pdf["j"]].sort_values("id")
+    band, alone = pdf["band"].iloc[0], pdf["i"].iloc[0] == pdf["j"].iloc[0]
+    marks, bands = (np.frombuffer(b"".join(second["marks"]), np.uint8).reshape(-1, COORDINATES), np.stack(second["bands"]))
+    ids, part, n = (second[c].to_numpy() for c in ("id", "component", "n"))
+    known: dict[int, np.ndarray] = {}
+    texts = dict(zip(pdf["id"], pdf["text"]))
+
+    def whole(i: int) -> np.ndarray:
+        if i not in known:
+            known[i] = sets(lower_bytes([texts[i]]))[0]
+        return known[i]
+
+    merged: dict[int, int] = {}
+
+    def root(c: int) -> int:
+        while c in merged:
+            c = merged[c]
+        return c
+
     found = []
-    for x in first:
-        near = (marks[second] == marks[x]).sum(axis=1) >= LEAST_AGREEING
-        for y in second[near & (part[second] != part[x]) & (ids[second] > ids[x])]:
-            found.append((ids[x], ids[y]))
-        if pdf["i"].iloc[0] != pdf["j"].iloc[0]:
-            for y in second[near & (part[second] != part[x]) & (ids[second] < ids[x])]:
-                found.append((ids[y], ids[x]))
+    for x, c, m, mark, keys in zip(*(first[k] for k in ("id", "component", "n", "marks", "bands"))):
+        near = (marks == np.frombuffer(mark, np.uint8)).sum(axis=1) >= LEAST_AGREEING
+        near &= (part != c) & (ids > x if alone else ids != x) & (4 * np.minimum(n, m) >= 3 * np.maximum(n, m))
+        near[near] = (bands[near] == keys).argmax(axis=1) == band
+        for at in np.nonzero(near)[0]:
+            if root(c) != root(part[at]) and similar(whole(x), whole(ids[at])):
+                found.append((x, ids[at]))
+                merged[root(c)] = root(part[at])
     return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
 
@@ -130,17 +152,18 @@ def _with_component(df: DataFrame, parts: DataFrame, node: str) -> DataFrame:
 
 
 def link_classes(classes: DataFrame, texts: DataFrame) -> DataFrame:
-    """(node, component) of all classes (id, bands, marks) that have a verified link.
+    """(node, component) of all classes (id, n, bands, marks) that have a verified link.
 
     A band value joins each of its classes to the smallest of them, not all to
     each other. First the likeliest pair of a class is verified, then those of
     its other pairs that still lie in two components. In the end, values whose
-    classes are not all connected are compared in blocks on their sketches, and
-    likely pairs across components are verified: so each pair that shares a band
-    value is verified, connected already or unlike by its sketch.
+    classes are not all connected are taken in blocks, in which likely pairs
+    across components are verified at once: so each pair that shares a band value
+    is verified, connected already or unlike by its sketch, and no list of all
+    pairs is made.
     """
     keys = classes.select("id", F.posexplode("bands").alias("band", "value")).select(
-        "id", F.xxhash64("band", "value").alias("key")
+        "id", "band", F.xxhash64("band", "value").alias("key")
     )
     hubs = keys.groupBy("key").agg(F.min("id").alias("hub"), F.max("id").alias("top")).filter("hub <> top").drop("top")
     members = saved(keys.join(hubs, "key"), "members")
@@ -171,17 +194,16 @@ def link_classes(classes: DataFrame, texts: DataFrame) -> DataFrame:
     )
     dealt = (
         others.join(split, "key")
-        .join(marks, "id")
+        .join(classes.select("id", "n", "bands", "marks"), "id")
+        .join(texts, "id")
         .withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
     )
-    far = dealt.groupBy("key", "i", "j").applyInPandas(_across, "a long, b long").distinct()
-    far = saved(far.join(likely.select("a", "b"), ["a", "b"], "left_anti"), "far")
+    far = saved(dealt.groupBy("key", "i", "j").applyInPandas(_across, "a long, b long").distinct(), "far")
     if far.isEmpty():
         return parts
-    links = links.unionByName(saved(verify(far, texts), "verified"))
-    return components(links)
+    return components(links.unionByName(far))
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
