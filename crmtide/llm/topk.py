@@ -14,50 +14,54 @@ from crmtide.llm.common import saved, table
 
 BLOCK = 4096
 QUERY_BLOCK = 1024
-#: Parts of a list read before the bounds are looked at again.
-DEPTHS = (0.1, 0.25, 0.5, 0.75, 1.0)
+#: Parts of the lists read before the bounds are looked at.
+DEPTHS = (0.25, 0.5, 0.75)
 
 
-def scan(query: np.ndarray, order: np.ndarray, values: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray | None]:
-    """(rows, scores) that hold the ``k`` largest inner products with ``query`` and all that tie with the last.
+def scan(queries: np.ndarray, vectors: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each query (rows, scores) that hold its ``k`` largest inner products and all that tie with the last.
 
-    ``order[d]`` lists the rows by their component d, rising, and ``values[d]``
-    those components. A list is read from its end where the query's component is
-    positive, from its start where it is negative, and not at all where it is
-    zero. A row's score lies between what was read of it plus the least and plus
-    the most that the unread part of each other list allows. Reading stops when
-    all but a few rows cannot reach the k-th least any more; the scores of those
-    few are left to be resolved (None in place of the scores).
+    A list holds the rows in the order of one component. It is read from the
+    large end where a query's component is positive, from the small end where it
+    is negative. A row's score lies between the sum of what was read of it plus
+    the least, and plus the most, that the unread part of every other list
+    allows. A query stops when few rows can still reach the k-th of the least
+    scores; those rows' scores are then resolved. All lists are read to the same
+    depth for a block of queries, so the sums of what was read are products of
+    matrices. At full depth the sums are the scores.
     """
-    used = np.nonzero(query)[0]
-    n = order.shape[1]
-    if not len(used):
-        return np.arange(n), np.zeros(n, np.int64)
-    weight = query[used].astype(np.float64)
-    down = weight > 0
-    rows = np.where(down[:, None], order[used, ::-1], order[used])
-    parts = np.where(down[:, None], values[used, ::-1], values[used]) * weight[:, None]
-    read, seen = np.zeros(n), np.zeros((n, len(used)), np.float32)
-    least, at = parts[:, -1], 0
-    lists = np.arange(len(used))
+    n, found = len(vectors), [None] * len(queries)
+    rank = np.argsort(np.argsort(vectors, axis=0, kind="stable"), axis=0)
+    ordered, v = np.sort(vectors, axis=0), vectors.astype(np.float64)
+    up, down = np.maximum(queries, 0).astype(np.float64), np.minimum(queries, 0).astype(np.float64)
+    left = np.arange(len(queries))
+    few = max(4 * k, n // 50)
     for depth in DEPTHS:
-        to = n if depth == 1.0 else max(at + 1, int(n * depth))
-        to = min(n, to)
-        if to > at:
-            read += np.bincount(rows[:, at:to].ravel(), parts[:, at:to].ravel(), n)
-            seen[rows[:, at:to].T, lists] = 1
-            at = to
-        if at == n:
+        to = int(n * depth)
+        if n <= k or not 0 < to < n or not len(left):
             break
-        most = parts[:, at]
-        low = read + least.sum() - seen @ least
-        high = read + most.sum() - seen @ most
-        bound = np.partition(low, n - k)[n - k] if n > k else -np.inf
-        # float32 sums of the bounds may be off by a little; a row is only left out beyond that.
-        slack = 1 + 1e-5 * np.abs(parts).max() * len(used)
-        if (high >= bound - slack).sum() <= max(4 * k, n // 50):
-            return np.nonzero(high >= bound - slack)[0], None
-    return np.arange(n), read.astype(np.int64)
+        p, q = up[left], down[left]
+        large, small = (rank >= n - to).astype(np.float64), (rank < to).astype(np.float64)
+        read = (v * large) @ p.T + (v * small) @ q.T
+
+        def unread(of_large: np.ndarray, of_small: np.ndarray) -> np.ndarray:
+            most_p, most_q = p * of_large, q * of_small
+            return most_p.sum(axis=1) + most_q.sum(axis=1) - large @ most_p.T - small @ most_q.T
+
+        least = read + unread(ordered[0], ordered[-1])
+        bound = np.partition(least, n - k, axis=0)[n - k]
+        open_ = read + unread(ordered[n - to - 1], ordered[to]) >= bound
+        counts = open_.sum(axis=0)
+        for at in np.nonzero(counts <= few)[0]:
+            rows = np.nonzero(open_[:, at])[0]
+            found[left[at]] = (rows, vectors[rows] @ queries[left[at]])
+        left = left[counts > few]
+    if len(left):
+        scores = vectors.astype(np.float64) @ queries[left].T.astype(np.float64)
+        for at, of in zip(left, scores.T):
+            rows = np.nonzero(of >= np.partition(of, n - k)[n - k])[0] if n > k else np.arange(n)
+            found[at] = (rows, of[rows].astype(np.int64))
+    return found
 
 
 def _searcher(k: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
@@ -66,18 +70,15 @@ def _searcher(k: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
         out = []
         if len(data) and len(asked):
             vectors = np.stack(data["v"].to_numpy()).astype(np.int64)
-            ids = data["id"].to_numpy()
-            order = np.argsort(vectors, axis=0, kind="stable").T.copy()
-            values = np.take_along_axis(vectors.T, order, axis=1)
-            for query_id, query in zip(asked["id"], asked["v"]):
-                query = np.asarray(query, np.int64)
-                rows, score = scan(query, order, values, k + int((ids == query_id).sum()))
-                if score is None:
-                    score = vectors[rows] @ query
-                own = ids[rows] == query_id
-                rows, score = rows[~own], score[~own]
-                best = np.lexsort((ids[rows], -score))[:k]
-                out += [(query_id, ids[r], s) for r, s in zip(rows[best], score[best])]
+            ids, query_ids = data["id"].to_numpy(), asked["id"].to_numpy()
+            own = int(np.unique(ids[np.isin(ids, query_ids)], return_counts=True)[1].max(initial=0))
+            for at in range(0, len(asked), 256):
+                queries = np.stack(asked["v"].iloc[at : at + 256].to_numpy()).astype(np.int64)
+                for query_id, (rows, score) in zip(query_ids[at : at + 256], scan(queries, vectors, k + own)):
+                    other = ids[rows] != query_id
+                    rows, score = rows[other], score[other]
+                    best = np.lexsort((ids[rows], -score))[:k]
+                    out += [(query_id, ids[r], s) for r, s in zip(rows[best], score[best])]
         return pd.DataFrame(out, columns=["query_id", "vec_id", "score"]).astype("int64")
 
     return search
