@@ -13,10 +13,15 @@ from crmtide.llm.substring_dedup import remove_passages
 from crmtide.llm.toxicity import score_toxicity
 
 
+def _apart(docs: DataFrame, *columns) -> DataFrame:
+    """Whole rows as ``row`` beside the columns an operator reads, so that no other column can meet its names."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *columns)
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored below 0.5; the classifier learns from the labels of these documents."""
-    scored = score_toxicity(docs, table(spark, sf_dir, "labels", "doc_id", "toxic"))
-    return scored.filter("predicted = 0").select(*docs.columns)
+    scored = score_toxicity(_apart(docs, "doc_id", "text"), table(spark, sf_dir, "labels", "doc_id", "toxic"))
+    return scored.filter("predicted = 0").select("row.*")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,9 +37,9 @@ def drop_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix of its source takes it."""
-    sized = docs.withColumn("_words", words("text"))
-    mixed = mix(sized, size_column="_words").filter("times > 0")
-    return mixed.withColumn("_turn", F.explode(F.sequence(F.lit(1), F.col("times")))).select(*docs.columns)
+    sized = _apart(docs, "doc_id", "source", words("text").alias("size"))
+    mixed = mix(sized).filter("times > 0")
+    return mixed.select("row", F.explode(F.sequence(F.lit(1), F.col("times")))).select("row.*")
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
