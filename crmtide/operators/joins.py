@@ -70,10 +70,11 @@ def split_matchable(records: DataFrame) -> tuple[DataFrame, DataFrame]:
     return records.filter(matchable), records.filter(~matchable)
 
 
-def hot_records(activity: DataFrame, min_rows: int = HOT_ROWS) -> list[int]:
-    """Records with so many activities on one day that their rollup may not fit a task."""
-    rows = by_record(activity.select("organization_id", "activity_date", *MATCHED_MODULES.values()))
-    return hot_keys(rows, ["organization_id", "module_key", "record_id", "activity_date"], min_rows)
+def hot_records(rollup: DataFrame, min_rows: int = HOT_ROWS) -> list[int]:
+    """Records that so many rollup rows of one day belong to that a task may not hold them."""
+    keys = ["organization_id", "module_key", "record_id", "activity_date"]
+    rows = by_record(rollup.select("organization_id", "activity_date", *MATCHED_MODULES.values()))
+    return hot_keys(rows, keys, min_rows)
 
 
 def join_record_activity(records: DataFrame, rollup: DataFrame, hot: Sequence[int] | None = None) -> DataFrame:

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 HOT_ROWS = 2_000_000
-_BUCKETS, _PER_BUCKET, _TRACKED = 64, 100, 1_000
 
 
 def key_hash(columns: Sequence[str]) -> Column:
@@ -16,20 +15,14 @@ def key_hash(columns: Sequence[str]) -> Column:
 
 
 def hot_keys(df: DataFrame, columns: Sequence[str], min_rows: int = HOT_ROWS) -> list[int]:
-    """Hashes of the keys with about ``min_rows`` rows or more, 6,400 at most.
+    """Hashes of the keys with ``min_rows`` rows or more, all of them.
 
-    One pass with a frequent-items sketch per hash bucket, so no task merges the
-    sketches of all partitions. The counts are estimates: use the result only to
-    choose how rows are joined, never which rows are.
+    There can be no more of them than rows / ``min_rows``. Counts are combined
+    before their shuffle. A key with a NULL part matches nothing, so it is never
+    hot. Use the result only to choose how rows are joined, never which rows are.
     """
-    found = (
-        df.select(key_hash(columns).alias("h"))
-        .groupBy(F.pmod("h", F.lit(_BUCKETS)))
-        .agg(F.expr(f"approx_top_k(h, {_PER_BUCKET}, {_TRACKED})").alias("top"))
-        .select(F.inline("top"))
-        .filter(F.col("count") >= min_rows)
-    )
-    return [r["item"] for r in found.collect()]
+    counts = df.dropna(subset=list(columns)).groupBy(key_hash(columns).alias("h")).count()
+    return [r["h"] for r in counts.filter(F.col("count") >= min_rows).collect()]
 
 
 def is_hot(columns: Sequence[str], hot: Sequence[int]) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from crmtide.sinks.files import clustered
 
-# Partition values up to this many prune the target by literal; beyond it by a semi join.
+# Partition values up to this many prune the target one by one; beyond it their range does, and a semi join the rest.
 MAX_LITERAL_PARTITIONS = 2_000
 
 
@@ -57,6 +57,8 @@ def touched_partitions(target: DataFrame, source: DataFrame, partition_col: str)
     if len(found) <= MAX_LITERAL_PARTITIONS:
         hit = F.col(partition_col).isin([v for v in found if v is not None])
         return target.filter(hit | F.col(partition_col).isNull() if None in found else hit)
+    low, high = values.agg(F.min(partition_col), F.max(partition_col)).first()
+    target = target.filter(F.col(partition_col).between(low, high) | F.col(partition_col).isNull())
     keys = values.withColumnRenamed(partition_col, "_touched")
     return target.join(keys, F.col(partition_col).eqNullSafe(F.col("_touched")), "left_semi")
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -10,13 +11,11 @@ from pyspark.sql import functions as F
 from crmtide import schemas as S
 from crmtide.functions.columns import (
     required_invalid,
-    scope_client,
-    scope_snapshot,
+    scoped,
     with_constants,
     with_stamp,
     with_time_parts,
 )
-from crmtide.operators.joins import hot_records
 from crmtide.operators.latest import latest_per_key
 from crmtide.operators.validate import split_valid
 from crmtide.plans.marts import build_marts
@@ -58,19 +57,19 @@ def bronze_to_silver(
 
 
 def export_gold(
-    source: DataFrame, path: str, client_id: str = "ALL", snapshot_date: str = "", single_file: bool = False
+    source: DataFrame, path: str, client_id: str, snapshot_date: datetime.date | str, single_file: bool = False
 ) -> str:
     """Write one tenant scope and snapshot of a gold table; returns its leaf folder.
 
     The leaf's ``client_id=`` names the export scope, not the rows' tenant: read
     it back with ``read_stage(leaf, leaf_columns_only=True)``.
     """
-    scoped = scope_snapshot(scope_client(source, client_id), snapshot_date)
+    day = datetime.date.fromisoformat(str(snapshot_date)).isoformat()
     stamped = with_constants(
-        with_stamp(scoped, "exported_at"),
-        {"export_client_scope": client_id, "export_snapshot_date": snapshot_date},
+        with_stamp(scoped(source, client_id, day), "exported_at"),
+        {"export_client_scope": client_id, "export_snapshot_date": day},
     )
-    leaf = f"{path.rstrip('/')}/client_id={client_id}/feature_date={snapshot_date}"
+    leaf = f"{path.rstrip('/')}/client_id={client_id}/feature_date={day}"
     files.write_export(stamped, leaf, single_file)
     return leaf
 
@@ -117,7 +116,7 @@ def load_silver_landing(
 def build_project(spark: SparkSession, landing: Mapping[str, str], database: str) -> dict[str, DataFrame]:
     """Staging and intermediate models as views, marts as documented tables."""
     records, activity, kpi = (spark.table(landing[n]) for n in ("records", "activity", "kpi"))
-    models = build_marts(records, activity, kpi, hot_records(activity))
+    models = build_marts(records, activity, kpi)
     for name, df in models.items():
         if name in ("pipeline_health", "module_snapshot"):
             tables.materialize(df, f"{database}.{name}", S.MODEL_DOCS[name])

@@ -18,6 +18,7 @@ from crmtide.operators.joins import (
 from crmtide.operators.rollups import ROLLUP_MEASURES
 from crmtide.plans import staging
 
+# Column order of the models and thresholds of the health status.
 RECORD_COLUMNS = [
     "organization_id", "tenant_name", "tenant_domain", "tenant_company_size", "application_id",
     "module_key", "record_id", "record_name", "resolved_owner_id", "resolved_team_id",
@@ -50,8 +51,9 @@ def record_daily_activity(
 
     A record appears once per (account, lead) pair active on that day.
     ``dedup_grain`` adds those pairs up, giving one row per record version.
-    ``hot`` comes from ``joins.hot_records``; without it every key is joined the
-    way hot ones are, which is as exact but shuffles more.
+    ``hot`` comes from ``joins.hot_records`` of the activity rollup, to be looked
+    for where the join is run; without it every key is joined the way hot ones
+    are, which is as exact but shuffles more.
     """
     days = record_days(records)
     if dedup_grain:
@@ -136,7 +138,7 @@ def pipeline_health(scorecard: DataFrame) -> DataFrame:
 
 
 def build_marts(
-    raw_records: DataFrame, raw_activity: DataFrame, raw_kpi: DataFrame, hot: Sequence[int] | None = None
+    raw_records: DataFrame, raw_activity: DataFrame, raw_kpi: DataFrame
 ) -> dict[str, DataFrame]:
     """Every model of the project, lazily: each mart is one plan, run at its write."""
     records = staging.stg_records(raw_records)
@@ -147,7 +149,7 @@ def build_marts(
         "stg_records": records,
         "stg_activity": activity,
         "stg_kpi": kpi,
-        "record_daily_activity": record_daily_activity(records, activity, hot=hot),
+        "record_daily_activity": record_daily_activity(records, activity),
         "daily_scorecard": scorecard,
         "pipeline_health": pipeline_health(scorecard),
         "module_snapshot": rollups.module_snapshot(records),

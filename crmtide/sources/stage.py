@@ -2,30 +2,38 @@
 
 from __future__ import annotations
 
+import json
 import re
-from contextlib import contextmanager
-from urllib.parse import urlparse
-
+from collections import defaultdict
+from collections.abc import Iterator, Sequence
+from functools import reduce
+from urllib.parse import unquote, urlparse
+
+import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow.fs import FileSystem
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import from_arrow_schema
 
 from crmtide import schemas as S
 from crmtide.functions.casts import cast_failed, project
 
 PARQUET_FILES = "*.parquet"
-_INFER_PARTITIONS = "spark.sql.sources.partitionColumnTypeInference.enabled"
+_SPARK_SCHEMA = b"org.apache.spark.sql.parquet.row.metadata"
+
+
+def path_columns(file: str, stage_path: str) -> list[str]:
+    """Names of the ``name=value`` folders between the stage and a file."""
+    inside = unquote(urlparse(file).path).removeprefix(urlparse(stage_path).path.rstrip("/"))
+    return [part.split("=", 1)[0] for part in inside.split("/")[:-1] if "=" in part]
 
 
-@contextmanager
-def _text_partitions(spark: SparkSession):
-    """Partition values exactly as written in the path ("007" stays "007")."""
-    before = spark.conf.get(_INFER_PARTITIONS)
-    spark.conf.set(_INFER_PARTITIONS, "false")
-    try:
-        yield
-    finally:
-        spark.conf.set(_INFER_PARTITIONS, before)
+def _with_text(schema: T.StructType, names: Sequence[str]) -> T.StructType:
+    """``schema`` with path columns declared as text: "007" stays "007"."""
+    own = [f for f in schema if f.name not in names]
+    return T.StructType(own + [T.StructField(n, T.StringType()) for n in names])
 
 
 def read_stage(
@@ -37,12 +45,13 @@ def read_stage(
     leaf_columns_only: bool = False,
     ignore_corrupt_files: bool = False,
 ) -> DataFrame:
-    """Parquet files below ``path``, path partitions as text columns.
+    """Parquet files of one physical schema below ``path``, path partitions as text columns.
 
     ``pattern`` is a glob on the file name, ``path_regex`` a regular expression
     on the whole file path. ``leaf_columns_only`` ignores the directory names:
     needed where a directory repeats a data column with another meaning. Skipping
     corrupt files needs a declared ``schema``, since inference reads a footer.
+    Files that differ in columns or types are for ``load_landing``.
     """
     if ignore_corrupt_files and schema is None:
         raise ValueError("ignore_corrupt_files needs a declared schema")
@@ -51,13 +60,48 @@ def read_stage(
         .option("recursiveFileLookup", leaf_columns_only)
         .option("ignoreCorruptFiles", ignore_corrupt_files)
     )
-    if schema is not None:
-        reader = reader.schema(schema)
-    with _text_partitions(spark):
-        df = reader.parquet(path)
+    if schema is None:
+        found = reader.parquet(path)
+        files = [] if leaf_columns_only else found.inputFiles()[:1]
+        schema = _with_text(found.schema, path_columns(files[0], path) if files else [])
+    df = reader.schema(schema).parquet(path)
     return df if path_regex is None else df.filter(F.col("_metadata.file_path").rlike(path_regex))
 
 
+def _footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        rows = []
+        for file in batch.column(0).to_pylist():
+            try:
+                fs, at = FileSystem.from_uri(re.sub("^file:/+", "file:///", file))
+                with fs.open_input_file(at) as opened:
+                    arrow = pq.ParquetFile(opened).schema_arrow
+                stored = (arrow.metadata or {}).get(_SPARK_SCHEMA)
+                schema = T.StructType.fromJson(json.loads(stored)) if stored else from_arrow_schema(arrow)
+                plain = T.StructType([T.StructField(f.name, f.dataType) for f in schema])
+                rows.append((file, plain.json(), None))
+            except (pa.ArrowInvalid, OSError) as problem:
+                rows.append((file, None, str(problem)[:200]))
+        columns = list(zip(*rows)) or [()] * 3
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in columns], ["file", "schema", "problem"])
+
+
+def file_schemas(spark: SparkSession, path: str, pattern: str = PARQUET_FILES) -> DataFrame:
+    """(file, schema, problem) of every file below ``path``; footers are read by the executors.
+
+    ``schema`` is the file's own, as JSON; it is NULL, and ``problem`` says why,
+    for what is no Parquet file.
+    """
+    files = (
+        spark.read.format("binaryFile")
+        .option("pathGlobFilter", pattern)
+        .option("recursiveFileLookup", True)
+        .load(path)
+        .select("path")
+    )
+    return files.mapInArrow(_footers, "file string, schema string, problem string")
+
+
 def stage_relative(file_path: Column, stage_path: str) -> Column:
     """File URI without the stage prefix; a URI outside the stage is kept whole."""
     location = urlparse(stage_path)
@@ -98,9 +142,67 @@ def rejected_rows(df: DataFrame, name: str) -> DataFrame:
     return df.filter(cast_failed(df, S.LANDING_SCHEMAS[name]))
 
 
+def read_groups(
+    spark: SparkSession, path: str, on_error: str, pattern: str = PARQUET_FILES, leaf_columns_only: bool = False
+) -> list[DataFrame]:
+    """A frame for each physical schema among the files below ``path``, as few as there are schemas.
+
+    Under ``continue`` files that can't be read are left out (``file_schemas``
+    lists them), otherwise the first one stops the load.
+    """
+    groups: dict[tuple, list[str]] = defaultdict(list)
+    for row in file_schemas(spark, path, pattern).collect():
+        if row["schema"] is None:
+            if on_error != "continue":
+                raise ValueError(f"{row['file']} cannot be read: {row['problem']}")
+            continue
+        names = () if leaf_columns_only else tuple(path_columns(row["file"], path))
+        groups[row["schema"], names].append(row["file"])
+    frames = []
+    for (schema, names), files in sorted(groups.items()):
+        typed = _with_text(T.StructType.fromJson(json.loads(schema)), names)
+        reader = spark.read.schema(typed).option("recursiveFileLookup", leaf_columns_only)
+        if not leaf_columns_only:
+            reader = reader.option("basePath", path)
+        frames.append(reader.parquet(*sorted(files)))
+    return frames
+
+
 def load_landing(
-    spark: SparkSession, name: str, stage_path: str, on_error: str = "continue", **read_options
+    spark: SparkSession,
+    name: str,
+    stage_path: str,
+    on_error: str = "continue",
+    pattern: str = PARQUET_FILES,
+    leaf_columns_only: bool = False,
 ) -> DataFrame:
-    """Typed tolerant load of one stage prefix: payload, source file, load stamp."""
-    staged = with_lineage(read_stage(spark, stage_path, **read_options), stage_path)
-    return type_landing(staged, name, on_error)
+    """Typed tolerant load of one stage prefix: payload, source file, load stamp.
+
+    Files may differ: each group of files with the same columns and types is read
+    as it is and cast to the declared types, a column a file lacks is NULL.
+    """
+    parts = [
+        type_landing(with_lineage(df, stage_path), name, on_error)
+        for df in read_groups(spark, stage_path, on_error, pattern, leaf_columns_only)
+    ]
+    if not parts:
+        return spark.createDataFrame([], S.landing_table_schema(name))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def stage_schema(spark: SparkSession, name: str, stage_path: str, leaf_columns_only: bool) -> T.StructType:
+    """One schema for a stream over a stage: the columns of the files that are there, path columns as text.
+
+    Without files it is the declared one. A column whose type differs between
+    files has no schema that a stream could read: load such a stage in batches.
+    """
+    found: dict[str, T.DataType] = {}
+    names: list[str] = []
+    for row in file_schemas(spark, stage_path).filter("schema is not null").collect():
+        for f in T.StructType.fromJson(json.loads(row["schema"])):
+            if found.setdefault(f.name, f.dataType) != f.dataType:
+                raise ValueError(f"{stage_path}: {f.name} is {found[f.name]} and {f.dataType}; use load_landing")
+        if not leaf_columns_only:
+            names = path_columns(row["file"], stage_path) or names
+    schema = T.StructType([T.StructField(n, t) for n, t in found.items()])
+    return _with_text(schema, names) if found else S.LANDING_SCHEMAS[name]

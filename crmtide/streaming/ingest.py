@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -13,30 +12,51 @@ from crmtide import schemas as S
 from crmtide.functions.columns import required_invalid, with_stamp, with_time_parts
 from crmtide.operators.latest import latest_per_key
 from crmtide.operators.upsert import upsert
-from crmtide.operators.validate import MISSING_REQUIRED
+from crmtide.operators.validate import with_reason
 from crmtide.sources.bronze import text_schema, typed_bronze
-from crmtide.sources.stage import PARQUET_FILES, type_landing, with_lineage
+from crmtide.sources.stage import PARQUET_FILES, stage_schema, type_landing, with_lineage
 
 EVERY_MINUTE = {"processingTime": "1 minute"}
 ALL_AVAILABLE = {"availableNow": True}
 
 
-def run_to_end(query: StreamingQuery, seconds: int = 600) -> StreamingQuery:
-    """Wait for an ``ALL_AVAILABLE`` query, stopping it after the time limit."""
-    if not query.awaitTermination(seconds):
+# A file counts as new whatever its date: backfills and copies keep old ones.
+ANY_AGE = {"maxFileAge": "36500d"}
+# Exports: a folder names the export's scope, not the rows' tenant, so folder names are not columns.
+EXPORTS = ("churn", "lead_score")
+
+
+def run_to_end(query: StreamingQuery, seconds: int | None = None) -> StreamingQuery:
+    """Wait for an ``ALL_AVAILABLE`` query; with a time limit, stop it there."""
+    if seconds is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(seconds):
         query.stop()
         raise TimeoutError(f"streaming query not finished after {seconds} s")
     return query
 
 
 def staged_files(
-    spark: SparkSession, name: str, stage_path: str, file_schema: T.StructType, max_files_per_trigger: int
+    spark: SparkSession,
+    name: str,
+    stage_path: str,
+    file_schema: T.StructType | None,
+    max_files_per_trigger: int,
+    archive: str | None = None,
 ) -> DataFrame:
-    """New Parquet files of a stage as typed landing rows; each file is read once."""
+    """New Parquet files of a stage as typed landing rows; each file is read once.
+
+    ``archive`` names a folder outside the stage to which files go once they are
+    loaded, which keeps listing and the list of files seen short.
+    """
+    flat = name in EXPORTS
+    schema = file_schema or stage_schema(spark, name, stage_path, leaf_columns_only=flat)
+    cleaning = {"cleanSource": "archive", "sourceArchiveDir": archive} if archive else {}
     files = (
-        spark.readStream.schema(file_schema)
+        spark.readStream.schema(schema)
+        .options(**ANY_AGE, **cleaning)
         .option("pathGlobFilter", PARQUET_FILES)
-        .option("recursiveFileLookup", True)
+        .option("recursiveFileLookup", flat)
         .option("maxFilesPerTrigger", max_files_per_trigger)
         .parquet(stage_path)
     )
@@ -52,13 +72,16 @@ def auto_ingest(
     file_schema: T.StructType | None = None,
     trigger: dict = EVERY_MINUTE,
     max_files_per_trigger: int = 10_000,
+    archive: str | None = None,
 ) -> StreamingQuery:
     """Append every new stage file to the raw table, exactly once per file.
 
+    ``file_schema`` defaults to that of the files in the stage at the start.
+
     The source's checkpoint remembers the files, the file sink's log makes a
     replayed micro-batch invisible.
     """
-    rows = staged_files(spark, name, stage_path, file_schema or S.LANDING_SCHEMAS[name], max_files_per_trigger)
+    rows = staged_files(spark, name, stage_path, file_schema, max_files_per_trigger, archive)
     return (
         rows.writeStream.format("parquet")
         .option("checkpointLocation", checkpoint)
@@ -77,6 +100,7 @@ def change_feed(spark: SparkSession, raw_path: str, name: str, max_files_per_tri
     """Rows appended to a raw table since the consumer's checkpoint."""
     return (
         spark.readStream.schema(S.landing_table_schema(name))
+        .options(**ANY_AGE)
         .option("maxFilesPerTrigger", max_files_per_trigger)
         .parquet(raw_path)
     )
@@ -130,6 +154,7 @@ def bronze_stream(
     def start(keep_invalid: bool, path: str, leaf: str) -> StreamingQuery:
         lines = (
             spark.readStream.schema(text_schema(entity))
+            .options(**ANY_AGE)
             .option("maxFilesPerTrigger", max_files_per_trigger)
             .option("recursiveFileLookup", True)
             .json(input_path)
@@ -137,7 +162,7 @@ def bronze_stream(
         rows = with_stamp(with_time_parts(typed_bronze(lines, entity), "cdc_timestamp"), "ingested_at")
         invalid = required_invalid(required)
         if keep_invalid:
-            rows = rows.filter(invalid).withColumn("validation_reason", F.lit(MISSING_REQUIRED))
+            rows = with_reason(rows.filter(invalid), required)
         else:
             rows = rows.filter(~invalid)
         return (

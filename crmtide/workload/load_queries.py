@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from crmtide import schemas as S
-from crmtide.functions.columns import required_invalid, with_time_parts
+from crmtide.functions.columns import missing_fields, required_invalid, with_time_parts
 from crmtide.operators.latest import latest_per_key
 from crmtide.operators.upsert import upsert
 from crmtide.operators.validate import quarantine_report, split_valid
@@ -134,12 +134,6 @@ def s12_on_error_continue(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-LEAD_FILES = T.StructType(
-    [
-        T.StructField(f.name, T.StringType() if f.name == "touchpoints_last_30d" else f.dataType)
-        for f in S.LEAD_SCORE
-    ]
-)
 LEAD_OUT = ["lead_id", "client_id", "feature_date", "lead_score", "touchpoints_last_30d", "exported_at"]
 
 
@@ -147,9 +141,34 @@ def s13_load_once(spark: SparkSession, d: str) -> DataFrame:
     """The second run finds no new file and adds nothing."""
     source, root = stages.lead_score_stage(spark, d), shared_dir(spark, "load-once")
     for _ in range(2):
-        ingest.load_incremental(
-            spark, "lead_score", source, f"{root}/raw", f"{root}/checkpoint", file_schema=LEAD_FILES
-        )
+        ingest.load_incremental(spark, "lead_score", source, f"{root}/raw", f"{root}/checkpoint")
+    return spark.read.parquet(f"{root}/raw").select(*LEAD_OUT)
+
+
+def s12_drifting_files(spark: SparkSession, d: str) -> DataFrame:
+    """One stage whose files lack a column, hold text or numbers for the same field, or are no Parquet at all."""
+    path = stages.drifting_stage(spark, d)
+    return jobs.load_landing(spark, "records", path).select(
+        "organization_id", "module_key", "record_id", "cdc_timestamp", "annual_revenue_usd", "amount_usd"
+    )
+
+
+def s13_load_partitioned(spark: SparkSession, d: str) -> DataFrame:
+    """Tenant and day, which only the folder names hold, of a stage that is loaded file by file."""
+    source, root = stages.kpi_stage(spark, d), shared_dir(spark, "load-partitioned")
+    for _ in range(2):
+        ingest.load_incremental(spark, "kpi", source, f"{root}/raw", f"{root}/checkpoint")
+    return spark.read.parquet(f"{root}/raw").select("organization_id", "kpi_date", "pipeline_created_count", "activity_volume")
+
+
+def s13_backfill(spark: SparkSession, d: str) -> DataFrame:
+    """Files dated long before those loaded first are loaded by the next run."""
+    leads, root = shapes.lead_scores(spark, d), shared_dir(spark, "backfill")
+    for number in range(3):
+        _deliver(leads, f"{root}/stage", number)
+        if number:
+            stages.date_back(spark, f"{root}/stage", days=400 * number)
+        ingest.load_incremental(spark, "lead_score", f"{root}/stage", f"{root}/raw", f"{root}/checkpoint")
     return spark.read.parquet(f"{root}/raw").select(*LEAD_OUT)
 
 
@@ -195,7 +214,7 @@ def _typed(spark: SparkSession, d: str, entity: str) -> DataFrame:
 def p1_schema_cast(spark: SparkSession, d: str) -> DataFrame:
     """Which values of each account did not fit their declared type."""
     raw = _bronze(spark, d, "account")
-    typed = typed_bronze(raw.filter(F.trim("accountId") != ""), "account")
+    typed = typed_bronze(raw, "account")
     return _plain(typed.select("accountId", "annualRevenue", "numberOfEmployees", "cdc_timestamp"))
 
 
@@ -204,8 +223,12 @@ def p2_bronze(spark: SparkSession, d: str, entity: str) -> DataFrame:
 
 
 def f1_required_invalid(spark: SparkSession, d: str) -> DataFrame:
-    invalid = required_invalid(S.required_fields(S.ENTITY_SCHEMAS["contract"]))
-    return _typed(spark, d, "contract").select("contractId", invalid.alias("is_invalid"))
+    required = S.required_fields(S.ENTITY_SCHEMAS["contract"])
+    return _typed(spark, d, "contract").select(
+        "contractId",
+        required_invalid(required).alias("is_invalid"),
+        F.array_join(missing_fields(required), ",").alias("missing_fields"),
+    )
 
 
 def _split(spark: SparkSession, d: str, entity: str) -> tuple[DataFrame, DataFrame]:
@@ -368,7 +391,7 @@ def t1_auto_ingest(spark: SparkSession, d: str) -> DataFrame:
     source, root = stages.lead_score_stage(spark, d), shared_dir(spark, "auto-ingest")
     query = ingest.auto_ingest(
         spark, "lead_score", source, f"{root}/raw", f"{root}/checkpoint",
-        file_schema=LEAD_FILES, trigger=ingest.ALL_AVAILABLE, max_files_per_trigger=1,
+        trigger=ingest.ALL_AVAILABLE, max_files_per_trigger=1,
     )
     ingest.run_to_end(query)
     return spark.read.parquet(f"{root}/raw").select(*LEAD_OUT, "lead_score_band", "lead_source", "lead_status")
@@ -454,7 +477,7 @@ QUERIES = {
     for f in (
         s1_bronze_json_scan, s2_partition_discovery, s3_parquet_stage_scan, s4_file_pattern, s5_lineage,
         s6_load_stamp, s7_load_records, s8_load_activity, s9_load_kpi, s10_load_churn, s11_load_lead_score,
-        s12_on_error_continue, s13_load_once, s14_table_scan, s16_external_table, s17_msck, p1_schema_cast,
+        s12_on_error_continue, s12_drifting_files, s13_load_once, s13_load_partitioned, s13_backfill, s14_table_scan, s16_external_table, s17_msck, p1_schema_cast,
         f1_required_invalid, f2_split_good, f2_split_bad, q4_quarantine_report, k1_append_partitioned,
         k2_quarantine, k3_export_gold, k4_partitioned_write, k5_json_write, k7_materialize, k8_docs, k9_ddl,
         k12_silver_records, k13_silver_activity, k14_silver_kpi, k16_upsert, t1_auto_ingest, t2_change_feed,

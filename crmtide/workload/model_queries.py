@@ -83,7 +83,7 @@ def p15_extras_schema(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _hot(spark: SparkSession, d: str) -> list[int]:
-    return joins.hot_records(shapes.activity(spark, d))
+    return joins.hot_records(rollups.activity_rollup(_activity(spark, d)))
 
 
 def j1_record_activity_equi(spark: SparkSession, d: str) -> DataFrame:
@@ -96,7 +96,7 @@ def j1_record_activity_or(spark: SparkSession, d: str) -> DataFrame:
 
 def _joined(spark: SparkSession, d: str, by_module: bool) -> DataFrame:
     records, activity = _records(spark, d), _activity(spark, d)
-    rows = marts.record_daily_activity(records, activity, by_module=by_module, hot=_hot(spark, d))
+    rows = marts.record_daily_activity(records, activity, by_module=by_module, hot=None if by_module else _hot(spark, d))
     return rows.select("organization_id", "module_key", "record_id", "record_date", *rollups.ROLLUP_MEASURES)
 
 
@@ -163,11 +163,10 @@ def w2_latest_lead(spark: SparkSession, d: str) -> DataFrame:
 
 
 def w3_latest_cdc(spark: SparkSession, d: str) -> DataFrame:
-    """Newest version of every opportunity among the readable change records."""
+    """Newest version of every opportunity; an unreadable change time counts as the newest."""
     ensure_utc(spark)
-    bronze = typed_bronze(read_bronze(spark, "opportunity", stages.bronze_stage(spark, d, "opportunity")), "opportunity")
-    versions = bronze.filter(F.col("cdc_timestamp").isNotNull())
-    latest = latest_per_key(versions, ["opportunityId"], order=["cdc_timestamp"])
+    versions = typed_bronze(read_bronze(spark, "opportunity", stages.bronze_stage(spark, d, "opportunity")), "opportunity")
+    latest = latest_per_key(versions, ["opportunityId"], order=["cdc_timestamp", "createdDate", "amount"])
     return latest.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("cdc_timestamp", "createdDate")})
 
 
@@ -218,7 +217,7 @@ def p6_constants(spark: SparkSession, d: str) -> DataFrame:
 
 
 def f3_tenant_scope(spark: SparkSession, d: str) -> DataFrame:
-    return C.scope_client(shapes.churn(spark, d), "client_1").select("client_id", "account_id", "feature_date", "contract_id")
+    return C.scoped(shapes.churn(spark, d), "client_1").select("client_id", "account_id", "feature_date", "contract_id")
 
 
 def f4_snapshot_scope(spark: SparkSession, d: str) -> DataFrame:
@@ -228,7 +227,7 @@ def f4_snapshot_scope(spark: SparkSession, d: str) -> DataFrame:
         write_partitioned(shapes.churn(spark, d), path, ["feature_date"])
 
     churn = spark.read.parquet(stages.once(spark, d, "churn-by-day", write))
-    return C.scope_snapshot(churn, "2024-01-05").select("client_id", "account_id", "feature_date", "contract_id")
+    return C.scoped(churn, day="2024-01-05").select("client_id", "account_id", "feature_date", "contract_id")
 
 
 @shapes.planned_once
@@ -245,6 +244,7 @@ def _dirty_models(spark: SparkSession, d: str) -> dict[str, DataFrame]:
             "operation_type": F.when(n % 59 == 2, "DELETE").otherwise(F.col("operation_type")),
             "module_key": F.when(n % 61 == 3, "contacts").otherwise(F.col("module_key")),
             "organization_id": F.when(n % 67 != 4, F.col("organization_id")),
+            "tenant_name": F.when(n % 71 == 8, F.upper("tenant_name")).otherwise(F.col("tenant_name")),
         }
     )
     activity = shapes.activity(spark, d).withColumns(
@@ -258,8 +258,10 @@ def _dirty_models(spark: SparkSession, d: str) -> dict[str, DataFrame]:
         "kpi_readiness_status",
         F.when(day == 20, "UNKNOWN").when(day != 21, F.col("kpi_readiness_status")),
     )
+    again = kpi.filter(day == 18).withColumn("tenant_name", F.lower("tenant_name"))
+    kpi = kpi.unionByName(again)
     models = {"raw_records": records, "raw_activity": activity, "raw_kpi": kpi}
-    return models | marts.build_marts(records, activity, kpi, joins.hot_records(activity))
+    return models | marts.build_marts(records, activity, kpi)
 
 
 def q_not_null(spark: SparkSession, d: str) -> DataFrame:
@@ -270,9 +272,13 @@ def q_accepted_values(spark: SparkSession, d: str) -> DataFrame:
     return quality.check_accepted_values(_dirty_models(spark, d))
 
 
+def q_checks(spark: SparkSession, d: str) -> DataFrame:
+    """Every rule of every model, grains included."""
+    return quality.run_checks(_dirty_models(spark, d))
+
+
 def _duplicates(spark: SparkSession, d: str, model: str) -> DataFrame:
-    models = marts.build_marts(shapes.records(spark, d), shapes.activity(spark, d), shapes.kpi(spark, d))
-    return quality.unique_grain(models[model], S.UNIQUE_GRAIN[model])
+    return quality.unique_grain(_dirty_models(spark, d)[model], S.UNIQUE_GRAIN[model])
 
 
 def q_unique_record_day(spark: SparkSession, d: str) -> DataFrame:
@@ -299,7 +305,7 @@ QUERIES = {
         j1_record_activity_equi, j2_kpi_records, j4_tenant_dim, a1_activity_rollup,
         m1_record_daily_activity, m1_record_daily_activity_dedup, m2_scorecard, m2_scorecard_plain,
         m3_pipeline_health, m4_module_snapshot, w1_latest_churn, w1_latest_churn_max_by, w2_latest_lead,
-        w3_latest_cdc, u1_union_modules, x14_calendar_spine, x_scalars, q_not_null, q_accepted_values,
+        w3_latest_cdc, u1_union_modules, x14_calendar_spine, x_scalars, q_not_null, q_accepted_values, q_checks,
         q_unique_record_day, q_unique_scorecard, q_unique_health, q_unique_snapshot,
     )
 }

@@ -132,7 +132,7 @@ kpi_counts AS (
          CAST(count(*) FILTER (event_type = 'view') AS BIGINT) AS views,
          CAST(sum(CAST(floor(value) AS BIGINT)) AS BIGINT) AS duration,
          CAST(count(*) AS BIGINT) AS activity_volume
-  FROM tenant_events WHERE event_day >= DATE '2024-01-17'
+  FROM tenant_events WHERE event_day > (SELECT max(event_day) FROM tenant_events) - INTERVAL 14 DAY
   GROUP BY ALL
 ), kpi_raw AS (
   SELECT organization_id, tenant_name, tenant_domain, tenant_company_size, kpi_date,
@@ -365,14 +365,27 @@ _ENTITY_SQL: dict[str, tuple[str, dict[str, str]]] = {
 }
 
 
+# What a change record must hold.
+_REQUIRED = {
+    "account": ["applicationId", "accountId", "clientId", "cdc_timestamp", "operationType"],
+    "lead": ["applicationId", "leadId", "clientId", "cdc_timestamp", "operationType"],
+    "opportunity": ["applicationId", "opportunityId", "clientId", "cdc_timestamp", "operationType"],
+    "contract": ["applicationId", "contractId", "clientId", "cdc_timestamp", "operationType"],
+    "call": ["applicationId", "callId", "clientId", "cdc_timestamp", "operationType"],
+    "email": ["applicationId", "emailId", "clientId", "cdc_timestamp", "operationType"],
+}
+
+
 def _entity(name: str) -> str:
     """``entity`` holds the typed rows; ``is_invalid`` their required-field verdict."""
     source, fields = _ENTITY_SQL[name]
-    required = S.required_fields(S.ENTITY_SCHEMAS[name])
-    invalid = " OR ".join(f"{c} IS NULL OR trim(CAST({c} AS VARCHAR)) = ''" for c in required)
+    required = _REQUIRED[name]
+    blank = {c: f"{c} IS NULL OR trim(CAST({c} AS VARCHAR)) = ''" for c in required}
+    invalid = " OR ".join(blank.values())
+    missing = ", ".join(f"CASE WHEN {test} THEN '{c}' END" for c, test in blank.items())
     select = ", ".join(f"{v} AS {c}" for c, v in fields.items())
     return f"""WITH typed AS (SELECT {select} FROM {source}),
-entity AS (SELECT *, ({invalid}) AS is_invalid FROM typed) """
+entity AS (SELECT *, ({invalid}) AS is_invalid, concat_ws(',', {missing}) AS missing_fields FROM typed) """
 
 
 def _time_parts(ts: str, hour: bool = True) -> str:
@@ -398,11 +411,49 @@ _latest = "QUALIFY row_number() OVER (PARTITION BY {keys} ORDER BY {order}) = 1"
 _load_order = "loaded_at DESC, exported_at DESC, src_filename DESC"
 
 
+# The rules as the data contract has them.
+_NOT_NULL = {'raw_records': ['organization_id', 'module_key', 'record_id'],
+ 'raw_activity': ['organization_id', 'module_key', 'record_id'],
+ 'raw_kpi': ['organization_id', 'kpi_date'],
+ 'stg_records': ['organization_id',
+                 'module_key',
+                 'application_id',
+                 'operation_type',
+                 'cdc_timestamp',
+                 'resolved_record_id',
+                 'record_id'],
+ 'stg_activity': ['organization_id',
+                  'module_key',
+                  'activity_type',
+                  'application_id',
+                  'activity_date',
+                  'operation_type',
+                  'record_id'],
+ 'stg_kpi': ['organization_id', 'kpi_date', 'kpi_readiness_status'],
+ 'record_daily_activity': ['organization_id', 'record_id', 'record_date', 'module_key'],
+ 'daily_scorecard': ['organization_id', 'kpi_date', 'kpi_readiness_status'],
+ 'pipeline_health': ['organization_id', 'kpi_date', 'pipeline_health_status'],
+ 'module_snapshot': ['organization_id', 'module_key']}
+_ACCEPTED = {'stg_records': {'module_key': ['ACCOUNTS', 'LEADS', 'OPPORTUNITIES'], 'operation_type': ['INSERT', 'UPDATE']},
+ 'stg_activity': {'module_key': ['CALLS', 'EMAILS', 'TASKS'],
+                  'activity_type': ['CALL', 'EMAIL', 'TASK'],
+                  'operation_type': ['INSERT', 'UPDATE']},
+ 'stg_kpi': {'kpi_readiness_status': ['READY', 'PARTIAL', 'BLOCKED']},
+ 'record_daily_activity': {'module_key': ['ACCOUNTS', 'LEADS', 'OPPORTUNITIES']},
+ 'daily_scorecard': {'kpi_readiness_status': ['READY', 'PARTIAL', 'BLOCKED']},
+ 'pipeline_health': {'pipeline_health_status': ['BLOCKED', 'HEALTHY', 'WATCH', 'AT_RISK']},
+ 'module_snapshot': {'module_key': ['ACCOUNTS', 'LEADS', 'OPPORTUNITIES']}}
+_GRAIN = {'record_daily_activity': ['organization_id', 'record_id', 'record_date'],
+ 'daily_scorecard': ['organization_id', 'kpi_date'],
+ 'pipeline_health': ['organization_id', 'kpi_date'],
+ 'module_snapshot': ['organization_id', 'module_key']}
+
+
 def _not_null_sql() -> str:
     parts = [
-        f"SELECT '{m}' AS model, 'not_null' AS check_name, '{c}' AS column_name, "
+        f"SELECT '{m}' AS model, 'not_null' AS check_name, '{c}' AS column_name, CAST(NULL AS VARCHAR) AS value, "
         f"CAST(count(*) AS BIGINT) AS violations FROM {m} WHERE {c} IS NULL HAVING count(*) > 0"
-        for m, columns in S.NOT_NULL.items()
+        for m, columns in _NOT_NULL.items()
         for c in columns
     ]
     return " UNION ALL ".join(parts)
@@ -410,7 +461,7 @@ def _not_null_sql() -> str:
 
 def _accepted_sql() -> str:
     parts = []
-    for m, rules in S.ACCEPTED_VALUES.items():
+    for m, rules in _ACCEPTED.items():
         for c, allowed in rules.items():
             inside = ", ".join(f"'{v}'" for v in allowed)
             parts.append(
@@ -425,24 +476,43 @@ DIRTY = f"""WITH {RAW}, raw_records AS (
     CASE WHEN {_n('record_id')} % 53 <> 1 THEN application_id END AS application_id,
     CASE WHEN {_n('record_id')} % 59 = 2 THEN 'DELETE' ELSE operation_type END AS operation_type,
     CASE WHEN {_n('record_id')} % 61 = 3 THEN 'contacts' ELSE module_key END AS module_key,
-    CASE WHEN {_n('record_id')} % 67 <> 4 THEN organization_id END AS organization_id) FROM records_raw
+    CASE WHEN {_n('record_id')} % 67 <> 4 THEN organization_id END AS organization_id,
+    CASE WHEN {_n('record_id')} % 71 = 8 THEN upper(tenant_name) ELSE tenant_name END AS tenant_name) FROM records_raw
 ), raw_activity AS (
   SELECT * REPLACE (
     CASE WHEN {_n('record_id')} % 43 = 5 THEN 'CHAT' ELSE activity_type END AS activity_type,
     CASE WHEN {_n('record_id')} % 47 <> 6 THEN activity_date END AS activity_date) FROM activity_raw
-), raw_kpi AS (
+), kpi_flawed AS (
   SELECT * REPLACE (CASE day(kpi_date) WHEN 20 THEN 'UNKNOWN' WHEN 21 THEN NULL ELSE kpi_readiness_status END
     AS kpi_readiness_status) FROM kpi_raw
+), raw_kpi AS (
+  SELECT * FROM kpi_flawed UNION ALL
+  SELECT * REPLACE (lower(tenant_name) AS tenant_name) FROM kpi_flawed WHERE day(kpi_date) = 18
 ), {_marts('raw_records', 'raw_activity', 'raw_kpi')} """
 
 
 def _unique(model: str) -> str:
-    keys = ", ".join(S.UNIQUE_GRAIN[model])
+    keys = ", ".join(_GRAIN[model])
     return (
-        MODELS + f"SELECT {keys}, CAST(count(*) AS BIGINT) AS row_count FROM {model} GROUP BY {keys} HAVING count(*) > 1"
+        DIRTY + f"SELECT {keys}, CAST(count(*) AS BIGINT) AS row_count FROM {model} GROUP BY {keys} HAVING count(*) > 1"
+    )
+
+
+def _grain_sql() -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{m}' AS model, 'unique_grain' AS check_name, '{','.join(keys)}' AS column_name, "
+        f"concat_ws('|', {', '.join(f'CAST({k} AS VARCHAR)' for k in keys)}) AS value, "
+        f"CAST(count(*) AS BIGINT) AS violations FROM {m} GROUP BY {', '.join(keys)} HAVING count(*) > 1"
+        for m, keys in _GRAIN.items()
     )
 
 
+_SNAPSHOT_DOC = "Grain (organization_id, module_key): distinct records, owners, teams and stages, all days."
+_SNAPSHOT_COLUMN_DOCS = {'organization_id': 'Tenant boundary.',
+ 'module_key': 'CRM module within the tenant.',
+ 'latest_cdc_timestamp': 'Newest change seen in the module.'}
+
+
 def _json_seq(column: str, key: str) -> str:
     return f"CAST(json_extract(TRY_CAST({column} AS JSON), '$.{key}') AS BIGINT) AS extras_json"
 
@@ -490,7 +560,8 @@ ORACLE: dict[str, str] = {
     "m2_scorecard_plain": MODELS + "SELECT * FROM daily_scorecard",
     "m3_pipeline_health": MODELS + "SELECT * FROM pipeline_health",
     "m4_module_snapshot": MODELS + "SELECT * FROM module_snapshot",
-    "q_not_null": DIRTY + _not_null_sql(),
+    "q_not_null": DIRTY + f"SELECT * EXCLUDE (value) FROM ({_not_null_sql()})",
+    "q_checks": DIRTY + " UNION ALL ".join([_not_null_sql(), _accepted_sql(), _grain_sql()]),
     "q_accepted_values": DIRTY + _accepted_sql(),
     "q_unique_record_day": _unique("record_daily_activity"),
     "q_unique_scorecard": _unique("daily_scorecard"),
@@ -503,8 +574,8 @@ ORACLE: dict[str, str] = {
     + _latest.format(keys="client_id, account_id, feature_date", order=_load_order),
     "w2_latest_lead": f"WITH {LEADS} SELECT * FROM lead_scores " + _latest.format(keys=LEAD_KEY, order=_load_order),
     "w3_latest_cdc": _entity("opportunity")
-    + "SELECT * EXCLUDE (is_invalid) FROM entity WHERE cdc_timestamp IS NOT NULL "
-    + _latest.format(keys="opportunityId", order="cdc_timestamp DESC"),
+    + "SELECT * EXCLUDE (is_invalid, missing_fields) FROM entity "
+    + _latest.format(keys="opportunityId", order='cdc_timestamp DESC NULLS FIRST, "createdDate" DESC NULLS FIRST, amount DESC NULLS FIRST'),
     "k16_upsert": f"""WITH {LEADS}, target AS (
           SELECT * FROM lead_scores WHERE src_filename <> 'load_2.parquet' {_latest.format(keys=LEAD_KEY, order=_load_order)}),
         src AS (
@@ -560,6 +631,12 @@ ORACLE: dict[str, str] = {
     "s12_on_error_continue": f"""WITH {RECORDS} SELECT organization_id,
         CAST(count(*) FILTER (NOT {BAD_RECORD}) AS BIGINT) AS loaded_rows,
         CAST(count(*) FILTER ({BAD_RECORD}) AS BIGINT) AS skipped_rows FROM records_raw GROUP BY 1""",
+    "s12_drifting_files": f"""WITH {RECORDS} SELECT organization_id, module_key, record_id, cdc_timestamp, annual_revenue_usd,
+        CASE WHEN {_n('record_id')} % 3 <> 0 THEN amount_usd END AS amount_usd
+        FROM records_raw WHERE NOT {BAD_RECORD} OR {_n('record_id')} % 3 = 2""",
+    "s13_load_partitioned": f"""WITH {KPI} SELECT organization_id, kpi_date,
+        pipeline_created_count + 1 AS pipeline_created_count, activity_volume FROM kpi_raw WHERE day(kpi_date) % 11 <> 4""",
+    "s13_backfill": f"WITH {LEADS} SELECT {_CLEAN_LEADS} FROM lead_scores",
     "s13_load_once": f"WITH {LEADS} SELECT {_CLEAN_LEADS} FROM lead_scores WHERE touchpoints_last_30d <> 13",
     "s14_table_scan": f"""WITH {RECORDS} SELECT organization_id, module_key, record_id, health_score
         FROM records_raw WHERE upper(module_key) = 'ACCOUNTS'""",
@@ -570,15 +647,15 @@ ORACLE: dict[str, str] = {
         CAST(count(*) AS BIGINT) AS rows_after FROM kpi_raw GROUP BY 1""",
     # Bronze job
     "p1_schema_cast": _entity("account")
-    + 'SELECT "accountId", "annualRevenue", "numberOfEmployees", cdc_timestamp FROM entity WHERE trim("accountId") <> \'\'',
-    "f1_required_invalid": _entity("contract") + 'SELECT "contractId", is_invalid FROM entity',
-    "f2_split_good": _entity("opportunity") + "SELECT * EXCLUDE (is_invalid) FROM entity WHERE NOT is_invalid",
+    + 'SELECT "accountId", "annualRevenue", "numberOfEmployees", cdc_timestamp FROM entity',
+    "f1_required_invalid": _entity("contract") + 'SELECT "contractId", is_invalid, missing_fields FROM entity',
+    "f2_split_good": _entity("opportunity") + "SELECT * EXCLUDE (is_invalid, missing_fields) FROM entity WHERE NOT is_invalid",
     "f2_split_bad": _entity("opportunity")
     + "SELECT * EXCLUDE (is_invalid), 'missing_required_field' AS validation_reason FROM entity WHERE is_invalid",
     "q4_quarantine_report": _entity("call")
-    + "SELECT 'missing_required_field' AS validation_reason, CAST(count(*) AS BIGINT) AS row_count FROM entity WHERE is_invalid",
+    + "SELECT 'missing_required_field' AS validation_reason, missing_fields, CAST(count(*) AS BIGINT) AS row_count FROM entity WHERE is_invalid GROUP BY ALL",
     "k1_append_partitioned": _entity("account")
-    + f"SELECT * EXCLUDE (is_invalid), {_time_parts('cdc_timestamp')} FROM entity WHERE NOT is_invalid",
+    + f"SELECT * EXCLUDE (is_invalid, missing_fields), {_time_parts('cdc_timestamp')} FROM entity WHERE NOT is_invalid",
     "k2_quarantine": _entity("call")
     + """SELECT "callId", "clientId", cdc_timestamp, CAST(hour(cdc_timestamp) AS INTEGER) AS hour,
         'missing_required_field' AS validation_reason FROM entity WHERE is_invalid""",
@@ -596,10 +673,10 @@ ORACLE: dict[str, str] = {
     "k7_materialize": MODELS + """SELECT organization_id, kpi_date, lead_records_seen, opportunity_records_seen,
         account_records_seen, crm_activities_joined, pipeline_amount_usd, pipeline_health_status FROM pipeline_health""",
     "k8_docs": MODELS
-    + f"SELECT '{S.MODEL_DOCS['module_snapshot']}' AS table_comment, column_name, comment, filled_rows FROM ("
+    + f"SELECT '{_SNAPSHOT_DOC}' AS table_comment, column_name, comment, filled_rows FROM ("
     + " UNION ALL ".join(
         f"SELECT '{c}' AS column_name, "
-        + (f"'{S.COLUMN_DOCS[c]}'" if c in S.COLUMN_DOCS else "CAST(NULL AS VARCHAR)")
+        + (f"'{_SNAPSHOT_COLUMN_DOCS[c]}'" if c in _SNAPSHOT_COLUMN_DOCS else "CAST(NULL AS VARCHAR)")
         + f" AS comment, CAST(count({c}) AS BIGINT) AS filled_rows FROM module_snapshot"
         for c in """organization_id tenant_name tenant_domain tenant_company_size module_key record_count
         owner_count team_count stage_count avg_health_score avg_lead_score_hint total_amount_usd
@@ -629,4 +706,4 @@ ORACLE: dict[str, str] = {
     + ") UNION ALL SELECT * FROM ("
     + _last_load.format(extra=", 'newest_export' AS rule", order="exported_at DESC")
     + ")",
-} | {f"p2_bronze_{e}": _entity(e) + "SELECT * EXCLUDE (is_invalid) FROM entity" for e in _ENTITY_SQL}
+} | {f"p2_bronze_{e}": _entity(e) + "SELECT * EXCLUDE (is_invalid, missing_fields) FROM entity" for e in _ENTITY_SQL}

@@ -17,7 +17,7 @@ from crmtide import schemas as S
 from crmtide.functions.columns import union_modules
 
 EPOCH = "timestamp_ntz'2024-01-01 00:00:00'"
-KPI_START = "2024-01-17"
+KPI_DAYS = 14
 
 
 _plans: dict[tuple, DataFrame] = {}
@@ -196,9 +196,10 @@ def kpi(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.count_if(F.col("event_type") == kind)
 
     day = F.dayofmonth("kpi_date") % 7
+    events = tenant_events(spark, sf_dir)
+    last = events.select(F.max("activity_date")).scalar()
     counted = (
-        tenant_events(spark, sf_dir)
-        .filter(F.col("activity_date") >= F.lit(KPI_START).cast("date"))
+        events.filter(F.col("activity_date") > F.date_sub(last, KPI_DAYS))
         .groupBy(
             "organization_id", "tenant_name", "tenant_domain", "tenant_company_size",
             F.col("activity_date").alias("kpi_date"),

@@ -84,6 +84,35 @@ def records_stage(spark: SparkSession, sf_dir: str) -> str:
     return once(spark, sf_dir, "stage-records", write)
 
 
+def drifting_stage(spark: SparkSession, sf_dir: str) -> str:
+    """Records by number modulo 3: without amounts, all as text, numbers and times typed; and a junk file."""
+
+    def write(path: str) -> None:
+        records = shapes.records(spark, sf_dir).drop("src_filename", "loaded_at")
+        n, folders = _number("record_id") % 3, ["organization_id", "module_key"]
+        for k, df in enumerate((text_records(records).drop("amount_usd"), text_records(records), records)):
+            write_partitioned(df.filter(n == k), path, folders, mode="append")
+        put_file(spark, f"{path}/broken.parquet", b"no footer here")
+
+    return once(spark, sf_dir, "stage-drifting", write)
+
+
+def put_file(spark: SparkSession, path: str, content: bytes) -> None:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    out = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(at)
+    out.write(bytearray(content))
+    out.close()
+
+
+def date_back(spark: SparkSession, folder: str, days: int) -> None:
+    """Set the modification time of a folder's files so many days back."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for status in fs.listStatus(at):
+        then = status.getModificationTime() - days * 86_400_000
+        fs.setTimes(status.getPath(), then, -1)
+
+
 def activity_stage(spark: SparkSession, sf_dir: str) -> str:
     def write(path: str) -> None:
         write_partitioned(text_activity(shapes.activity(spark, sf_dir)), path, ["organization_id", "module_key"])

@@ -12,42 +12,32 @@ from crmtide import schemas as S
 from crmtide.plans import jobs
 from crmtide.sources.bronze import CORRUPT, read_bronze, typed_bronze
 
-BASE = dt.datetime(2026, 8, 11, 19, 8, 41)
+START = dt.datetime(2025, 3, 2, 22, 50)
+COUNTS = {"account": 2, "lead": 4, "opportunity": 3, "contract": 2, "call": 5, "email": 11}
+VALUES = {"string": lambda f, i: f"{f}-{i}", "double": lambda f, i: i * 1.25, "int": lambda f, i: 7 * i, "date": lambda f, i: f"2025-04-{1 + i:02d}"}
 
 
 def line(minutes, **fields):
-    at = (BASE + dt.timedelta(minutes=minutes)).isoformat() + "+00:00"
-    return {"applicationId": "app_crm", "cdc_timestamp": at, "operationType": "UPSERT", "run_date": "2026-08-11"} | fields, at
+    at = (START + dt.timedelta(minutes=minutes)).isoformat() + "+00:00"
+    return {"cdc_timestamp": at, "operationType": "UPSERT", "undeclared": "dropped"} | fields, at
 
 
 def fixture_lines():
-    """27 change records in the proportions 3/3/3/3/6/9, minutes apart."""
-    out = {e: [] for e in S.ENTITY_SCHEMAS}
-    for i in range(1, 4):
-        acc, led, client = f"ACC{i:04d}", f"LED{i:04d}", "client_alpha"
-        out["account"].append(line(i, accountId=acc, clientId=client, accountName=f"Account {i}", industry="Travel",
-                                   annualRevenue=10841025 + i, numberOfEmployees=830, accountType="Customer")[0])
-        row, at = line(100 + i, leadId=led, accountId=acc, clientId=client, firstName=f"Lead{i}", lastName="User",
-                       email=f"lead{i}@example.test", company=f"Company {i}", leadSource="Web", leadStatus="OPEN")
-        out["lead"].append(row | {"createdDate": at})
-        row, at = line(200 + i, opportunityId=f"OPP{i:04d}", leadId=led, accountId=acc, clientId=client,
-                       stage="Qualified", probability=20 * i, amount=26850 + i)
-        out["opportunity"].append(row | {"createdDate": at})
-        out["contract"].append(line(300 + i, contractId=f"CON{i:04d}", accountId=acc, clientId=client, contractValue=396272,
-                                    contractStatus="ACTIVE", contractStartDate="2025-12-25", contractEndDate="2027-05-23")[0])
-        for j in range(2):
-            row, at = line(400 + i + j, callId=f"CAL{i}{j}", accountId=acc, leadId=led, clientId=client,
-                           direction="INBOUND", outcome="CONNECTED", durationSeconds=741)
-            out["call"].append(row | {"callStartTime": at})
-        for j in range(3):
-            row, at = line(500 + i + j, emailId=f"EML{i}{j}", accountId=acc, leadId=led, clientId=client,
-                           subject=f"Follow-up {i}", emailStatus="SENT")
-            out["email"].append(row | {"sentTime": at})
+    """27 change records, the fields of each made up from its schema."""
+    out = {}
+    for e, n in COUNTS.items():
+        out[e] = []
+        for i in range(n):
+            row, at = line(37 * i)
+            for f in S.ENTITY_SCHEMAS[e]:
+                kind = f.dataType.simpleString()
+                row.setdefault(f.name, at if kind == "timestamp" else VALUES[kind](f.name, i))
+            out[e].append(row)
     return out
 
 
-def write_lines(root: str, entity: str, lines, hour: str = "19") -> str:
-    folder = Path(root) / entity / "year=2026" / "month=08" / "day=11" / f"hour={hour}"
+def write_lines(root: str, entity: str, lines, hour: str = "04") -> str:
+    folder = Path(root) / entity / "year=2025" / "month=03" / "day=03" / f"hour={hour}"
     folder.mkdir(parents=True, exist_ok=True)
     text = "\n".join(x if isinstance(x, str) else json.dumps(x) for x in lines)
     (folder / f"{entity}.json").write_text(text + "\n")
@@ -73,9 +63,9 @@ def test_every_entity_loads_completely(spark, path, entity):
 def test_partitions_follow_event_time_not_folder(spark, path):
     source = write_lines(path("bronze"), "contract", fixture_lines()["contract"])
     jobs.bronze_to_silver(spark, "contract", source, "b_hours", path("q"), table_path=path("t"))
-    assert rows(spark.table("b_hours").select(*S.EVENT_HOUR).distinct()) == [(2026, 8, 12, 0)]
+    assert rows(spark.table("b_hours").select(*S.EVENT_HOUR).distinct()) == [(2025, 3, 2, 22), (2025, 3, 2, 23)]
     scan = read_bronze(spark, "contract", source, with_path_cols=True)
-    assert rows(scan.select(*S.EVENT_HOUR).distinct()) == [(2026, 8, 11, 19)]
+    assert rows(scan.select(*S.EVENT_HOUR).distinct()) == [(2025, 3, 3, 4)]
 
 
 def test_invalid_rows_are_quarantined_and_reruns_append(spark, path):
@@ -91,11 +81,15 @@ def test_invalid_rows_are_quarantined_and_reruns_append(spark, path):
         assert counts == {"loaded": 5, "quarantined": 5}
         assert spark.table("b_calls").count() == 5 * n
     seconds = [r[0] for r in spark.table("b_calls").select("durationSeconds").collect()]
-    assert sorted(s for s in seconds if s is not None) == [12, 12, 741, 741, 741, 741, 741, 741]
+    assert sorted(s for s in seconds if s is not None) == [0, 0, 0, 0, 7, 7, 12, 12]
     quarantine = spark.read.parquet(path("q") + "/call")
     assert quarantine.count() == 10
     assert quarantine.filter("hour is null").count() == 4
     assert {r[0] for r in quarantine.select("validation_reason").collect()} == {"missing_required_field"}
+    every = "applicationId,callId,clientId,cdc_timestamp,operationType"
+    assert sorted(r[0] for r in quarantine.select("missing_fields").distinct().collect()) == sorted(
+        ["clientId", "callId", "cdc_timestamp", every, "applicationId"]
+    )
 
 
 def test_corrupt_line_is_kept_on_request(spark, path):

@@ -58,6 +58,9 @@ def test_required_invalid_blank_null_tab(spark):
     df = spark.createDataFrame([("a", "b"), ("  ", "b"), (None, "b"), ("\t", "b"), ("a", None)], "x string, y string")
     got = [r[0] for r in df.select(C.required_invalid(["x", "y"])).collect()]
     assert got == [False, True, True, False, True]
+    assert [r[0] for r in df.select(C.missing_fields(["x", "y"])).collect()] == [
+        [n for n, v in zip("xy", r) if v is None or not str(v).strip(" ")] for r in df.collect()
+    ]
     assert df.select(C.required_invalid([])).distinct().collect()[0][0] is False
 
 
@@ -77,10 +80,14 @@ def test_calendar_spine_covers_fourteen_days(spark):
 
 def test_scopes(spark):
     df = spark.sql("select 'a' client_id, date'2024-01-05' feature_date union all select 'b', date'2024-01-06'")
-    assert C.scope_client(df, "ALL").count() == 2
-    assert rows(C.scope_client(df, "a"), "client_id") == [("a",)]
-    assert rows(C.scope_snapshot(df, "2024-01-06"), "client_id") == [("b",)]
-    assert C.scope_snapshot(df.drop("feature_date"), "2024-01-06").count() == 2
+    assert C.scoped(df).count() == 2
+    assert rows(C.scoped(df, "a"), "client_id") == [("a",)]
+    assert rows(C.scoped(df, day="2024-01-06"), "client_id") == [("b",)]
+    assert C.scoped(df, "a", "2024-01-06").count() == 0
+    assert C.scoped(df.drop("feature_date"), day="2024-01-06").count() == 2
+    for wrong in ({"client_id": ""}, {"day": ""}, {"day": "2024-13-01"}):
+        with pytest.raises(ValueError):
+            C.scoped(df, **wrong)
 
 
 def test_union_keeps_duplicates_and_fills(spark):

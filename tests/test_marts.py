@@ -108,7 +108,7 @@ def test_rollup_groups_null_keys(frames):
 @pytest.mark.parametrize("min_rows", [None, 1, 2, 10**9])
 def test_record_join_equals_either_or_condition(frames, by_module, min_rows):
     records, activity, _ = frames
-    hot = None if min_rows is None else hot_records(activity, min_rows)
+    hot = None if min_rows is None else hot_records(rollups.activity_rollup(activity), min_rows)
     assert not hot if min_rows in (None, 10**9) else len(hot) > 0
     columns = ["organization_id", "module_key", "record_id", "record_date", *rollups.ROLLUP_MEASURES, "health_score"]
     got = marts.record_daily_activity(records, activity, by_module=by_module, hot=hot).select(*columns)
@@ -142,6 +142,8 @@ def test_hot_keys_finds_the_heavy_key(spark):
     heavy = spark.range(1).select(F.lit(0).cast("bigint").alias("k")).select(key_hash(["k"])).first()[0]
     assert hot_keys(df, ["k"], 9_000) == [heavy]
     assert hot_keys(df, ["k"], 11_000) == []
+    assert hot_keys(df.withColumn("k", F.nullif("k", F.lit(0))), ["k"], 9_000) == []
+    assert len(hot_keys(spark.range(40_000).select((F.col("id") % 20_000).alias("k")), ["k"], 2)) == 20_000
 
 
 def test_weighted_scorecard_equals_plain(frames):

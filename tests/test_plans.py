@@ -9,7 +9,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from crmtide import schemas as S
-from crmtide.functions.columns import scope_snapshot
+from crmtide.functions.columns import scoped
 from crmtide.operators import upsert as U
 from crmtide.operators.joins import fanout_left_join
 from crmtide.operators.latest import latest_per_key
@@ -50,7 +50,7 @@ def test_latest_cuts_partitions_before_the_shuffle(spark):
 def test_snapshot_scope_prunes_directories(spark, path):
     df = spark.sql("select 1 v, date'2024-01-05' feature_date union all select 2, date'2024-01-06'")
     files.write_partitioned(df, path("t"), ["feature_date"])
-    plan = physical(scope_snapshot(spark.read.parquet(path("t")), "2024-01-05"))
+    plan = physical(scoped(spark.read.parquet(path("t")), day="2024-01-05"))
     assert "PartitionFilters: [isnotnull(feature_date" in plan
 
 

@@ -39,3 +39,20 @@ def test_checks_run_for_the_given_models_only(spark):
     models = {"stg_kpi": kpi}
     assert rows(quality.check_not_null(models), "model", "column_name", "violations") == [("stg_kpi", "organization_id", 1)]
     assert rows(quality.check_accepted_values(models), "column_name", "value") == [("kpi_readiness_status", "LATE")]
+
+
+def test_all_rules_of_a_model_take_one_pass(spark, path):
+    kpi = spark.createDataFrame(
+        [("o", dt.date(2024, 1, 1), "READY"), (None, dt.date(2024, 1, 1), "LATE"), ("o", dt.date(2024, 1, 1), "READY")],
+        "organization_id string, kpi_date date, kpi_readiness_status string",
+    )
+    kpi.write.parquet(path("k"))
+    table = spark.read.parquet(path("k"))
+    found = quality.violations(table, S.NOT_NULL["daily_scorecard"], S.ACCEPTED_VALUES["daily_scorecard"])
+    assert found._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    got = quality.run_checks({"daily_scorecard": table})
+    assert rows(got, "check_name", "column_name", "value", "violations") == [
+        ("accepted_values", "kpi_readiness_status", "LATE", 1),
+        ("not_null", "organization_id", None, 1),
+        ("unique_grain", "organization_id,kpi_date", "o|2024-01-01", 2),
+    ]

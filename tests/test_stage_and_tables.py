@@ -14,6 +14,7 @@ from crmtide.plans import jobs
 from crmtide.sinks import files, tables
 from crmtide.sources import stage
 from crmtide.sources import tables as table_source
+from crmtide.sources.stage import file_schemas, load_landing, stage_schema
 
 KPI_FILE = (
     "organization_id string, kpi_date string, tenant_name string, pipeline_created_count string, "
@@ -150,3 +151,35 @@ def test_rebalanced_write_keeps_all_rows(spark, path):
     )
     files.write_partitioned(df, path("out"), ["p"])
     assert spark.read.parquet(path("out")).agg(F.count("*"), F.sum("id")).first()[:] == (2000, 1999000)
+
+
+def _records_file(spark, path, **columns):
+    row = {"organization_id": "'o1'", "record_id": "'r'", **columns}
+    spark.sql("select " + ", ".join(f"{v} as {c}" for c, v in row.items())).coalesce(1).write.mode("append").parquet(path)
+
+
+def test_files_with_other_columns_or_types_all_load(spark, path):
+    _records_file(spark, path("s") + "/module_key=007", record_id="'a'", amount_usd="5.0D", annual_revenue_usd="'12.5'")
+    _records_file(spark, path("s") + "/module_key=007", record_id="'b'", annual_revenue_usd="99L")
+    _records_file(spark, path("s") + "/module_key=X", record_id="'c'", annual_revenue_usd="'many'", note="'undeclared'")
+    (Path(path("s")) / "broken.parquet").write_bytes(b"no footer")
+    got = load_landing(spark, "records", path("s"))
+    assert rows(got, "record_id", "module_key", "amount_usd", "annual_revenue_usd") == [("a", "007", 5.0, 13), ("b", "007", None, 99)]
+    assert got.filter("src_filename like 'module_key=007/%'").count() == 2
+    problems = file_schemas(spark, path("s")).filter("problem is not null")
+    assert [r["file"].rpartition("/")[2] for r in problems.collect()] == ["broken.parquet"]
+    with pytest.raises(ValueError, match="broken.parquet"):
+        load_landing(spark, "records", path("s"), on_error="fail")
+
+
+def test_a_stage_without_files_loads_nothing(spark, path):
+    Path(path("none")).mkdir()
+    assert load_landing(spark, "kpi", path("none")).count() == 0
+
+
+def test_a_stream_refuses_a_column_of_two_types(spark, path):
+    _records_file(spark, path("s"), annual_revenue_usd="'1'")
+    assert stage_schema(spark, "records", path("s"), False)["annual_revenue_usd"].dataType.simpleString() == "string"
+    _records_file(spark, path("s"), annual_revenue_usd="1L")
+    with pytest.raises(ValueError, match="annual_revenue_usd"):
+        stage_schema(spark, "records", path("s"), False)
