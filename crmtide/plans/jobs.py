@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import datetime
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -18,11 +19,13 @@ from crmtide.functions.columns import (
 )
 from crmtide.operators.latest import latest_per_key
 from crmtide.operators.validate import split_valid
-from crmtide.plans.marts import build_marts
+from crmtide.operators.quality import run_checks
+from crmtide.plans import silver, staging
+from crmtide.plans.marts import build_marts, pipeline_health
 from crmtide.session import ensure_utc
 from crmtide.sinks import files, tables
 from crmtide.sources.bronze import read_bronze, typed_bronze
-from crmtide.sources.stage import load_landing
+from crmtide.sources.stage import load_landing, read_groups
 
 
 def bronze_to_silver(
@@ -93,17 +96,19 @@ def churn_batch(
     tables.materialize(curate_churn(spark.table(raw_table)), curated_table)
 
 
+STAGE_PREFIXES = {
+    "records": "silver_records_resolved",
+    "activity": "silver_activity_resolved",
+    "kpi": "silver_kpi_daily_summary",
+}
+
+
 def load_silver_landing(
     spark: SparkSession, stage_root: str, database: str, full_refresh: bool = True
 ) -> dict[str, str]:
     """Create the three landing tables and load their stage prefixes."""
-    prefixes = {
-        "records": "silver_records_resolved",
-        "activity": "silver_activity_resolved",
-        "kpi": "silver_kpi_daily_summary",
-    }
     loaded = {}
-    for name, prefix in prefixes.items():
+    for name, prefix in STAGE_PREFIXES.items():
         table = f"{database}.{prefix}_raw"
         if full_refresh or not spark.catalog.tableExists(table):
             tables.create_landing(spark, table, name)
@@ -113,14 +118,44 @@ def load_silver_landing(
     return loaded
 
 
+def build_silver_table(name: str, frames: Sequence[DataFrame], table: str, fmt: str = "parquet") -> None:
+    """One typed table, partitioned by tenant (and module) and month, from a stage's frames, whatever their types."""
+    typed = [silver.silver_ctas(name, silver.aligned(name, df)) for df in frames]
+    rows = reduce(DataFrame.unionByName, typed)
+    tables.materialize(rows, table, f"Typed {name} of all tenants.", fmt=fmt, partitions=silver.silver_partitions(name))
+
+
+def build_silver(spark: SparkSession, stage_root: str, database: str, fmt: str = "parquet") -> dict[str, str]:
+    """The three typed silver tables from their stage prefixes; files that can't be read are left out."""
+    ensure_utc(spark)
+    tables.ensure_database(spark, database)
+    built = {}
+    for name, prefix in STAGE_PREFIXES.items():
+        frames = read_groups(spark, f"{stage_root.rstrip('/')}/{prefix}", "continue")
+        built[name] = f"{database}.{prefix}"
+        build_silver_table(name, frames, built[name], fmt)
+    return built
+
+
 def build_project(spark: SparkSession, landing: Mapping[str, str], database: str) -> dict[str, DataFrame]:
-    """Staging and intermediate models as views, marts as documented tables."""
+    """Staging models as views of the database, the others as tables, all documented.
+
+    A model joined from others is a table: a view of the catalog is SQL text, and
+    these are composed of frames. The scorecard is built once and its mart from it.
+    """
+    for name, source in landing.items():
+        tables.create_view(spark, f"{database}.stg_{name}", staging.columns(name), source, S.MODEL_DOCS[f"stg_{name}"])
     records, activity, kpi = (spark.table(landing[n]) for n in ("records", "activity", "kpi"))
     models = build_marts(records, activity, kpi)
     for name, df in models.items():
-        if name in ("pipeline_health", "module_snapshot"):
+        if not name.startswith("stg_"):
+            df = pipeline_health(spark.table(f"{database}.daily_scorecard")) if name == "pipeline_health" else df
             tables.materialize(df, f"{database}.{name}", S.MODEL_DOCS[name])
-            models[name] = spark.table(f"{database}.{name}")
-        else:
-            tables.register_view(df, name)
+        models[name] = spark.table(f"{database}.{name}")
     return models
+
+
+def check_project(spark: SparkSession, landing: Mapping[str, str], database: str) -> DataFrame:
+    """Violations of every declared rule in the landing tables and the built models."""
+    models = {f"raw_{name}": spark.table(table) for name, table in landing.items()}
+    return run_checks(models | {name: spark.table(f"{database}.{name}") for name in S.MODEL_DOCS})

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from crmtide.functions.casts import try_number
+from crmtide import schemas as S
+from crmtide.functions.casts import try_number, try_typed
 
 # Column order of the typed tables.
 SILVER_COLUMNS = {
@@ -46,6 +47,22 @@ def _typed(name: str, column: str, text_timestamp: bool) -> Column:
     return source
 
 
+def aligned(name: str, stage: DataFrame) -> DataFrame:
+    """A staged frame with every column of the silver table: declared types, NULL for what the files lack.
+
+    Times stay as they are staged; ``silver_ctas`` reads both forms.
+    """
+    present, declared = dict((f.name, f.dataType) for f in stage.schema), S.LANDING_SCHEMAS[name]
+    types = {f.name: f.dataType for f in declared if f.name != "cdc_timestamp"}
+
+    def column(c: str) -> Column:
+        if c not in present:
+            return F.lit(None).cast(types.get(c, "string"))
+        return try_typed(F.col(c), present[c], types[c]) if c in types else F.col(c)
+
+    return stage.select(*[column(c).alias(c) for c in SILVER_COLUMNS[name]])
+
+
 def silver_ctas(name: str, stage: DataFrame) -> DataFrame:
     """Typed projection with its month partition column."""
     text_timestamp = dict(stage.dtypes).get("cdc_timestamp") == "string"

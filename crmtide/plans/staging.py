@@ -3,19 +3,21 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from crmtide import schemas as S
 
 
-def _staged(df: DataFrame, name: str) -> DataFrame:
+def columns(name: str) -> list[str]:
+    """The projection as SQL expressions, which the frames here and the catalog's views share."""
     typed = {
-        "module_key": F.upper("module_key"),
-        "extras_json": F.try_parse_json("extras_json"),
+        "module_key": "upper(module_key) AS module_key",
+        "extras_json": "try_parse_json(extras_json) AS extras_json",
     }
-    return df.select(
-        *[typed.get(f.name, F.col(f.name)).alias(f.name) for f in S.landing_table_schema(name)]
-    )
+    return [typed.get(f.name, f"`{f.name}`") for f in S.landing_table_schema(name)]
+
+
+def _staged(df: DataFrame, name: str) -> DataFrame:
+    return df.selectExpr(*columns(name))
 
 
 def stg_records(raw: DataFrame) -> DataFrame:

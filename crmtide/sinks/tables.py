@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
 from crmtide import schemas as S
+from crmtide.sinks.files import clustered
 
 
 def ensure_database(spark: SparkSession, name: str, location: str | None = None) -> None:
@@ -29,14 +30,26 @@ def append_landing(df: DataFrame, table: str, full_refresh: bool = False) -> Non
     df.select(*df.sparkSession.table(table).columns).write.insertInto(table, overwrite=full_refresh)
 
 
-def register_view(df: DataFrame, name: str) -> None:
-    df.createOrReplaceTempView(name)
-
-
 def _quoted(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def create_view(
+    spark: SparkSession,
+    view: str,
+    columns: Sequence[str],
+    source: str,
+    comment: str,
+    column_docs: Mapping[str, str] = S.COLUMN_DOCS,
+) -> None:
+    """A view of the database over a table, with its documentation; it reads what the table holds when it is asked."""
+    query = f"SELECT {', '.join(columns)} FROM {source}"
+    named = ", ".join(
+        f"`{c}`" + (f" COMMENT {_quoted(column_docs[c])}" if c in column_docs else "") for c in spark.sql(query).columns
+    )
+    spark.sql(f"CREATE OR REPLACE VIEW {view} ({named}) COMMENT {_quoted(comment)} AS {query}")
+
+
 def with_docs(df: DataFrame, column_docs: Mapping[str, str]) -> DataFrame:
     """Attach column comments, which table creation stores in the catalog."""
     for name, text in column_docs.items():
@@ -51,8 +64,11 @@ def materialize(
     comment: str | None = None,
     column_docs: Mapping[str, str] = S.COLUMN_DOCS,
     fmt: str = "parquet",
+    partitions: Sequence[str] = (),
 ) -> None:
-    """Replace a mart table by the model's current result, with its documentation."""
-    with_docs(df, column_docs).write.format(fmt).mode("overwrite").saveAsTable(table)
+    """Replace a table by the model's current result, with its documentation."""
+    df = clustered(df, partitions) if partitions else df
+    writer = with_docs(df, column_docs).write.format(fmt).mode("overwrite")
+    (writer.partitionBy(*partitions) if partitions else writer).saveAsTable(table)
     if comment:
         df.sparkSession.sql(f"COMMENT ON TABLE {table} IS {_quoted(comment)}")

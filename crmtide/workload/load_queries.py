@@ -14,7 +14,7 @@ from crmtide.functions.columns import missing_fields, required_invalid, with_tim
 from crmtide.operators.latest import latest_per_key
 from crmtide.operators.upsert import upsert
 from crmtide.operators.validate import quarantine_report, split_valid
-from crmtide.plans import jobs, marts, silver
+from crmtide.plans import jobs, marts, staging
 from crmtide.session import ensure_utc, shared_dir
 from crmtide.sinks import files, tables
 from crmtide.sources import stage as stage_source
@@ -281,17 +281,28 @@ def k4_partitioned_write(spark: SparkSession, d: str) -> DataFrame:
 
 
 def k5_json_write(spark: SparkSession, d: str) -> DataFrame:
-    """Rows of every load-time folder, read back from the JSON files."""
-    scan = spark.read.schema("callId string, durationSeconds bigint").json(stages.bronze_stage(spark, d, "call"))
-    return scan.groupBy("year", "month", "day").agg(
-        F.count("callId").alias("row_count"), F.sum("durationSeconds").alias("total_seconds")
-    )
+    """Rows written as JSON lines by hour and read back, keys and folders included."""
+    rows = shapes.activity(spark, d).select("record_id", "duration_seconds", "cdc_timestamp")
+    root = shared_dir(spark, "json")
+    files.write_bronze(with_time_parts(rows.withColumn("cdc_timestamp", F.col("cdc_timestamp").cast("string")), "cdc_timestamp"), root, "activity")
+    scan = spark.read.schema("record_id string, duration_seconds bigint, cdc_timestamp string").json(f"{root}/activity")
+    return scan.select("record_id", "duration_seconds", *S.EVENT_HOUR)
 
 
 def _models(spark: SparkSession, d: str) -> dict[str, DataFrame]:
     return marts.build_marts(shapes.records(spark, d), shapes.activity(spark, d), shapes.kpi(spark, d))
 
 
+def k6_views(spark: SparkSession, d: str) -> DataFrame:
+    """A view kept in the database sees rows that reach its table after it was made."""
+    database = _database(spark, "views")
+    tables.create_landing(spark, f"{database}.records_raw", "records")
+    view = f"{database}.stg_records"
+    tables.create_view(spark, view, staging.columns("records"), f"{database}.records_raw", S.MODEL_DOCS["stg_records"])
+    tables.append_landing(shapes.records(spark, d), f"{database}.records_raw")
+    return spark.table(view).select("organization_id", "module_key", "record_id", "amount_usd")
+
+
 def k7_materialize(spark: SparkSession, d: str) -> DataFrame:
     name = f"{_database(spark, 'mart')}.pipeline_health"
     tables.materialize(_models(spark, d)["pipeline_health"], name, S.MODEL_DOCS["pipeline_health"])
@@ -337,9 +348,9 @@ def k9_ddl(spark: SparkSession, d: str) -> DataFrame:
 
 def _silver(spark: SparkSession, d: str, name: str, stage: DataFrame) -> DataFrame:
     ensure_utc(spark)
-    root = shared_dir(spark, f"silver-{name}")
-    files.write_partitioned(silver.silver_ctas(name, stage), root, silver.silver_partitions(name))
-    return _plain(spark.read.parquet(root))
+    table = f"{_database(spark, 'silver')}.{name}"
+    jobs.build_silver_table(name, [stage], table)
+    return _plain(spark.table(table))
 
 
 def k12_silver_records(spark: SparkSession, d: str) -> DataFrame:
@@ -479,7 +490,7 @@ QUERIES = {
         s6_load_stamp, s7_load_records, s8_load_activity, s9_load_kpi, s10_load_churn, s11_load_lead_score,
         s12_on_error_continue, s12_drifting_files, s13_load_once, s13_load_partitioned, s13_backfill, s14_table_scan, s16_external_table, s17_msck, p1_schema_cast,
         f1_required_invalid, f2_split_good, f2_split_bad, q4_quarantine_report, k1_append_partitioned,
-        k2_quarantine, k3_export_gold, k4_partitioned_write, k5_json_write, k7_materialize, k8_docs, k9_ddl,
+        k2_quarantine, k3_export_gold, k4_partitioned_write, k5_json_write, k6_views, k7_materialize, k8_docs, k9_ddl,
         k12_silver_records, k13_silver_activity, k14_silver_kpi, k16_upsert, t1_auto_ingest, t2_change_feed,
         t3_microbatch, t4_stream_upsert, t5_late_rows, t6_bronze_stream,
     )

@@ -668,8 +668,10 @@ ORACLE: dict[str, str] = {
         WHERE client_id = 'client_1' AND feature_date = DATE '2024-01-05'""",
     "k4_partitioned_write": f"""WITH {RECORDS} SELECT organization_id, module_key, {_time_parts('cdc_timestamp', False)},
         record_id, operation_type FROM records_raw""",
-    "k5_json_write": """SELECT 2024 AS year, 1 AS month, 31 AS day, CAST(count(*) AS BIGINT) AS row_count,
-        CAST(sum(CAST(floor(value) AS BIGINT)) AS BIGINT) AS total_seconds FROM events""",
+    "k5_json_write": f"""WITH {ACTIVITY} SELECT record_id, duration_seconds, {_time_parts('cdc_timestamp')}
+        FROM activity_raw""",
+    "k6_views": f"""WITH {RECORDS} SELECT organization_id, upper(module_key) AS module_key, record_id, amount_usd
+        FROM records_raw""",
     "k7_materialize": MODELS + """SELECT organization_id, kpi_date, lead_records_seen, opportunity_records_seen,
         account_records_seen, crm_activities_joined, pipeline_amount_usd, pipeline_health_status FROM pipeline_health""",
     "k8_docs": MODELS

@@ -139,7 +139,18 @@ def test_project_build_end_to_end(spark, path):
     assert rows(health, "organization_id", "lead_records_seen", "crm_activities_joined", "pipeline_health_status") == [
         ("o", 1, 1, "HEALTHY")
     ]
-    assert spark.table("daily_scorecard").count() == 1 and models["module_snapshot"].count() == 1
+    assert spark.table("proj.daily_scorecard").count() == 1 and models["module_snapshot"].count() == 1
+    for name, comment in S.MODEL_DOCS.items():
+        assert spark.catalog.getTable(f"proj.{name}").description == comment
+    assert spark.catalog.getTable("proj.stg_records").tableType == "VIEW"
+    broken = jobs.check_project(spark, landing, "proj")
+    assert rows(broken.filter("model = 'stg_records'"), "check_name", "column_name") == [
+        ("not_null", "application_id"), ("not_null", "operation_type"), ("not_null", "resolved_record_id")
+    ]
+    silver = jobs.build_silver(spark, root, "proj")
+    got = spark.table(silver["records"])
+    assert rows(got, "record_id", "lead_score_hint", "cdc_month") == [("l1", 5.0, dt.date(2024, 1, 1))]
+    assert got.columns[-3:] == ["organization_id", "module_key", "cdc_month"]
     assert spark.catalog.getTable("proj.pipeline_health").description == S.MODEL_DOCS["pipeline_health"]
     comments = {c.name: c.description for c in spark.catalog.listColumns("proj.pipeline_health")}
     assert comments["kpi_date"] == S.COLUMN_DOCS["kpi_date"] and comments["tenant_name"] is None
