@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crmtide.sinks.files import clustered
@@ -63,25 +64,91 @@ def touched_partitions(target: DataFrame, source: DataFrame, partition_col: str)
     return target.join(keys, F.col(partition_col).eqNullSafe(F.col("_touched")), "left_semi")
 
 
+class _Journal:
+    """Merged partitions of upserts on their way into the table, below the table's own folder.
+
+    Readers skip its name. A merge counts once Spark has committed it; then it is
+    swapped in, and may be again after a crash, as it holds whole partitions.
+    """
+
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        self.root = f"{path.rstrip('/')}/_upserts"
+        self.jvm = spark.sparkContext._jvm.org.apache.hadoop.fs
+        self.fs = self._path("").getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def _path(self, name: str):
+        return self.jvm.Path(f"{self.root}/{name}" if name else self.root)
+
+    def names(self, below: str) -> list[str]:
+        folder = self._path(below)
+        return sorted(s.getPath().getName() for s in self.fs.listStatus(folder)) if self.fs.exists(folder) else []
+
+    def pending(self) -> list[str]:
+        """Merges that were committed and not ended; what was not committed is removed."""
+        found = []
+        for name in self.names("merged"):
+            if self.fs.exists(self._path(f"merged/{name}/_SUCCESS")):
+                found.append(name)
+            else:
+                self.fs.delete(self._path(f"merged/{name}"), True)
+        return found
+
+    def applied(self, source: str, batch: int) -> bool:
+        return any(int(n) >= batch for n in self.names(f"applied/{source}"))
+
+    def end(self, name: str) -> None:
+        """Note the batch, forget its source's older ones, and drop the merged rows."""
+        source, _, batch = name.rpartition(".")
+        if source:
+            self.fs.create(self._path(f"applied/{source}/{batch}"), True).close()
+            for n in self.names(f"applied/{source}"):
+                if int(n) < int(batch):
+                    self.fs.delete(self._path(f"applied/{source}/{n}"), False)
+        self.fs.delete(self._path(f"merged/{name}"), True)
+
+
+def _swap_in(path: str, merged: DataFrame, partition_col: str) -> None:
+    """Replace the partitions that ``merged`` holds by its rows."""
+    (
+        clustered(merged, [partition_col])
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(partition_col)
+        .parquet(path)
+    )
+
+
 def upsert(
-    path: str, source: DataFrame, keys: Sequence[str], partition_col: str, guard: str | None = None
+    path: str,
+    source: DataFrame,
+    keys: Sequence[str],
+    partition_col: str,
+    guard: str | None = None,
+    batch: tuple[str, int] | None = None,
 ) -> None:
     """Merge ``source`` (one row per key) into the table at ``path``.
 
     ``partition_col`` is one of the keys, so a row can only replace one in its
-    own partition: just the partitions in ``source`` are read, merged and
-    swapped in by dynamic overwrite. Applying the same source again gives the
-    same table, save for NULL keys, which match nothing.
+    own partition: just the partitions in ``source`` are read and merged. The
+    merged partitions are written beside the table first and then swapped in by
+    dynamic overwrite, so a run that dies in between loses nothing: the next one
+    swaps them in again before it does anything else. ``batch`` names a source
+    and a number rising with its deliveries; a delivery that comes again is left
+    out, rows with NULL keys included. One writer at a time.
     """
     if partition_col not in keys:
         raise ValueError("partition_col must be one of the keys")
+    spark = source.sparkSession
     create_curated(path, source, partition_col)
+    journal = _Journal(spark, path)
+    for name in journal.pending():
+        _swap_in(path, read_curated(f"{journal.root}/merged/{name}", source), partition_col)
+        journal.end(name)
+    if batch and journal.applied(*batch):
+        return
+    name = f"{batch[0]}.{batch[1]}" if batch else uuid.uuid4().hex
     target = touched_partitions(read_curated(path, source), source, partition_col)
-    merged = merge_rows(target, source, keys, guard)
-    (
-        clustered(merged, [partition_col])
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition_col)
-        .parquet(path)
-    )
+    merged = f"{journal.root}/merged/{name}"
+    clustered(merge_rows(target, source, keys, guard), [partition_col]).write.partitionBy(partition_col).parquet(merged)
+    _swap_in(path, read_curated(merged, source), partition_col)
+    journal.end(name)

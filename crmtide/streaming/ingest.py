@@ -107,12 +107,17 @@ def change_feed(spark: SparkSession, raw_path: str, name: str, max_files_per_tri
 
 
 def upsert_batch(
-    batch: DataFrame, path: str, keys: Sequence[str], partition_col: str, guard: str | None = None
+    batch: DataFrame,
+    path: str,
+    keys: Sequence[str],
+    partition_col: str,
+    guard: str | None = None,
+    delivery: tuple[str, int] | None = None,
 ) -> None:
     """Latest row per key of a micro-batch, merged into the curated table."""
     latest = latest_per_key(batch, keys).persist()
     try:
-        upsert(path, latest, keys, partition_col, guard)
+        upsert(path, latest, keys, partition_col, guard, delivery)
     finally:
         latest.unpersist()
 
@@ -128,12 +133,13 @@ def curate(
 ) -> StreamingQuery:
     """Keep the curated table current; runs only when the feed has new rows.
 
-    A micro-batch may be delivered again after a failure; the upsert gives the
-    same table when it is.
+    A micro-batch that is delivered again after a failure is recognised by the
+    query's id, which its checkpoint keeps, and its number.
     """
 
-    def apply(batch: DataFrame, _batch_id: int) -> None:
-        upsert_batch(batch, curated_path, keys, partition_col, guard)
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        upsert_batch(batch, curated_path, keys, partition_col, guard, (query, batch_id) if query else None)
 
     return feed.writeStream.option("checkpointLocation", checkpoint).trigger(**trigger).foreachBatch(apply).start()
 

@@ -390,6 +390,16 @@ def k16_upsert(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.schema(leads.schema).parquet(path).select(*leads.columns)
 
 
+def k16_replay_null_keys(spark: SparkSession, d: str) -> DataFrame:
+    """Two deliveries, each coming twice; leads without a client match nothing and are still there once."""
+    leads = shapes.lead_scores(spark, d).withColumn("client_id", F.when(F.col("touchpoints_last_30d") % 5 != 0, F.col("client_id")))
+    path = shared_dir(spark, "replayed")
+    for number in (0, 0, 1, 1):
+        latest = latest_per_key(_load(leads, number), S.LEAD_SCORE_KEYS)
+        upsert(path, latest, S.LEAD_SCORE_KEYS, "feature_date", batch=("leads", number))
+    return spark.read.schema(leads.schema).parquet(path).select(*LEAD_OUT)
+
+
 # Streams -----------------------------------------------------------------
 
 
@@ -491,7 +501,7 @@ QUERIES = {
         s12_on_error_continue, s12_drifting_files, s13_load_once, s13_load_partitioned, s13_backfill, s14_table_scan, s16_external_table, s17_msck, p1_schema_cast,
         f1_required_invalid, f2_split_good, f2_split_bad, q4_quarantine_report, k1_append_partitioned,
         k2_quarantine, k3_export_gold, k4_partitioned_write, k5_json_write, k6_views, k7_materialize, k8_docs, k9_ddl,
-        k12_silver_records, k13_silver_activity, k14_silver_kpi, k16_upsert, t1_auto_ingest, t2_change_feed,
+        k12_silver_records, k13_silver_activity, k14_silver_kpi, k16_upsert, k16_replay_null_keys, t1_auto_ingest, t2_change_feed,
         t3_microbatch, t4_stream_upsert, t5_late_rows, t6_bronze_stream,
     )
 } | {f"p2_bronze_{e}": partial(p2_bronze, entity=e) for e in S.ENTITY_SCHEMAS}

@@ -583,6 +583,13 @@ ORACLE: dict[str, str] = {
         SELECT * FROM target t WHERE NOT EXISTS (SELECT 1 FROM src s WHERE s.client_id = t.client_id
           AND s.lead_id = t.lead_id AND s.feature_date = t.feature_date)
         UNION ALL SELECT * FROM src""",
+    "k16_replay_null_keys": f"""WITH {LEADS}, marked AS (
+          SELECT * REPLACE (CASE WHEN touchpoints_last_30d % 5 <> 0 THEN client_id END AS client_id) FROM lead_scores
+          WHERE src_filename IN ('load_0.parquet', 'load_1.parquet')),
+        one AS (SELECT * FROM marked {_latest.format(keys=LEAD_KEY + ', src_filename', order=_load_order)})
+        SELECT {_CLEAN_LEADS} FROM one o WHERE src_filename = 'load_1.parquet' OR NOT EXISTS (
+          SELECT 1 FROM one n WHERE n.src_filename = 'load_1.parquet' AND n.client_id = o.client_id
+          AND n.lead_id = o.lead_id AND n.feature_date = o.feature_date)""",
     # Small operators
     "p3_time_parts": f"SELECT event_id, ts, CAST(ts AS DATE) AS event_date, {_time_parts('ts')} FROM events",
     "p6_constants": "SELECT c_custkey, 'ALL' AS export_client_scope, '2024-01-05' AS export_snapshot_date FROM customer",

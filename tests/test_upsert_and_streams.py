@@ -47,6 +47,32 @@ def test_null_keys_match_nothing(spark, path):
     ]
 
 
+def test_a_crash_while_partitions_are_swapped_loses_nothing(spark, path, monkeypatch):
+    p = path("t")
+    U.upsert(p, frame(spark, ("c", "1", D[0], 1, T[0]), ("c", "2", D[0], 1, T[0]), ("c", "1", D[1], 1, T[0])), KEYS, "day")
+    batch = frame(spark, ("c", "1", D[0], 2, T[1]), (None, "9", D[0], 2, T[1]))
+    swap = U._swap_in
+
+    def die(*args):
+        for f in (Path(p) / f"day={D[0]}").glob("*"):
+            f.unlink()
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(U, "_swap_in", die)
+    with pytest.raises(RuntimeError):
+        U.upsert(p, batch, KEYS, "day", batch=("s", 4))
+    monkeypatch.setattr(U, "_swap_in", swap)
+    want = [(None, "9", D[0], 2), ("c", "1", D[0], 2), ("c", "1", D[1], 1), ("c", "2", D[0], 1)]
+    for _ in range(2):
+        U.upsert(p, batch, KEYS, "day", batch=("s", 4))
+        assert stored(spark, p) == want
+    U.upsert(p, batch, KEYS, "day", batch=("s", 3))
+    assert stored(spark, p) == want
+    U.upsert(p, frame(spark, ("c", "2", D[0], 5, T[2])), KEYS, "day", batch=("s", 5))
+    assert ("c", "2", D[0], 5) in stored(spark, p)
+    assert sorted(f.name for f in (Path(p) / "_upserts").rglob("*") if f.is_file() and not f.name.endswith(".crc")) == ["5"]
+
+
 def test_many_partitions_use_the_join(spark, path, monkeypatch):
     p = path("t")
     U.upsert(p, frame(spark, *[("c", "1", d, 1, T[0]) for d in [*D, None]]), KEYS, "day")
@@ -131,7 +157,7 @@ def test_bronze_stream_matches_the_batch_job(spark, path):
             spark, "lead", source, path("silver"), path("quarantine"), path("cp"), trigger=ingest.ALL_AVAILABLE
         ):
             ingest.run_to_end(q)
-    assert rows(spark.read.parquet(path("silver")), "leadId") == [("LED0001",), ("LED0002",), ("LED0003",)]
+    assert rows(spark.read.parquet(path("silver")), "leadId") == [(f"leadId-{i}",) for i in range(4)]
     assert rows(spark.read.parquet(path("quarantine")), "leadId") == [(None,), ("",)]
 
 
