@@ -5,19 +5,18 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crmtide.llm.common import by_size, saved, table
+from crmtide.llm.common import by_size, hash_sample, saved, table
 from crmtide.llm.words import hashed, lower_bytes, mix
 
 BITS = 20
 SIZE = 1 << BITS
 #: Most labelled rows the classifier is fitted on, the first in the order of a hash of their ids.
 FIT_ROWS = 20_000
-SHARDS, EPOCHS = 4, 3
+EPOCHS = 5
 ALPHA, BETA, L1, L2 = 2.0, 1.0, 8.0, 0.1
 _CHUNK = 4_000_000
 _BARE = bytes.maketrans(b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~", b" " * 31)
@@ -67,51 +66,45 @@ class State:
             self.n[at] += g * g
 
 
-def _trainer(start) -> Callable[[pd.DataFrame], pd.DataFrame]:
-    def train(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["turn", "id", "label"], kind="stable")
+def _trainer(start) -> Callable:
+    def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state = State()
         at, z, n = start.value
         state.z[at], state.n[at] = z, n
-        z0, n0 = state.z.copy(), state.n.copy()
-        texts, labels = pdf["text"].to_numpy(), pdf["label"].to_numpy()
-        for a in range(0, len(texts), 200):
-            owner, coordinate = distinct(*features(list(texts[a : a + 200])))
-            ends = np.searchsorted(owner, np.arange(len(texts[a : a + 200]) + 1))
-            for i, label in enumerate(labels[a : a + 200]):
-                state.learn(coordinate[ends[i] : ends[i + 1]], int(label))
-        moved = np.nonzero(state.n != n0)[0]
-        return pd.DataFrame({"i": moved, "dz": state.z[moved] - z0[moved], "dn": state.n[moved] - n0[moved]})
+        for batch in batches:
+            texts, labels = (c.to_pylist() for c in batch.columns)
+            for a, b in by_size([t or "" for t in texts], _CHUNK):
+                owner, coordinate = distinct(*features(texts[a:b]))
+                ends = np.searchsorted(owner, np.arange(b - a + 1))
+                for i, label in enumerate(labels[a:b]):
+                    state.learn(coordinate[ends[i] : ends[i + 1]], int(label))
+        met = np.nonzero(state.n)[0]
+        yield pa.RecordBatch.from_arrays([pa.array(met), pa.array(state.z[met]), pa.array(state.n[met])], ["i", "z", "n"])
 
     return train
 
 
-def fit(labelled: DataFrame, epochs: int = EPOCHS, shards: int = SHARDS) -> tuple[np.ndarray, np.ndarray, float]:
+def fit(labelled: DataFrame, epochs: int = EPOCHS) -> tuple[np.ndarray, np.ndarray, float]:
     """(coordinates, weights, bias), non-zero weights only, of rows (id, text, label); their number must be bounded.
 
-    Each epoch the shards learn from their rows in one order, starting from the
-    same state; what they add to a coordinate is averaged over the shards that
-    have met it. The state has one entry per coordinate at most, whatever the data.
+    The rule learns from one row after the other, so one task reads the rows, a
+    batch at a time, in the order of a hash. What it hands on to the next epoch
+    has two numbers per coordinate at most, whatever the data.
     """
     spark = labelled.sparkSession
-    rows = labelled.select(
-        "id", "text", "label", F.xxhash64("id").alias("turn"), F.pmod(F.xxhash64("id", F.lit(7)), F.lit(shards)).alias("shard")
-    )
-    rows = saved(rows, "labelled")
-    state = State()
+    rows = labelled.withColumn("turn", F.xxhash64("id")).repartition(1).sortWithinPartitions("turn", "id", "label")
+    rows = saved(rows.select("text", "label"), "labelled")
+    at, z, n = np.empty(0, np.int64), np.empty(0), np.empty(0)
     for _ in range(epochs):
-        met = np.nonzero(state.n)[0]
-        start = spark.sparkContext.broadcast((met, state.z[met], state.n[met]))
-        moves = rows.groupBy("shard").applyInPandas(_trainer(start), "i long, dz double, dn double")
-        mean = moves.groupBy("i").agg(F.sum("dz").alias("z"), F.sum("dn").alias("n"), F.count(F.lit(1)).alias("k"))
-        mean = mean.toPandas()
-        at = mean["i"].to_numpy(np.int64)
-        state.z[at] += (mean["z"] / mean["k"]).to_numpy()
-        state.n[at] += (mean["n"] / mean["k"]).to_numpy()
+        start = spark.sparkContext.broadcast((at, z, n))
+        found = rows.coalesce(1).mapInArrow(_trainer(start), "i long, z double, n double").toArrow()
+        at, z, n = (found[c].to_numpy() for c in ("i", "z", "n"))
         start.destroy()
-    w = weights(state.z[:SIZE], state.n[:SIZE])
-    kept = np.nonzero(w)[0]
-    return kept, w[kept], float(_bias(state.z[SIZE], state.n[SIZE]))
+    w = weights(z, n)
+    of_bias = at == SIZE
+    kept = (w != 0) & ~of_bias
+    bias = _bias(z[of_bias][0], n[of_bias][0]) if of_bias.any() else 0.0
+    return at[kept], w[kept], float(bias)
 
 
 def _scorer(model) -> Callable:
@@ -152,7 +145,7 @@ def score_toxicity(
     """
     taught = labels.filter(F.col("toxic").isNotNull() & ~held_out("doc_id", 0) & F.col("doc_id").isNotNull())
     taught = taught.groupBy(F.col("doc_id").alias("id")).agg(F.max("toxic").alias("label"))
-    chosen = taught.orderBy(F.xxhash64("id"), "id").limit(fit_rows)
+    chosen = hash_sample(taught, ["id"], fit_rows)
     texts = docs.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"))
     model = docs.sparkSession.sparkContext.broadcast(fit(texts.join(F.broadcast(chosen), "id")))
     made = ("held_out", "score", "predicted")
