@@ -10,7 +10,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crmtide.llm.common import by_size, saved, table
+from crmtide.llm.common import by_size, hash_sample, saved, table
 from crmtide.llm.toxicity import held_out
 from crmtide.llm.words import hashed, lower_bytes
 
@@ -202,7 +202,8 @@ def score_texts(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
 
     The model gives a text P(classes of its tokens) by a hidden Markov model,
     times P(token | class) for each token: (c + 0.5) / (tokens of the class + half
-    the number of its words and one unknown). Words are cut at ASCII white
+    the number of its words and one unknown). The room for unknown words costs up to
+    log2(1 + 32768 / training tokens) bits a token, which matters on tiny data only. Words are cut at ASCII white
     space, A-Z lowered; each text ends in one end token, so a NULL or empty text
     is that token alone. Counts cover all training rows; words that are not among
     the most frequent are joined with theirs. Rows with a NULL or repeated id are
@@ -225,7 +226,7 @@ def score_texts(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     unigram = of_class / of_class.sum()
 
     model = Model.first(unigram, STATES)
-    start = training.orderBy(F.xxhash64("id"), "id").limit(START_ROWS).select("text")
+    start = hash_sample(training, ["id", "text"], START_ROWS).select("text")
     start = saved(start.repartition(6), "start-texts")
     for _ in range(START_ROUNDS):
         model = baum_welch(start, model, unigram)

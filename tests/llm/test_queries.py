@@ -75,7 +75,7 @@ def _tokens(text):
     return [*(text or "").encode().lower().split(), b"\0end"]
 
 
-def test_language_model_base_and_gain(spark, texts):
+def test_language_model_base(spark, texts):
     held = {i: zlib.crc32(str(i).encode()) % 5 == 1 for i in texts}
     count = Counter(w for i, t in texts.items() if not held[i] for w in _tokens(t))
     total, words = sum(count.values()), len(count)
@@ -87,8 +87,13 @@ def test_language_model_base_and_gain(spark, texts):
         assert r.n_known == sum(w in count for w in own)
         base = sum(math.log10((count[w] + 0.5) / (total + 0.5 * (words + 1))) for w in own)
         assert r.base_score == pytest.approx(base, abs=1e-6)
-    kept = [r for r in scored if r.held_out]
-    assert sum(r.score for r in kept) > sum(r.base_score for r in kept)
+
+
+def test_language_model_gains_on_held_out_texts(spark):
+    """On 300,000 tokens: each class keeps room for an unknown word, which costs half a bit a token on the smallest data."""
+    kept = QUERIES["op6_hmm"](spark, "/root/testdata/sf0.01").filter("held_out").collect()
+    gain = sum(r.score - r.base_score for r in kept) / sum(r.n_tokens for r in kept)
+    assert gain / math.log10(2) > 0.4
 
 
 def test_toxicity_finds_held_out_rows(spark):
