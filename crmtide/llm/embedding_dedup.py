@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crmtide.llm.common import saved, table
+from crmtide.llm.common import hash_sample, saved, table
 from crmtide.llm.components import components
 
 THRESHOLD = 0.93
@@ -139,8 +139,8 @@ def _pairs(classes: DataFrame, threshold: float) -> DataFrame:
     """(a, b, n): links (b not NULL) that connect linked classes, and the number of vectors linked with a."""
     radius = float(np.sqrt(2 - 2 * threshold))
     n = classes.count()
-    sample = classes.select("id", "v").orderBy(F.xxhash64("id"), "id").limit(SAMPLE).toPandas()
-    model = Model(_unit(sample["v"]), int(np.clip(np.sqrt(n) / 8, 1, 1024)))
+    sample = hash_sample(classes.select("id", "v"), ["id"], SAMPLE).select("v").toArrow()["v"]
+    model = Model(_unit(sample.to_numpy()), int(np.clip(np.sqrt(n) / 8, 1, 1024)))
     schema = "id long, label string, v array<float>, copies long, list int, probes array<int>"
     placed = saved(classes.select("id", "label", "v", "copies").mapInArrow(_lister(model, radius), schema), "lists")
     sizes = placed.groupBy("label", "list").agg(F.count(F.lit(1)).alias("m"))
