@@ -165,38 +165,57 @@ def _texts_of(shared) -> Callable:
     return texts
 
 
-def _compare(pdf: pd.DataFrame) -> pd.DataFrame:
+def _links(group: pa.RecordBatch) -> list[tuple[int, int]]:
     """Verified links between the paragraphs of one block or two of a band value that connect what isn't connected."""
-    first = pdf[pdf["block"] == pdf["i"]].sort_values("print")
-    second = pdf[pdf["block"] == pdf["j"]].sort_values("print")
-    alone = pdf["i"].iloc[0] == pdf["j"].iloc[0]
-    names = second["print"].to_numpy()
-    bits, size = second["bits"].to_numpy().view(np.uint64), second["words"].to_numpy() - SHINGLE + 1
-    raw = dict(zip(pdf["print"], pdf["text"]))
+    block, i, j, names, bits, words = (group.column(c).to_numpy() for c in ("block", "i", "j", "print", "bits", "words"))
+    bits, size, texts = bits.view(np.uint64), words - SHINGLE + 1, group.column("text")
+    first, second, alone = np.nonzero(block == i[0])[0], np.nonzero(block == j[0])[0], i[0] == j[0]
     known: dict[int, np.ndarray] = {}
     merged: dict[int, int] = {}
 
-    def whole(p: int) -> np.ndarray:
-        if p not in known:
-            known[p] = sets([raw[p]])[0]
-        return known[p]
+    def whole(at: int) -> np.ndarray:
+        if at not in known:
+            known[at] = sets([texts[int(at)].as_py()])[0]
+        return known[at]
 
-    def root(p: int) -> int:
-        while p in merged:
-            p = merged[p]
-        return p
+    def root(at: int) -> int:
+        while at in merged:
+            at = merged[at]
+        return at
 
     found = []
-    for p, own, n in zip(first["print"], first["bits"].to_numpy().view(np.uint64), first["words"] - SHINGLE + 1):
+    for x in first:
+        y = second[second > x] if alone else second
         # What one has and the other lacks bounds the similarity from above.
-        x, y = np.bitwise_count(own & ~bits).astype(int), np.bitwise_count(bits & ~own).astype(int)
-        both = np.minimum(n - x, size - y)
-        near = (100 * both >= 75 * (both + x + y)) & (both > 0) & (names > p if alone else names != p)
-        for q in names[near]:
-            if root(p) != root(q) and similar(whole(p), whole(q)):
-                found.append((p, q))
-                merged[root(p)] = root(q)
-    return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+        lacks, lacked = np.bitwise_count(bits[x] & ~bits[y]).astype(int), np.bitwise_count(bits[y] & ~bits[x]).astype(int)
+        both = np.minimum(size[x] - lacks, size[y] - lacked)
+        for at in y[(100 * both >= 75 * (both + lacks + lacked)) & (both > 0)]:
+            if root(x) != root(at) and similar(whole(x), whole(at)):
+                found.append((names[x], names[at]))
+                merged[root(x)] = root(at)
+    return found
+
+
+def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links of all groups (key, i, j) of a partition that is sorted by them; one group is held beyond its batch."""
+    rest = None
+
+    def links(table: pa.RecordBatch, cuts: Sequence[int]) -> pa.RecordBatch:
+        found = [e for a, b in zip(cuts[:-1], cuts[1:]) for e in _links(table.slice(a, b - a))]
+        columns = list(zip(*found)) or [(), ()]
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b"])
+
+    for batch in filter(len, batches):
+        table = batch if rest is None else pa.Table.from_batches([rest, batch]).combine_chunks().to_batches()[0]
+        new = np.zeros(table.num_rows, bool)
+        for c in ("key", "i", "j"):
+            values = table.column(c).to_numpy()
+            new[1:] |= values[1:] != values[:-1]
+        cuts = [0, *np.nonzero(new)[0]]
+        yield links(table, cuts)
+        rest = table.slice(cuts[-1])
+    if rest is not None and rest.num_rows:
+        yield links(rest, [0, rest.num_rows])
 
 
 def repeated_passages(
@@ -241,7 +260,9 @@ def repeated_passages(
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
     )
-    links = saved(dealt.groupBy("key", "i", "j").applyInPandas(_compare, "a long, b long").distinct(), "paragraph-links")
+    group = ["key", "i", "j"]
+    dealt = dealt.select(*group, "block", "print", "bits", "words", "text").repartition(*group).sortWithinPartitions(*group)
+    links = saved(dealt.mapInArrow(_compare, "a long, b long").distinct(), "paragraph-links")
     roots = components(links).withColumnRenamed("node", "print")
     placed = some.select("id", "tid", "start", "words", "print").join(roots, "print", "left")
     placed = placed.withColumn("component", F.coalesce("component", "print"))
