@@ -133,19 +133,6 @@ def _membership(values: DataFrame):
     return values.sparkSession.sparkContext.broadcast(np.packbits(bits))
 
 
-def _sharers(shared) -> Callable:
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.unpackbits(shared.value).view(bool)
-        for batch in batches:
-            found = np.zeros(batch.num_rows, bool)
-            for j in range(BANDS):
-                m = batch.column(f"m{j}").to_numpy().astype(np.int64) & 0xFFFFFFFF
-                found |= bits[_slot(m | j << 32)]
-            yield batch.filter(pa.array(found))
-
-    return keep
-
-
 def _texts_of(shared) -> Callable:
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.unpackbits(shared.value).view(bool)
@@ -232,9 +219,9 @@ def repeated_passages(
     texts have no paragraph; rows with a NULL id neither lose nor keep anything.
     Other columns are ignored; an empty table gives no rows.
 
-    Band values that only one document has are dropped by a count first, through
-    a bit set of fixed size that never drops others. What is left is compared in
-    blocks within each band value, so no list of pairs is made.
+    Paragraphs none of whose band values occurs in two documents are dropped by
+    a count first. What is left is compared in blocks within each band value, so
+    no list of pairs is made.
     """
     rows = docs.filter(F.col(id_column).isNotNull()).select(
         F.col(id_column).cast("long").alias("id"),
@@ -245,7 +232,8 @@ def repeated_passages(
     found = saved(rows.mapInArrow(_segmenter, f"id long, tid long, start int, words int, print long, bits long, {low}"), "paragraphs")
     by_key = found.select("id", F.explode(_keys()).alias("key")).groupBy("key")
     shared = by_key.agg(F.min("id").alias("x"), F.max("id").alias("y")).filter("x <> y").select("key")
-    some = saved(found.mapInArrow(_sharers(_membership(shared)), found.schema), "shared-paragraphs")
+    sharing = found.select("print", F.explode(_keys()).alias("key")).join(shared, "key", "left_semi").select("print")
+    some = saved(found.join(sharing.distinct(), "print", "left_semi"), "shared-paragraphs")
 
     keyed = some.groupBy("print").agg(*[F.min(f"m{j}").alias(f"m{j}") for j in range(BANDS)], F.min("bits").alias("bits"), F.min("words").alias("words"))
     keyed = keyed.select("print", "bits", "words", F.explode(_keys()).alias("key"))
