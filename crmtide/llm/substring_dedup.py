@@ -20,7 +20,7 @@ from crmtide.llm.words import SHINGLE, hashes, lower_bytes, mix, sets, shingles,
 
 #: One row a band finds a pair of similarity 0.75 with probability 1 - 0.25 ** 3 = 0.984, equal ones always.
 BANDS = 3
-SENTENCE, LEAST, LONG, REACH = 6, 8, 48, 12
+SENTENCE, LONG, REACH = 6, 48, 12
 #: Words in a row that must repeat for a passage to be removed.
 PASSAGE = 20
 FILTER_BITS = 23
@@ -45,7 +45,10 @@ def paragraphs(texts: Sequence[bytes]) -> tuple[list[bytes], np.ndarray, np.ndar
     A paragraph ends where a line or a sentence of ``SENTENCE`` words or more
     does; shorter sentences belong to the next. Only the words around decide, so
     a passage set into other text falls into the same paragraphs there, but for
-    those at its ends. A run of over ``LONG`` words is cut at minima of a hash.
+    those at its ends. A run of over ``LONG`` words is cut at minima of a hash
+    that leave ``SENTENCE`` words on both sides. The last words of a text that
+    are fewer belong to the paragraph before, so no word is left out but those
+    of texts under ``SENTENCE`` words.
     """
     words: list[bytes] = []
     ends, text_ends = [], []
@@ -64,11 +67,13 @@ def paragraphs(texts: Sequence[bytes]) -> tuple[list[bytes], np.ndarray, np.ndar
     at = np.nonzero(stop[1:])[0] + 1
     long_enough = np.diff(at, prepend=0) >= SENTENCE
     end = at[long_enough | final[at]]
+    before = np.nonzero(np.diff(end, prepend=0) < SENTENCE)[0] - 1
+    end = np.delete(end, before[(before >= 0) & ~final[end[before]]])
     start = np.concatenate([[0], end[:-1]]) if len(end) else end
-    more = [a + _anchors(word[a:b]) for a, b in zip(start, end) if b - a > LONG]
-    end = np.unique(np.concatenate([end, *[m[m > 0] for m in more]])) if more else end
+    more = [(a, b, a + _anchors(word[a:b])) for a, b in zip(start, end) if b - a > LONG]
+    end = np.unique(np.concatenate([end, *[m[(m - a >= SENTENCE) & (b - m >= SENTENCE)] for a, b, m in more]])) if more else end
     start = np.concatenate([[0], end[:-1]]) if len(end) else end
-    enough = end - start >= LEAST
+    enough = end - start >= SENTENCE
     start, end = start[enough], end[enough]
     return words, word, np.searchsorted(np.array(text_ends, np.int64), start, "right"), start, end
 
@@ -210,7 +215,7 @@ def repeated_passages(
 ) -> DataFrame:
     """(id, tid, start, end, n_words, kept_id): passages to remove, as words [start, end) of the row's text.
 
-    Paragraphs (see ``paragraphs``) of ``LEAST`` words or more whose five-word
+    Paragraphs (see ``paragraphs``) whose five-word
     shingles have a Jaccard similarity of 0.75 or more link, in lower case.
     Of each component that lies in several documents, the document with the
     smallest id keeps all it has; in the others it goes, if ``least_words``
@@ -259,7 +264,7 @@ def repeated_passages(
     gone = gone.dropDuplicates(["id", "tid", "start"])
     by = Window.partitionBy("id", "tid").orderBy("start")
     until = F.lag(F.col("start") + F.col("words")).over(by)
-    gone = gone.withColumn("new", F.coalesce((F.col("start") - until >= LEAST).cast("int"), F.lit(1)))
+    gone = gone.withColumn("new", F.coalesce((F.col("start") - until >= 8).cast("int"), F.lit(1)))
     gone = gone.withColumn("passage", F.sum("new").over(by))
     return (
         gone.groupBy("id", "tid", "passage")

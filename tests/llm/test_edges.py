@@ -188,6 +188,40 @@ def test_passages(spark, docs):
     assert substring_dedup.remove_passages(df.limit(0)).count() == 0
 
 
+def _stream(seed, sentence):
+    """Random words in sentences of so many words."""
+    rng = np.random.default_rng(seed)
+    return [f"u{w}" + "." * (i % sentence == sentence - 1) for i, w in enumerate(rng.integers(0, 50_000, 700))]
+
+
+def _planted(spark, passages, sentence, cut=1):
+    """For each passage: which of its words the second document of a pair loses, and how many others."""
+    rows, places = [], []
+    for k, passage in enumerate(passages):
+        for copy in (0, 1):
+            own, at = _stream(2 * k + copy, sentence), (137 + 31 * k + 17 * copy) // cut * cut
+            rows.append((2 * k + copy, " ".join([*own[:at], *passage, *own[at:]])))
+            places.append(at)
+    gone = defaultdict(set)
+    for r in substring_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        assert r.id == r.kept_id + 1 and r.id % 2
+        gone[r.kept_id // 2].update(range(r.start, r.end))
+    inside = [set(range(places[2 * k + 1], places[2 * k + 1] + len(p))) for k, p in enumerate(passages)]
+    return [(len(gone[k] & own), len(gone[k] - own)) for k, own in enumerate(inside)]
+
+
+def test_passage_of_short_sentences_is_found(spark):
+    passages = [_stream(1000 + k, 7)[:63] for k in range(6)]
+    assert _planted(spark, passages, 7, cut=7) == [(63, 0)] * 6
+
+
+def test_every_word_is_in_a_paragraph():
+    for length, sentence in itertools.product((6, 7, 50, 61, 200, 499), (3, 7, 9, 30, 1000)):
+        texts = [" ".join(_stream(length + k, sentence)[:length]).encode() for k in range(4)]
+        _, _, _, start, end = substring_dedup.paragraphs(texts)
+        assert start[0] == 0 and end[-1] == 4 * length and (start[1:] == end[:-1]).all()
+
+
 def test_language_model(docs):
     got = hmm.score_texts(docs).collect()
     assert order(r.doc_id for r in got) == order(i for i, _, _ in TEXTS)
