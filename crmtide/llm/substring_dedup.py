@@ -1,4 +1,8 @@
-"""Passages that repeat across documents: paragraph MinHash banding, exact verification, components."""
+"""Passages that repeat across documents.
+
+Alike ones by paragraph MinHash banding, exact verification and components;
+equal ones of ``WINDOW`` words or more by their windows, wherever they start.
+"""
 
 from __future__ import annotations
 
@@ -16,16 +20,19 @@ from pyspark.sql.window import Window
 
 from crmtide.llm.common import WORD, by_size, saved, table
 from crmtide.llm.components import components
-from crmtide.llm.words import SHINGLE, hashes, lower_bytes, mix, sets, shingles, similar
+from crmtide.llm.words import SHINGLE, hashed, hashes, lower_bytes, mix, sets, shingles, similar
 
 #: One row a band finds a pair of similarity 0.75 with probability 1 - 0.25 ** 3 = 0.984, equal ones always.
 BANDS = 3
 SENTENCE, LONG, REACH = 6, 48, 12
 #: Words in a row that must repeat for a passage to be removed.
 PASSAGE = 20
+#: Every run of WINDOW words that two documents share is found; its least run of SEED words tells where to look.
+WINDOW, SEED = 50, 20
 FILTER_BITS = 23
 BLOCK = 512
 _CHUNK = 4_000_000
+_BASE = 0x9E3779B97F4A7C15
 _STOPS = np.zeros(256, bool)
 _STOPS[list(b".!?")] = True
 
@@ -210,6 +217,76 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield links(rest, [0, rest.num_rows])
 
 
+def _runs(word: np.ndarray, *sizes: int) -> list[np.ndarray]:
+    """For each size a hash of so many words in a row, at each place where they fit."""
+    powers = lambda base: np.multiply.accumulate(np.append(np.uint64(1), np.full(len(word), base, np.uint64)))
+    up, down = powers(_BASE), powers(pow(_BASE, -1, 1 << 64))
+    total = np.append(np.uint64(0), np.cumsum(word * down[:-1]))
+    return [mix((total[n:] - total[:-n]) * up[: len(total) - n], n) for n in sizes]
+
+
+def windows(texts: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(text, first word, seed, hash) of every ``WINDOW`` words in a row; the seed is their least hash of ``SEED`` words.
+
+    Equal windows have equal seeds, whatever surrounds them, and neighbours
+    mostly share theirs: there is about one seed for 16 words.
+    """
+    word, bounds = hashed(texts)
+    if len(word) < WINDOW:
+        return (np.empty(0, np.int64), np.empty(0, np.int64), *2 * (np.empty(0, np.int64),))
+    seed, whole = _runs(word, SEED, WINDOW)
+    reach, wide = WINDOW - SEED + 1, 1
+    while wide < reach:
+        step = min(wide, reach - wide)
+        seed = np.minimum(seed[:-step], seed[step:])
+        wide += step
+    text = np.repeat(np.arange(len(texts)), np.diff(bounds))
+    at = np.nonzero(text[: len(whole)] == text[WINDOW - 1 :])[0]
+    return text[at], at - bounds[text[at]], seed[at].view(np.int64), whole[at].view(np.int64)
+
+
+def _seeder(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        raw = lower_bytes(batch.column(2).to_pylist())
+        for a, b in by_size(raw, _CHUNK):
+            text, _, seed, _ = windows(raw[a:b])
+            order = np.lexsort([seed, text])
+            text, seed = text[order], seed[order]
+            new = np.append(True, (text[1:] != text[:-1]) | (seed[1:] != seed[:-1]))[: len(text)]
+            own = pa.array(text[new] + a)
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(own), batch.column(1).take(own), pa.array(seed[new])], ["id", "tid", "seed"])
+
+
+def _windows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Windows of (id, tid, text, seeds) whose seed is in the row's list."""
+    for batch in batches:
+        raw, wanted = lower_bytes(batch.column(2).to_pylist()), batch.column(3)
+        for a, b in by_size(raw, _CHUNK):
+            text, at, seed, whole = windows(raw[a:b])
+            cuts = np.searchsorted(text, np.arange(b - a + 1))
+            kept = [lo + np.nonzero(np.isin(seed[lo:hi], wanted[a + k].values.to_numpy()))[0] for k, (lo, hi) in enumerate(zip(cuts[:-1], cuts[1:]))]
+            kept = np.concatenate(kept)
+            own = pa.array(text[kept] + a)
+            columns = [batch.column(0).take(own), batch.column(1).take(own), pa.array(at[kept].astype(np.int32)), pa.array(whole[kept])]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "tid", "start", "window"])
+
+
+def repeated_windows(rows: DataFrame) -> DataFrame:
+    """(id, tid, start, end, kept_id) of every ``WINDOW`` words of ``rows`` (id, tid, text) that a smaller id has too.
+
+    Of rows with the same text, only the one with the smallest id is looked at.
+    A window is hashed only if another text has its seed.
+    """
+    seeds = saved(rows.mapInArrow(_seeder, "id long, tid long, seed long"), "seeds")
+    shared = seeds.groupBy("seed").agg(F.min("tid").alias("x"), F.max("tid").alias("y")).filter("x <> y").select("seed")
+    wanted = seeds.join(shared, "seed", "left_semi").groupBy("tid").agg(F.min("id").alias("id"), F.collect_set("seed").alias("seeds"))
+    texts = rows.join(wanted, ["id", "tid"]).select("id", "tid", "text", "seeds")
+    found = saved(texts.mapInArrow(_windows_of, "id long, tid long, start int, window long"), "windows")
+    owners = found.groupBy("window").agg(F.min("id").alias("kept_id"), F.max("id").alias("top")).filter("kept_id <> top")
+    gone = found.join(owners.drop("top"), "window").filter("id <> kept_id")
+    return gone.select("id", "tid", "start", (F.col("start") + WINDOW).alias("end"), "kept_id")
+
+
 def repeated_passages(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", least_words: int = PASSAGE
 ) -> DataFrame:
@@ -219,7 +296,8 @@ def repeated_passages(
     shingles have a Jaccard similarity of 0.75 or more link, in lower case.
     Of each component that lies in several documents, the document with the
     smallest id keeps all it has; in the others it goes, if ``least_words``
-    in a row go. ``tid`` is xxhash64 of the text and tells rows with the same id
+    in a row go. ``WINDOW`` words in a row that a document with a smaller id has
+    too go wherever they start and end. ``tid`` is xxhash64 of the text and tells rows with the same id
     apart; rows that repeat an id count as one document. NULL or empty
     texts have no paragraph; rows with a NULL id neither lose nor keep anything.
     Other columns are ignored; an empty table gives no rows.
@@ -261,22 +339,14 @@ def repeated_passages(
     placed = placed.withColumn("component", F.coalesce("component", "print"))
     owners = placed.groupBy("component").agg(F.min("id").alias("kept_id"), F.max("id").alias("top")).filter("kept_id <> top")
     gone = placed.join(owners.drop("top"), "component").filter("id <> kept_id")
-    gone = gone.dropDuplicates(["id", "tid", "start"])
-    by = Window.partitionBy("id", "tid").orderBy("start")
-    until = F.lag(F.col("start") + F.col("words")).over(by)
+    gone = gone.select("id", "tid", "start", (F.col("start") + F.col("words")).alias("end"), "kept_id").unionByName(repeated_windows(rows))
+    by = Window.partitionBy("id", "tid").orderBy("start", "end")
+    until = F.max("end").over(by.rowsBetween(Window.unboundedPreceding, -1))
     gone = gone.withColumn("new", F.coalesce((F.col("start") - until >= 8).cast("int"), F.lit(1)))
-    gone = gone.withColumn("passage", F.sum("new").over(by))
-    return (
-        gone.groupBy("id", "tid", "passage")
-        .agg(
-            F.min("start").alias("start"),
-            F.max(F.col("start") + F.col("words")).alias("end"),
-            F.sum("words").alias("n_words"),
-            F.min("kept_id").alias("kept_id"),
-        )
-        .filter(F.col("n_words") >= least_words)
-        .drop("passage")
-    )
+    gone = gone.withColumn("passage", F.sum("new").over(by.rowsBetween(Window.unboundedPreceding, 0)))
+    gone = gone.groupBy("id", "tid", "passage").agg(*[f(c).alias(c) for f, c in ((F.min, "start"), (F.max, "end"))], F.min("kept_id").alias("kept_id"))
+    gone = gone.withColumn("n_words", F.col("end") - F.col("start")).filter(F.col("n_words") >= least_words)
+    return gone.select("id", "tid", "start", "end", "n_words", "kept_id")
 
 
 _WORD = re.compile(WORD)

@@ -215,6 +215,27 @@ def test_passage_of_short_sentences_is_found(spark):
     assert _planted(spark, passages, 7, cut=7) == [(63, 0)] * 6
 
 
+@pytest.mark.parametrize("sentence", [5, 11, 30, 1000])
+def test_passage_is_found_wherever_it_starts(spark, sentence):
+    passages = [_stream(2000 + k, sentence)[k : k + 50 + k] for k in range(11)]
+    got = _planted(spark, passages, sentence)
+    assert [own for own, _ in got] == [50 + k for k in range(11)]
+    assert all(3 * others <= own for own, others in got), got
+
+
+def test_windows_equal_brute_force(spark):
+    rng = np.random.default_rng(5)
+    pool = [" ".join(f"v{w}" for w in rng.integers(0, 9, 70)) for _ in range(4)]
+    texts = [" ".join(f"v{w}" for w in rng.integers(0, 9, 40)) + " " + pool[k % 4][k:] + " " + pool[k * k % 4][:k] for k in range(60)]
+    rows = spark.createDataFrame([(100 + k // 2, k, t) for k, t in enumerate(texts)], "id long, tid long, text string")
+    first = {}
+    own = [(100 + k // 2, k, n, tuple(t.split()[n : n + 50])) for k, t in enumerate(texts) for n in range(len(t.split()) - 49)]
+    for i, _, _, w in own:
+        first.setdefault(w, i)
+    expected = {(i, k, n, n + 50, first[w]) for i, k, n, w in own if first[w] < i}
+    assert expected and {tuple(r) for r in substring_dedup.repeated_windows(rows).collect()} == expected
+
+
 def test_every_word_is_in_a_paragraph():
     for length, sentence in itertools.product((6, 7, 50, 61, 200, 499), (3, 7, 9, 30, 1000)):
         texts = [" ".join(_stream(length + k, sentence)[:length]).encode() for k in range(4)]
