@@ -296,7 +296,7 @@ def repeated_passages(
     shingles have a Jaccard similarity of 0.75 or more link, in lower case.
     Of each component that lies in several documents, the document with the
     smallest id keeps all it has; in the others it goes, if ``least_words``
-    in a row go. ``WINDOW`` words in a row that a document with a smaller id has
+    in a row go; spans that touch are one. ``WINDOW`` words in a row that a document with a smaller id has
     too go wherever they start and end. ``tid`` is xxhash64 of the text and tells rows with the same id
     apart; rows that repeat an id count as one document. NULL or empty
     texts have no paragraph; rows with a NULL id neither lose nor keep anything.
@@ -342,9 +342,9 @@ def repeated_passages(
     gone = gone.select("id", "tid", "start", (F.col("start") + F.col("words")).alias("end"), "kept_id").unionByName(repeated_windows(rows))
     by = Window.partitionBy("id", "tid").orderBy("start", "end")
     until = F.max("end").over(by.rowsBetween(Window.unboundedPreceding, -1))
-    gone = gone.withColumn("new", F.coalesce((F.col("start") - until >= 8).cast("int"), F.lit(1)))
+    gone = gone.withColumn("new", F.coalesce((F.col("start") > until).cast("int"), F.lit(1)))
     gone = gone.withColumn("passage", F.sum("new").over(by.rowsBetween(Window.unboundedPreceding, 0)))
-    gone = gone.groupBy("id", "tid", "passage").agg(*[f(c).alias(c) for f, c in ((F.min, "start"), (F.max, "end"))], F.min("kept_id").alias("kept_id"))
+    gone = gone.groupBy("id", "tid", "passage").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.min("kept_id").alias("kept_id"))
     gone = gone.withColumn("n_words", F.col("end") - F.col("start")).filter(F.col("n_words") >= least_words)
     return gone.select("id", "tid", "start", "end", "n_words", "kept_id")
 

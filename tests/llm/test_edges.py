@@ -236,6 +236,14 @@ def test_windows_equal_brute_force(spark):
     assert expected and {tuple(r) for r in substring_dedup.repeated_windows(rows).collect()} == expected
 
 
+def test_own_words_between_shared_ones_stay(spark):
+    one, two, own = (" ".join(_stream(3000 + k, 24)[:24]) for k in range(3))
+    own = " ".join(own.split()[:6]) + "."
+    texts = [f"{one} {two}", f"{one} {own} {two}"]
+    got = substring_dedup.repeated_passages(spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")).collect()
+    assert sorted((r.id, r.start, r.end, r.n_words) for r in got) == [(1, 0, 24, 24), (1, 30, 54, 24)]
+
+
 def test_every_word_is_in_a_paragraph():
     for length, sentence in itertools.product((6, 7, 50, 61, 200, 499), (3, 7, 9, 30, 1000)):
         texts = [" ".join(_stream(length + k, sentence)[:length]).encode() for k in range(4)]
