@@ -22,8 +22,8 @@ from crmtide.llm.common import WORD, by_size, saved, table
 from crmtide.llm.components import components
 from crmtide.llm.words import SHINGLE, hashed, hashes, lower_bytes, mix, sets, shingles, similar
 
-#: One row a band finds a pair of similarity 0.75 with probability 1 - 0.25 ** 3 = 0.984, equal ones always.
-BANDS = 3
+#: One row a band finds a pair of similarity 0.75 with probability 1 - 0.25 ** 6 = 0.9998, equal ones always.
+BANDS = 6
 SENTENCE, LONG, REACH = 6, 48, 12
 #: Words in a row that must repeat for a passage to be removed.
 PASSAGE = 20
@@ -302,8 +302,8 @@ def repeated_passages(
     texts have no paragraph; rows with a NULL id neither lose nor keep anything.
     Other columns are ignored; an empty table gives no rows.
 
-    Paragraphs none of whose band values occurs in two documents are dropped by
-    a count first. What is left is compared in blocks within each band value, so
+    Equal paragraphs are one in all that follows. Those none of whose band values
+    occurs in two documents are dropped by a count first. What is left is compared in blocks within each band value, so
     no list of pairs is made.
     """
     rows = docs.filter(F.col(id_column).isNotNull()).select(
@@ -313,13 +313,16 @@ def repeated_passages(
     )
     low = ", ".join(f"m{j} int" for j in range(BANDS))
     found = saved(rows.mapInArrow(_segmenter, f"id long, tid long, start int, words int, print long, bits long, {low}"), "paragraphs")
-    by_key = found.select("id", F.explode(_keys()).alias("key")).groupBy("key")
-    shared = by_key.agg(F.min("id").alias("x"), F.max("id").alias("y")).filter("x <> y").select("key")
-    sharing = found.select("print", F.explode(_keys()).alias("key")).join(shared, "key", "left_semi").select("print")
-    some = saved(found.join(sharing.distinct(), "print", "left_semi"), "shared-paragraphs")
-
-    keyed = some.groupBy("print").agg(*[F.min(f"m{j}").alias(f"m{j}") for j in range(BANDS)], F.min("bits").alias("bits"), F.min("words").alias("words"))
-    keyed = keyed.select("print", "bits", "words", F.explode(_keys()).alias("key"))
+    one = [F.min(c).alias(c) for c in ("bits", "words", *[f"m{j}" for j in range(BANDS)])]
+    distinct = saved(found.groupBy("print").agg(F.min("id").alias("x"), F.max("id").alias("y"), *one), "prints")
+    by_key = distinct.select("x", "y", F.explode(_keys()).alias("key")).groupBy("key")
+    shared = by_key.agg(F.min("x").alias("x"), F.max("y").alias("y"), F.count(F.lit(1)).alias("n")).filter("x <> y and n > 1").select("key")
+    sharing = distinct.select("print", F.explode(_keys()).alias("key")).join(shared, "key", "left_semi").select("print")
+    equal = distinct.filter("x <> y").select("print")
+    sharing = saved(sharing.unionByName(equal).distinct(), "sharing")
+    some = saved(found.select("id", "tid", "start", "words", "print").join(sharing, "print", "left_semi"), "shared-paragraphs")
+
+    keyed = distinct.join(sharing, "print", "left_semi").select("print", "bits", "words", F.explode(_keys()).alias("key"))
     several = keyed.groupBy("key").agg(F.min("print").alias("x"), F.max("print").alias("y"), F.count(F.lit(1)).alias("m"))
     several = several.filter("x <> y").select("key", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"))
     members = saved(keyed.join(several, "key"), "band-members")
