@@ -116,3 +116,15 @@ def by_size(texts: Sequence[bytes], most: int) -> Iterator[tuple[int, int]]:
         size += len(t)
     if start < len(texts):
         yield start, len(texts)
+
+
+def chunks(lengths: Sequence[int], most: int) -> Iterator[tuple[int, int]]:
+    """Ranges of rows with these lengths, of about ``most`` in all each; a longer row stands alone."""
+    start, size = 0, 0
+    for i, n in enumerate(lengths):
+        if size and size + n > most:
+            yield start, i
+            start, size = i, 0
+        size += int(n)
+    if start < len(lengths):
+        yield start, len(lengths)

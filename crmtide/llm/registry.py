@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from crmtide.llm import (
     embedding_dedup,
+    fim,
     hmm,
     mixing,
     near_dedup,
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_mixing": mixing.op8_mixing,
     "op9_warc": warc.op9_warc,
     "op10_topk": topk.op10_topk,
+    "op13_fim": fim.op13_fim,
 }
 
 ORACLE = {
@@ -35,4 +37,5 @@ ORACLE = {
     "op8_mixing": mixing.ORACLE,
     "op9_warc": warc.ORACLE,
     "op10_topk": topk.ORACLE,
+    "op13_fim": fim.ORACLE,
 }
