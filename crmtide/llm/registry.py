@@ -5,6 +5,7 @@ from __future__ import annotations
 from crmtide.llm import (
     embedding_dedup,
     fim,
+    hard_negatives,
     hmm,
     mixing,
     near_dedup,
@@ -27,6 +28,7 @@ QUERIES = {
     "op8_mixing": mixing.op8_mixing,
     "op9_warc": warc.op9_warc,
     "op10_topk": topk.op10_topk,
+    "op12_hard_negatives": hard_negatives.op12_hard_negatives,
     "op13_fim": fim.op13_fim,
 }
 
@@ -37,5 +39,6 @@ ORACLE = {
     "op8_mixing": mixing.ORACLE,
     "op9_warc": warc.ORACLE,
     "op10_topk": topk.ORACLE,
+    "op12_hard_negatives": hard_negatives.ORACLE,
     "op13_fim": fim.ORACLE,
 }
