@@ -12,6 +12,7 @@ from crmtide.llm import (
     packing,
     sharding,
     substring_dedup,
+    suffix_dedup,
     topk,
     toxicity,
     warc,
@@ -28,6 +29,7 @@ QUERIES = {
     "op8_mixing": mixing.op8_mixing,
     "op9_warc": warc.op9_warc,
     "op10_topk": topk.op10_topk,
+    "op11_suffix_dedup": suffix_dedup.op11_suffix_dedup,
     "op12_hard_negatives": hard_negatives.op12_hard_negatives,
     "op13_fim": fim.op13_fim,
 }
@@ -39,6 +41,7 @@ ORACLE = {
     "op8_mixing": mixing.ORACLE,
     "op9_warc": warc.ORACLE,
     "op10_topk": topk.ORACLE,
+    "op11_suffix_dedup": suffix_dedup.ORACLE,
     "op12_hard_negatives": hard_negatives.ORACLE,
     "op13_fim": fim.ORACLE,
 }
