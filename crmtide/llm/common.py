@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -39,6 +40,16 @@ def remove(df: DataFrame) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
+def forget(spark: SparkSession) -> None:
+    """Let Spark's cleaner delete the shuffle files of steps whose results are saved and whose frames are gone.
+
+    It deletes what the driver's collectors find unused, which without a hint
+    may be long after.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

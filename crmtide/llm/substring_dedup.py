@@ -7,7 +7,7 @@ equal ones of ``WINDOW`` words or more by their windows, wherever they start.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Iterator, Sequence
 from operator import itemgetter
 
 import numpy as np
@@ -18,9 +18,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 from pyspark.sql.window import Window
 
-from crmtide.llm.common import WORD, by_size, saved, table
+from crmtide.llm.common import WORD, by_size, forget, remove, saved, table
 from crmtide.llm.components import components
-from crmtide.llm.words import SHINGLE, hashed, hashes, lower_bytes, mix, sets, shingles, similar
+from crmtide.llm.words import SHINGLE, hashes, lower_bytes, mix, sets, shingles, similar
 
 #: One row a band finds a pair of similarity 0.75 with probability 1 - 0.25 ** 6 = 0.9998, equal ones always.
 BANDS = 6
@@ -29,7 +29,6 @@ SENTENCE, LONG, REACH = 6, 48, 12
 PASSAGE = 20
 #: Every run of WINDOW words that two documents share is found; its least run of SEED words tells where to look.
 WINDOW, SEED = 50, 20
-FILTER_BITS = 23
 BLOCK = 512
 _CHUNK = 4_000_000
 _BASE = 0x9E3779B97F4A7C15
@@ -46,8 +45,26 @@ def _anchors(word: np.ndarray) -> np.ndarray:
     return np.nonzero(low)[0]
 
 
+def _words(texts: Sequence[bytes]) -> tuple[list[bytes], np.ndarray, list[int], list[int]]:
+    """(words of all texts, their hashes, ends of lines, ends of texts)."""
+    words: list[bytes] = []
+    ends, text_ends = [], []
+    for t in texts:
+        for line in t.split(b"\n"):
+            words += line.split()
+            ends.append(len(words))
+        text_ends.append(len(words))
+    return words, hashes(words), ends, text_ends
+
+
 def paragraphs(texts: Sequence[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(words of all texts, their hashes, then of each paragraph: text, first word, end), words lowered.
+    """(words of all texts, their hashes, then of each paragraph: text, first word, end), words lowered."""
+    words, word, ends, text_ends = _words(texts)
+    return words, word, *_cut(words, word, ends, text_ends)
+
+
+def _cut(words: list[bytes], word: np.ndarray, ends: list[int], text_ends: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, first word, end) of each paragraph.
 
     A paragraph ends where a line or a sentence of ``SENTENCE`` words or more
     does; shorter sentences belong to the next. Only the words around decide, so
@@ -57,14 +74,6 @@ def paragraphs(texts: Sequence[bytes]) -> tuple[list[bytes], np.ndarray, np.ndar
     are fewer belong to the paragraph before, so no word is left out but those
     of texts under ``SENTENCE`` words.
     """
-    words: list[bytes] = []
-    ends, text_ends = [], []
-    for t in texts:
-        for line in t.split(b"\n"):
-            words += line.split()
-            ends.append(len(words))
-        text_ends.append(len(words))
-    word = hashes(words)
     last = np.frombuffer(bytes(map(itemgetter(-1), words)), np.uint8)
     stop = np.zeros(len(words) + 1, bool)
     stop[1:] = _STOPS[last]
@@ -82,7 +91,7 @@ def paragraphs(texts: Sequence[bytes]) -> tuple[list[bytes], np.ndarray, np.ndar
     start = np.concatenate([[0], end[:-1]]) if len(end) else end
     enough = end - start >= SENTENCE
     start, end = start[enough], end[enough]
-    return words, word, np.searchsorted(np.array(text_ends, np.int64), start, "right"), start, end
+    return np.searchsorted(np.array(text_ends, np.int64), start, "right"), start, end
 
 
 def _over(ufunc, values: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
@@ -95,73 +104,115 @@ def prints(run: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     return _over(np.add, mix(run, 77), start, end - SHINGLE + 1).view(np.int64)
 
 
+def _signature(run: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64 bits a paragraph that tell which of 64 kinds of shingles it has."""
+    return _over(np.bitwise_or, np.uint64(1) << (run >> np.uint64(58)), start, end - SHINGLE + 1)
+
+
+def _nested(columns: dict[str, np.ndarray], owner: np.ndarray, n: int) -> pa.ListArray:
+    """A list of structs for each of ``n`` rows."""
+    offsets = np.searchsorted(owner, np.arange(n + 1)).astype(np.int32)
+    values = pa.StructArray.from_arrays([pa.array(c) for c in columns.values()], list(columns))
+    return pa.ListArray.from_arrays(pa.array(offsets), values)
+
+
 def _segmenter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["id", "tid", "start", "words", "print", "bits", *[f"m{j}" for j in range(BANDS)]]
+    """(id, tid, paragraphs, seeds): each paragraph's place, print and least hashes, two to a number; the windows' seeds."""
     for batch in batches:
         raw = lower_bytes(batch.column(2).to_pylist())
         for a, b in by_size(raw, _CHUNK):
-            words, word, text, start, end = paragraphs(raw[a:b])
-            if not len(start):
-                continue
-            counts = np.array([len(t.split()) for t in raw[a:b]])
-            first = np.cumsum(counts) - counts
+            words, word, ends, text_ends = _words(raw[a:b])
+            text, start, end = _cut(words, word, ends, text_ends)
+            bounds = np.append(0, text_ends)
             run, stop = shingles(word), end - SHINGLE + 1
-            bits = _over(np.bitwise_or, np.uint64(1) << (run >> np.uint64(58)), start, stop)
-            low = [_over(np.minimum, mix(run, 200 + j), start, stop) >> np.uint64(32) for j in range(BANDS)]
-            own = pa.array(text + a)
+            found = {
+                "start": (start - bounds[text]).astype(np.int32),
+                "words": (end - start).astype(np.int32),
+                "print": prints(run, start, end) if len(start) else np.empty(0, np.int64),
+            }
+            for j in range(0, BANDS, 2):
+                low = [_over(np.minimum, mix(run, 200 + k), start, stop) if len(start) else np.empty(0, np.uint64) for k in (j, j + 1)]
+                found[f"m{j}"] = (low[0] >> np.uint64(32) << np.uint64(32) | low[1] >> np.uint64(32)).view(np.int64)
+            of, _, seed, _ = _windows(word, bounds)
+            order = np.lexsort([seed, of])
+            of, seed = of[order], seed[order]
+            new = np.append(True, (of[1:] != of[:-1]) | (seed[1:] != seed[:-1]))[: len(of)]
+            offsets = np.searchsorted(of[new], np.arange(b - a + 1)).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column(0).take(own),
-                    batch.column(1).take(own),
-                    pa.array((start - first[text]).astype(np.int32)),
-                    pa.array((end - start).astype(np.int32)),
-                    pa.array(prints(run, start, end)),
-                    pa.array(bits.view(np.int64)),
-                    *[pa.array(m.astype(np.uint32).view(np.int32)) for m in low],
+                    batch.column(0).slice(a, b - a),
+                    batch.column(1).slice(a, b - a),
+                    _nested(found, text, b - a),
+                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(seed[new])),
                 ],
-                names,
+                ["id", "tid", "paragraphs", "seeds"],
             )
 
 
-def _keys() -> Column:
-    one = lambda j: F.shiftleft(F.lit(j).cast("long"), 32).bitwiseOR(F.col(f"m{j}").bitwiseAND(F.lit(0xFFFFFFFF)))
-    return F.array(*[one(j) for j in range(BANDS)])
-
-
-def _slot(values: np.ndarray) -> np.ndarray:
-    return (mix(values.view(np.uint64), 31) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
-
+_LEAST = [f"m{j}" for j in range(0, BANDS, 2)]
 
-def _slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        yield pa.RecordBatch.from_arrays([pa.array(np.unique(_slot(batch.column(0).to_numpy())))], ["slot"])
 
+def _segmented(rows: DataFrame) -> DataFrame:
+    """A row per text of ``rows`` with its paragraphs and seeds."""
+    low = ",".join(f"{m}:long" for m in _LEAST)
+    schema = f"id long, tid long, paragraphs array<struct<start:int,words:int,print:long,{low}>>, seeds array<long>"
+    return saved(rows.mapInArrow(_segmenter, schema), "paragraphs")
 
-def _membership(values: DataFrame):
-    """A bit set that holds every value of the one column and few others; its size is fixed, 2 ** FILTER_BITS bits."""
-    slots = values.mapInArrow(_slots, "slot long").distinct().toArrow()["slot"].to_numpy()
-    bits = np.zeros(1 << FILTER_BITS, bool)
-    bits[slots] = True
-    return values.sparkSession.sparkContext.broadcast(np.packbits(bits))
 
+def _keys(bands: Sequence[int]) -> Column:
+    half = lambda j: F.col(_LEAST[j // 2]).bitwiseAND(F.lit(0xFFFFFFFF)) if j % 2 else F.shiftrightunsigned(_LEAST[j // 2], 32)
+    return F.array(*[F.shiftleft(F.lit(j).cast("long"), 32).bitwiseOR(half(j)) for j in bands])
 
-def _texts_of(shared) -> Callable:
-    def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.unpackbits(shared.value).view(bool)
-        for batch in batches:
-            raw = lower_bytes(batch.column(2).to_pylist())
-            for a, b in by_size(raw, _CHUNK):
-                words, word, _, start, end = paragraphs(raw[a:b])
-                if not len(start):
-                    continue
-                found = prints(shingles(word), start, end)
-                at = np.nonzero(bits[_slot(found)])[0]
-                _, one = np.unique(found[at], return_index=True)
-                at = at[one]
-                joined = [b" ".join(words[s:e]) for s, e in zip(start[at], end[at])]
-                yield pa.RecordBatch.from_arrays([pa.array(found[at]), pa.array(joined, pa.binary())], ["print", "text"])
 
-    return texts
+def _reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What is wanted of (id, tid, text, seeds, paragraphs): windows with these seeds, and the texts of these paragraphs."""
+    names = ["id", "tid", "start", "window", "print", "bits", "words", "text"]
+    for batch in batches:
+        raw, seeds, spans = lower_bytes(batch.column(2).to_pylist()), batch.column(3), batch.column(4)
+        for a, b in by_size(raw, _CHUNK):
+            words, word, _, text_ends = _words(raw[a:b])
+            bounds = np.append(0, text_ends)
+            of, at, seed, whole = _windows(word, bounds)
+            cuts = np.searchsorted(of, np.arange(b - a + 1))
+            kept = [np.empty(0, np.int64)]
+            for k, (lo, hi) in enumerate(zip(cuts[:-1], cuts[1:])):
+                if seeds[a + k].is_valid and hi > lo:
+                    kept.append(lo + np.nonzero(np.isin(seed[lo:hi], seeds[a + k].values.to_numpy()))[0])
+            kept = np.concatenate(kept)
+            own, none = pa.array(of[kept] + a), pa.nulls(len(kept), pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0).take(own),
+                    batch.column(1).take(own),
+                    pa.array(at[kept].astype(np.int32)),
+                    pa.array(whole[kept]),
+                    none,
+                    none,
+                    pa.nulls(len(kept), pa.int32()),
+                    pa.nulls(len(kept), pa.binary()),
+                ],
+                names,
+            )
+            listed = [(k, spans[a + k].values) for k in range(b - a) if spans[a + k].is_valid and len(spans[a + k].values)]
+            if not listed:
+                continue
+            start = np.concatenate([bounds[k] + v.field("start").to_numpy() for k, v in listed])
+            end = start + np.concatenate([v.field("words").to_numpy() for _, v in listed])
+            joined = [b" ".join(words[s:e]) for s, e in zip(start, end)]
+            none = pa.nulls(len(start), pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    none,
+                    none,
+                    pa.nulls(len(start), pa.int32()),
+                    none,
+                    pa.array(np.concatenate([v.field("print").to_numpy() for _, v in listed])),
+                    pa.array(_signature(shingles(word), start, end).view(np.int64)),
+                    pa.array((end - start).astype(np.int32)),
+                    pa.array(joined, pa.binary()),
+                ],
+                names,
+            )
 
 
 def _links(group: pa.RecordBatch) -> list[tuple[int, int]]:
@@ -225,66 +276,58 @@ def _runs(word: np.ndarray, *sizes: int) -> list[np.ndarray]:
     return [mix((total[n:] - total[:-n]) * up[: len(total) - n], n) for n in sizes]
 
 
-def windows(texts: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _windows(word: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(text, first word, seed, hash) of every ``WINDOW`` words in a row; the seed is their least hash of ``SEED`` words.
 
     Equal windows have equal seeds, whatever surrounds them, and neighbours
     mostly share theirs: there is about one seed for 16 words.
     """
-    word, bounds = hashed(texts)
     if len(word) < WINDOW:
-        return (np.empty(0, np.int64), np.empty(0, np.int64), *2 * (np.empty(0, np.int64),))
+        return tuple(np.empty(0, np.int64) for _ in range(4))
     seed, whole = _runs(word, SEED, WINDOW)
     reach, wide = WINDOW - SEED + 1, 1
     while wide < reach:
         step = min(wide, reach - wide)
         seed = np.minimum(seed[:-step], seed[step:])
         wide += step
-    text = np.repeat(np.arange(len(texts)), np.diff(bounds))
+    text = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
     at = np.nonzero(text[: len(whole)] == text[WINDOW - 1 :])[0]
     return text[at], at - bounds[text[at]], seed[at].view(np.int64), whole[at].view(np.int64)
 
 
-def _seeder(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        raw = lower_bytes(batch.column(2).to_pylist())
-        for a, b in by_size(raw, _CHUNK):
-            text, _, seed, _ = windows(raw[a:b])
-            order = np.lexsort([seed, text])
-            text, seed = text[order], seed[order]
-            new = np.append(True, (text[1:] != text[:-1]) | (seed[1:] != seed[:-1]))[: len(text)]
-            own = pa.array(text[new] + a)
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(own), batch.column(1).take(own), pa.array(seed[new])], ["id", "tid", "seed"])
+def _wanted_seeds(parts: DataFrame) -> DataFrame:
+    """(id, tid, seeds) of the seeds that texts share; of equal texts only the one with the smallest id is named."""
+    seeds = parts.select("id", "tid", F.explode("seeds").alias("seed"))
+    shared = seeds.groupBy("seed").agg(F.min("tid").alias("x"), F.max("tid").alias("y")).filter("x <> y").select("seed")
+    return seeds.join(shared, "seed", "left_semi").groupBy("tid").agg(F.min("id").alias("id"), F.collect_set("seed").alias("seeds"))
 
 
-def _windows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Windows of (id, tid, text, seeds) whose seed is in the row's list."""
-    for batch in batches:
-        raw, wanted = lower_bytes(batch.column(2).to_pylist()), batch.column(3)
-        for a, b in by_size(raw, _CHUNK):
-            text, at, seed, whole = windows(raw[a:b])
-            cuts = np.searchsorted(text, np.arange(b - a + 1))
-            kept = [lo + np.nonzero(np.isin(seed[lo:hi], wanted[a + k].values.to_numpy()))[0] for k, (lo, hi) in enumerate(zip(cuts[:-1], cuts[1:]))]
-            kept = np.concatenate(kept)
-            own = pa.array(text[kept] + a)
-            columns = [batch.column(0).take(own), batch.column(1).take(own), pa.array(at[kept].astype(np.int32)), pa.array(whole[kept])]
-            yield pa.RecordBatch.from_arrays(columns, ["id", "tid", "start", "window"])
+_PLACES = "array<struct<print:long,start:int,words:int>>"
+
+
+def _read(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Windows and paragraph texts that ``wanted`` (id, tid, seeds, places) lists, from one pass over its texts."""
+    texts = rows.join(wanted, ["id", "tid"]).select("id", "tid", "text", "seeds", "places")
+    schema = "id long, tid long, start int, window long, print long, bits long, words int, text binary"
+    return saved(texts.mapInArrow(_reader, schema), "read")
+
+
+def _repeated(found: DataFrame) -> DataFrame:
+    found = found.filter("window is not null").select("id", "tid", "start", "window")
+    owners = found.groupBy("window").agg(F.min("id").alias("kept_id"), F.max("id").alias("top")).filter("kept_id <> top")
+    gone = found.join(owners.drop("top"), "window").filter("id <> kept_id")
+    return gone.select("id", "tid", "start", (F.col("start") + WINDOW).alias("end"), "kept_id")
 
 
 def repeated_windows(rows: DataFrame) -> DataFrame:
     """(id, tid, start, end, kept_id) of every ``WINDOW`` words of ``rows`` (id, tid, text) that a smaller id has too.
 
     Of rows with the same text, only the one with the smallest id is looked at.
-    A window is hashed only if another text has its seed.
+    A window is hashed only if another text has its seed. Windows are equal if
+    their seeds' and their own 64-bit hashes are.
     """
-    seeds = saved(rows.mapInArrow(_seeder, "id long, tid long, seed long"), "seeds")
-    shared = seeds.groupBy("seed").agg(F.min("tid").alias("x"), F.max("tid").alias("y")).filter("x <> y").select("seed")
-    wanted = seeds.join(shared, "seed", "left_semi").groupBy("tid").agg(F.min("id").alias("id"), F.collect_set("seed").alias("seeds"))
-    texts = rows.join(wanted, ["id", "tid"]).select("id", "tid", "text", "seeds")
-    found = saved(texts.mapInArrow(_windows_of, "id long, tid long, start int, window long"), "windows")
-    owners = found.groupBy("window").agg(F.min("id").alias("kept_id"), F.max("id").alias("top")).filter("kept_id <> top")
-    gone = found.join(owners.drop("top"), "window").filter("id <> kept_id")
-    return gone.select("id", "tid", "start", (F.col("start") + WINDOW).alias("end"), "kept_id")
+    wanted = _wanted_seeds(_segmented(rows)).withColumn("places", F.lit(None).cast(_PLACES))
+    return _repeated(_read(rows, wanted))
 
 
 def repeated_passages(
@@ -300,34 +343,49 @@ def repeated_passages(
     too go wherever they start and end. ``tid`` is xxhash64 of the text and tells rows with the same id
     apart; rows that repeat an id count as one document. NULL or empty
     texts have no paragraph; rows with a NULL id neither lose nor keep anything.
-    Other columns are ignored; an empty table gives no rows.
-
-    Equal paragraphs are one in all that follows. Those none of whose band values
-    occurs in two documents are dropped by a count first. What is left is compared in blocks within each band value, so
-    no list of pairs is made.
+    Other columns are ignored; an empty table gives no rows. A text is cut and
+    hashed whole, however long, in some fifty times its bytes of memory.
+
+    Equal paragraphs, by a 64-bit hash of their shingles, are one in all that
+    follows. Those none of whose band values occurs in two documents are dropped
+    first, three bands at a time. The texts of the others and the windows worth a
+    look are read in one further pass over the documents that hold any; what
+    shares a band value is compared in blocks, so no list of pairs is made.
     """
     rows = docs.filter(F.col(id_column).isNotNull()).select(
         F.col(id_column).cast("long").alias("id"),
         F.xxhash64(F.col(text_column).cast("string")).alias("tid"),
         F.col(text_column).cast("string").alias("text"),
     )
-    low = ", ".join(f"m{j} int" for j in range(BANDS))
-    found = saved(rows.mapInArrow(_segmenter, f"id long, tid long, start int, words int, print long, bits long, {low}"), "paragraphs")
-    one = [F.min(c).alias(c) for c in ("bits", "words", *[f"m{j}" for j in range(BANDS)])]
-    distinct = saved(found.groupBy("print").agg(F.min("id").alias("x"), F.max("id").alias("y"), *one), "prints")
-    by_key = distinct.select("x", "y", F.explode(_keys()).alias("key")).groupBy("key")
-    shared = by_key.agg(F.min("x").alias("x"), F.max("y").alias("y"), F.count(F.lit(1)).alias("n")).filter("x <> y and n > 1").select("key")
-    sharing = distinct.select("print", F.explode(_keys()).alias("key")).join(shared, "key", "left_semi").select("print")
+    parts = _segmented(rows)
+    found = parts.select("id", "tid", F.inline("paragraphs"))
+    least = [F.first(m).alias(m) for m in _LEAST]
+    distinct = saved(found.groupBy("print").agg(F.min("id").alias("x"), F.max("id").alias("y"), *least), "prints")
+    members = None
+    for bands in (range(0, BANDS // 2), range(BANDS // 2, BANDS)):
+        keyed = distinct.select("print", "x", "y", F.explode(_keys(bands)).alias("key"))
+        shared = keyed.groupBy("key").agg(F.min("x").alias("x"), F.max("y").alias("y")).filter("x <> y").select("key")
+        some = saved(keyed.select("print", "key").join(shared, "key", "left_semi"), "band-members")
+        members = some if members is None else members.unionByName(some)
+        forget(rows.sparkSession)
+    several = members.groupBy("key").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
+    members = members.join(several.select("key", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks")), "key")
+    members = saved(members, "members")
     equal = distinct.filter("x <> y").select("print")
-    sharing = saved(sharing.unionByName(equal).distinct(), "sharing")
+    sharing = members.select("print").unionByName(equal).distinct()
     some = saved(found.select("id", "tid", "start", "words", "print").join(sharing, "print", "left_semi"), "shared-paragraphs")
-
-    keyed = distinct.join(sharing, "print", "left_semi").select("print", "bits", "words", F.explode(_keys()).alias("key"))
-    several = keyed.groupBy("key").agg(F.min("print").alias("x"), F.max("print").alias("y"), F.count(F.lit(1)).alias("m"))
-    several = several.filter("x <> y").select("key", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"))
-    members = saved(keyed.join(several, "key"), "band-members")
-    wanted = _membership(members.select("print").distinct())
-    texts = rows.mapInArrow(_texts_of(wanted), "print long, text binary").groupBy("print").agg(F.first("text").alias("text"))
+    remove(distinct)
+
+    place = F.struct("id", "tid", "start", "words")
+    compared = members.select("print").distinct()
+    owners = some.join(compared, "print", "left_semi").groupBy("print").agg(F.min(place).alias("at"))
+    owners = owners.select("at.id", "at.tid", F.struct("print", "at.start", "at.words").alias("one"))
+    wanted = owners.groupBy("id", "tid").agg(F.collect_list("one").alias("places"))
+    wanted = _wanted_seeds(parts).join(wanted, ["id", "tid"], "full")
+    read = _read(rows, wanted)
+    remove(parts)
+    forget(rows.sparkSession)
+    texts = read.filter("print is not null").groupBy("print").agg(*[F.first(c).alias(c) for c in ("bits", "words", "text")])
     dealt = (
         members.join(texts, "print")
         .withColumn("block", F.pmod(F.xxhash64("print"), F.col("blocks")).cast("int"))
@@ -342,7 +400,7 @@ def repeated_passages(
     placed = placed.withColumn("component", F.coalesce("component", "print"))
     owners = placed.groupBy("component").agg(F.min("id").alias("kept_id"), F.max("id").alias("top")).filter("kept_id <> top")
     gone = placed.join(owners.drop("top"), "component").filter("id <> kept_id")
-    gone = gone.select("id", "tid", "start", (F.col("start") + F.col("words")).alias("end"), "kept_id").unionByName(repeated_windows(rows))
+    gone = gone.select("id", "tid", "start", (F.col("start") + F.col("words")).alias("end"), "kept_id").unionByName(_repeated(read))
     by = Window.partitionBy("id", "tid").orderBy("start", "end")
     until = F.max("end").over(by.rowsBetween(Window.unboundedPreceding, -1))
     gone = gone.withColumn("new", F.coalesce((F.col("start") > until).cast("int"), F.lit(1)))
