@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -108,22 +109,23 @@ def fit(labelled: DataFrame, epochs: int = EPOCHS) -> tuple[np.ndarray, np.ndarr
 
 
 def _scorer(model) -> Callable:
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.pandas_udf("double")
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         at, w, bias = model.value
         dense = np.zeros(SIZE)
         dense[at] = w
         for batch in batches:
-            texts = batch.column(1).to_pylist()
+            texts = batch.tolist()
             sums = np.zeros(len(texts))
             for a, b in by_size([t or "" for t in texts], _CHUNK):
                 owner, coordinate = features(texts[a:b])
                 heavy = dense[coordinate] != 0
                 owner, coordinate = distinct(owner[heavy], coordinate[heavy])
                 sums[a:b] = np.bincount(owner, dense[coordinate], b - a)
-            p = 1 / (1 + np.exp(-np.clip(sums + bias, -35, 35)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(p)], ["row", "score"])
+            yield pd.Series(1 / (1 + np.exp(-np.clip(sums + bias, -35, 35))))
 
-    return score
+    # A filter on the score must not move below it: texts would be scored for the filter and again for the column.
+    return score.asNondeterministic()
 
 
 def held_out(id_column: str, remainder: int) -> Column:
@@ -140,8 +142,9 @@ def score_toxicity(
     not held out, ``fit_rows`` of them at most; a NULL label teaches nothing,
     of several labels of an id the largest counts. A NULL or empty text has
     no feature and gets the score of the bias, as all do if there is no label.
-    Rows with a NULL id are scored. Columns of the three names are replaced.
-    An empty table gives no rows.
+    Rows with a NULL id are scored, repeated rows alike. Columns of the three
+    names are replaced, others are carried; only texts go to Python, a batch at a
+    time, and a text is scored whole, however long. An empty table gives no rows.
     """
     taught = labels.filter(F.col("toxic").isNotNull() & ~held_out("doc_id", 0) & F.col("doc_id").isNotNull())
     taught = taught.groupBy(F.col("doc_id").alias("id")).agg(F.max("toxic").alias("label"))
@@ -151,8 +154,7 @@ def score_toxicity(
     made = ("held_out", "score", "predicted")
     kept = [c for c in docs.columns if c not in made]
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), F.col(text_column).cast("string").alias("text"))
-    row_type = rows.schema["row"].dataType.simpleString()
-    scored = rows.mapInArrow(_scorer(model), f"row {row_type}, score double")
+    scored = rows.select("row", _scorer(model)("text").alias("score"))
     return scored.select(
         "row.*",
         held_out(f"row.{id_column}", 0).alias("held_out"),

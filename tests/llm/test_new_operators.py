@@ -6,10 +6,12 @@ import hashlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
-from crmtide.llm import fim, hard_negatives, suffix_dedup
+from crmtide.llm import fim, hard_negatives, packing, suffix_dedup
 
 KIND = "doc_id long, text string, id string, kept string, n long, output string, row string, spans string"
 rng = np.random.default_rng(11)
@@ -265,3 +267,13 @@ def test_wavelet_matrix_ranks_and_selects():
     zero, end = np.zeros(3, np.int64), np.full(3, 1000)
     assert matrix.select((2, 5), number, zero, end).tolist() == some[number - 1].tolist()
     assert fim.WaveletMatrix(np.empty(0, np.uint8)).rank(3, np.zeros(1, np.int64)).tolist() == [0]
+
+
+def test_added_tokens_are_the_tokenizers_own(spark):
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|> \n", "<|endoftext |>", "x<|endoftext|>"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in packing.cut_pieces(df).collect():
+        want = [*tokenizer.encode(texts[r.id], add_special_tokens=False).ids, 2]
+        assert np.frombuffer(r.ids, "<u4").tolist() == want
+    assert 50256 in tokenizer.encode(texts[0], add_special_tokens=False).ids

@@ -45,7 +45,6 @@ def test_query_equals_sql(spark, con, name):
 
 def test_packing_round_trip(spark, texts):
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     ids = {i: [*tokenizer.encode(t or "", add_special_tokens=False).ids, 2] for i, t in texts.items()}
     by_doc, by_sequence = defaultdict(list), defaultdict(list)
     for r in QUERIES["op3_packing"](spark, SF).collect():
