@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import hashlib
+import math
+import re
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -11,7 +14,8 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from crmtide.llm import fim, hard_negatives, packing, suffix_dedup
+import corpus_pipeline
+from crmtide.llm import common, fim, hard_negatives, packing, substring_dedup, suffix_dedup, toxicity
 
 KIND = "doc_id long, text string, id string, kept string, n long, output string, row string, spans string"
 rng = np.random.default_rng(11)
@@ -277,3 +281,129 @@ def test_added_tokens_are_the_tokenizers_own(spark):
         want = [*tokenizer.encode(texts[r.id], add_special_tokens=False).ids, 2]
         assert np.frombuffer(r.ids, "<u4").tolist() == want
     assert 50256 in tokenizer.encode(texts[0], add_special_tokens=False).ids
+
+
+def test_classifier_equals_a_plain_one(spark):
+    """Coordinate by coordinate, one row after the other, in the order of the rows' hashes."""
+    vocabulary = [f"word{k}" for k in range(12)]
+    rows = []
+    for i in range(120):
+        text = " ".join(rng.choice(vocabulary, rng.integers(0, 25)))
+        rows.append((i, text, int("word3" in text and "word7" in text)))
+    rows += [(120, None, 0), (121, "", 1)]
+    df = spark.createDataFrame(rows, "id long, text string, label int").repartition(4)
+    z, n, bias = defaultdict(float), defaultdict(float), [0.0, 0.0]
+    alpha, beta, l1, l2 = toxicity.ALPHA, toxicity.BETA, toxicity.L1, toxicity.L2
+
+    def weight(c):
+        if abs(z[c]) <= l1:
+            return 0.0
+        return ((1 if z[c] > 0 else -1) * l1 - z[c]) / ((beta + math.sqrt(n[c])) / alpha + l2)
+
+    turns = [(r.text, r.label) for r in df.orderBy(F.xxhash64("id"), "id", "label").collect()]
+    for _ in range(toxicity.EPOCHS):
+        for text, label in turns:
+            own = set(toxicity.features([text])[1].tolist())
+            w = {c: weight(c) for c in own}
+            b = -bias[0] / ((beta + math.sqrt(bias[1])) / alpha)
+            p = 1 / (1 + math.exp(-max(-35, min(35, sum(w.values()) + b))))
+            g = p - label
+            for c in own:
+                step = (math.sqrt(n[c] + g * g) - math.sqrt(n[c])) / alpha
+                z[c] += g - step * w[c]
+                n[c] += g * g
+            step = (math.sqrt(bias[1] + g * g) - math.sqrt(bias[1])) / alpha
+            bias[0] += g - step * b
+            bias[1] += g * g
+    at, w, b = toxicity.fit(df)
+    want = {c: weight(c) for c in z if weight(c)}
+    assert dict(zip(at.tolist(), w.tolist())) == pytest.approx(want, abs=1e-9) and len(want) > 5
+    assert b == pytest.approx(-bias[0] / ((beta + math.sqrt(bias[1])) / alpha), abs=1e-9)
+
+
+def test_pipeline_judges_rows_by_id_and_text(spark):
+    a, b, c = (words(40) for _ in range(3))
+    rows = [(1, a), (6, a), (6, b), (7, b + " z"), (9, c), (9, c), (None, a), (None, a), (10, None), (11, ""), (10, None)]
+    df = spark.createDataFrame([(i, t, "s", "n") for i, t in rows], "doc_id long, text string, name string, first string").repartition(3)
+    got = corpus_pipeline.drop_near_duplicates(spark, df, "")
+    assert got.columns == df.columns
+    want = Counter([(1, a), (6, b), (9, c), (None, a), (None, a), (10, None), (11, "")])
+    assert Counter((r.doc_id, r.text) for r in got.collect()) == want
+    assert corpus_pipeline.drop_near_duplicates(spark, df.limit(0), "").count() == 0
+
+
+def _components(n, linked):
+    root = list(range(n))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for x, y in linked:
+        root[max(find(x), find(y))] = min(find(x), find(y))
+    return [find(x) for x in range(n)]
+
+
+@pytest.mark.skipif(not Path("/root/testdata/sf0.001").exists(), reason="supplied tables not present")
+def test_pipeline_against_plain_python(spark):
+    """Each stage's rows, judged on its own input by plain code."""
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    steps = {}
+    before = docs
+    for name, stage in corpus_pipeline.STAGES:
+        after = common.saved(stage(spark, before, sf), f"plain-{name}")
+        steps[name] = (before.collect(), after.collect())
+        before = after
+    last = corpus_pipeline.run(spark, sf)
+    assert last.columns == before.columns
+    assert last.select("doc_id", "piece", "length", "ids_crc32").exceptAll(before.select("doc_id", "piece", "length", "ids_crc32")).count() == 0
+
+    given, kept = steps["toxicity"]
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    scored = {r.doc_id: r.predicted for r in toxicity.score_toxicity(docs, labels).collect()}
+    assert Counter(kept) == Counter(r for r in given if not scored[r.doc_id])
+
+    given, kept = steps["near_dedup"]
+    given = sorted(given, key=lambda r: r.doc_id)
+    token = [(r.text or "").encode().lower().split() for r in given]
+    sets = [{tuple(t[k : k + 5]) for k in range(max(len(t) - 4, 1))} if t else set() for t in token]
+    pairs = [(x, y) for x in range(len(sets)) for y in range(x) if sets[x] and 100 * len(sets[x] & sets[y]) >= 75 * len(sets[x] | sets[y])]
+    assert Counter(kept) == Counter(r for k, (r, c) in enumerate(zip(given, _components(len(given), pairs))) if k == c)
+
+    given, kept = steps["substring_dedup"]
+    spans = defaultdict(list)
+    for r in substring_dedup.repeated_passages(spark.createDataFrame(given, docs.schema)).collect():
+        spans[r.id].append((r.start, r.end))
+    plain = []
+    for r in given:
+        word = list(re.finditer(r"[^\x20\x09-\x0D]+", r.text or ""))
+        cuts = [m.start() for m in word] + [len(r.text or "")]
+        text, at = "", 0
+        for start, end in sorted(spans[r.doc_id]):
+            text, at = text + r.text[at : cuts[start]], cuts[end]
+        plain.append((r.doc_id, text + (r.text or "")[at:] if r.text is not None else None, bool(spans[r.doc_id])))
+    assert Counter((r.doc_id, r.text) for r in kept) == Counter((i, t) for i, t, cut in plain if not cut or t.split())
+    long = Counter()
+    for r in kept:
+        token = (r.text or "").encode().lower().split()
+        long.update({tuple(token[k : k + 50]) for k in range(len(token) - 49)})
+    assert max(long.values(), default=0) <= 1
+
+    given, kept = steps["mixing"]
+    size = lambda r: len(re.findall(r"[^\x20\x09-\x0D]+", r.text or ""))
+    total, taken = sum(map(size, given)), Counter()
+    for r in kept:
+        taken[r.source] += size(r)
+    assert 1.45 * total <= sum(taken.values()) <= 1.5 * total
+    assert max(Counter(r.doc_id for r in kept).values()) <= 2
+
+    given, kept = steps["packing"]
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    length = {r.doc_id: len(tokenizer.encode(r.text or "", add_special_tokens=False).ids) + 1 for r in given}
+    assert sum(r.length for r in kept) == sum(length[r.doc_id] for r in given)
+    full = Counter()
+    for r in kept:
+        full[r.sequence_id] += r.length
+    assert max(full.values()) <= 1024 and len(full) <= 1.02 * -(-sum(full.values()) // 1024) + 1
