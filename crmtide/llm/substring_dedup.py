@@ -20,7 +20,7 @@ from pyspark.sql.window import Window
 
 from crmtide.llm.common import WORD, by_size, forget, remove, saved, table
 from crmtide.llm.components import components
-from crmtide.llm.words import SHINGLE, hashes, lower_bytes, mix, sets, shingles, similar
+from crmtide.llm.words import SHINGLE, hashed, hashes, lower_bytes, mix, shingles, similar
 
 #: One row a band finds a pair of similarity 0.75 with probability 1 - 0.25 ** 6 = 0.9998, equal ones always.
 BANDS = 6
@@ -164,14 +164,24 @@ def _keys(bands: Sequence[int]) -> Column:
     return F.array(*[F.shiftleft(F.lit(j).cast("long"), 32).bitwiseOR(half(j)) for j in bands])
 
 
+def _contexts(of: np.ndarray, at: np.ndarray, seed: np.ndarray, whole: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first window, content) of runs of neighbouring windows of a text with one seed."""
+    new = np.append(True, (of[1:] != of[:-1]) | (at[1:] != at[:-1] + 1) | (seed[1:] != seed[:-1]))
+    first = np.nonzero(new)[0]
+    turn = np.arange(len(of)) - np.repeat(first, np.diff(np.append(first, len(of))))
+    return first, np.add.reduceat(mix(whole.view(np.uint64) ^ mix(turn.astype(np.uint64), 61), 62), first).view(np.int64)
+
+
+_READ = "id long, tid long, start int, seed long, content long, windows array<long>, print long, bits long, shingles array<long>"
+
+
 def _reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """What is wanted of (id, tid, text, seeds, paragraphs): windows with these seeds, and the texts of these paragraphs."""
-    names = ["id", "tid", "start", "window", "print", "bits", "words", "text"]
+    """What is wanted of (id, tid, text, seeds, places): windows with these seeds, and the shingles of these paragraphs."""
+    names = [c.split()[0] for c in _READ.split(", ")]
     for batch in batches:
         raw, seeds, spans = lower_bytes(batch.column(2).to_pylist()), batch.column(3), batch.column(4)
         for a, b in by_size(raw, _CHUNK):
-            words, word, _, text_ends = _words(raw[a:b])
-            bounds = np.append(0, text_ends)
+            word, bounds = hashed(raw[a:b])
             of, at, seed, whole = _windows(word, bounds)
             cuts = np.searchsorted(of, np.arange(b - a + 1))
             kept = [np.empty(0, np.int64)]
@@ -179,55 +189,87 @@ def _reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if seeds[a + k].is_valid and hi > lo:
                     kept.append(lo + np.nonzero(np.isin(seed[lo:hi], seeds[a + k].values.to_numpy()))[0])
             kept = np.concatenate(kept)
-            own, none = pa.array(of[kept] + a), pa.nulls(len(kept), pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0).take(own),
-                    batch.column(1).take(own),
-                    pa.array(at[kept].astype(np.int32)),
-                    pa.array(whole[kept]),
-                    none,
-                    none,
-                    pa.nulls(len(kept), pa.int32()),
-                    pa.nulls(len(kept), pa.binary()),
-                ],
-                names,
-            )
+            if len(kept):
+                of, at, seed, whole = of[kept], at[kept], seed[kept], whole[kept]
+                first, content = _contexts(of, at, seed, whole)
+                own, n = pa.array(of[first] + a), len(first)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).take(own),
+                        batch.column(1).take(own),
+                        pa.array(at[first].astype(np.int32)),
+                        pa.array(seed[first]),
+                        pa.array(content),
+                        pa.ListArray.from_arrays(pa.array(np.append(first, len(of)).astype(np.int32)), pa.array(whole)),
+                        *[pa.nulls(n, pa.int64())] * 2,
+                        pa.nulls(n, pa.list_(pa.int64())),
+                    ],
+                    names,
+                )
             listed = [(k, spans[a + k].values) for k in range(b - a) if spans[a + k].is_valid and len(spans[a + k].values)]
             if not listed:
                 continue
             start = np.concatenate([bounds[k] + v.field("start").to_numpy() for k, v in listed])
             end = start + np.concatenate([v.field("words").to_numpy() for _, v in listed])
-            joined = [b" ".join(words[s:e]) for s, e in zip(start, end)]
-            none = pa.nulls(len(start), pa.int64())
+            run = shingles(word)
+            own = [np.unique(run[x : y - SHINGLE + 1]) for x, y in zip(start, end)]
+            n, none = len(start), pa.nulls(len(start), pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [
                     none,
                     none,
-                    pa.nulls(len(start), pa.int32()),
+                    pa.nulls(n, pa.int32()),
+                    none,
                     none,
+                    pa.nulls(n, pa.list_(pa.int64())),
                     pa.array(np.concatenate([v.field("print").to_numpy() for _, v in listed])),
-                    pa.array(_signature(shingles(word), start, end).view(np.int64)),
-                    pa.array((end - start).astype(np.int32)),
-                    pa.array(joined, pa.binary()),
+                    pa.array(_signature(run, start, end).view(np.int64)),
+                    pa.ListArray.from_arrays(
+                        pa.array(np.append(0, np.cumsum([len(x) for x in own])).astype(np.int32)),
+                        pa.array(np.concatenate(own).view(np.int64)),
+                    ),
                 ],
                 names,
             )
 
 
-def _links(group: pa.RecordBatch) -> list[tuple[int, int]]:
+class _Sets:
+    """Sorted shingles of paragraphs, one after the other, with the 64 bits that tell their kinds."""
+
+    def __init__(self, column: pa.ListArray, bits: np.ndarray) -> None:
+        offsets = column.offsets.to_numpy()
+        self.values = column.values.to_numpy().view(np.uint64)
+        self.start, self.size, self.bits = offsets[:-1], np.diff(offsets), bits.view(np.uint64)
+
+    def __getitem__(self, at: int) -> np.ndarray:
+        return self.values[self.start[at] : self.start[at] + self.size[at]]
+
+    def may_link(self, x, y) -> np.ndarray:
+        """Pairs that the bits do not rule out: what one has and the other lacks bounds the similarity from above."""
+        lacks = np.bitwise_count(self.bits[x] & ~self.bits[y]).astype(int)
+        lacked = np.bitwise_count(self.bits[y] & ~self.bits[x]).astype(int)
+        both = np.minimum(self.size[x] - lacks, self.size[y] - lacked)
+        return (100 * both >= 75 * (both + lacks + lacked)) & (both > 0)
+
+    def linked(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Pairs with a Jaccard similarity of 0.75 or more, many at once: shingles that a pair holds twice are in both."""
+        size = np.column_stack([self.size[x], self.size[y]]).ravel()
+        start = np.column_stack([self.start[x], self.start[y]]).ravel()
+        at = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(start, size)
+        pair = np.repeat(np.arange(len(x)), self.size[x] + self.size[y])
+        order = np.lexsort([self.values[at], pair])
+        values, pair = self.values[at][order], pair[order]
+        same = (values[1:] == values[:-1]) & (pair[1:] == pair[:-1])
+        both = np.bincount(pair[1:][same], minlength=len(x))
+        return 100 * both >= 75 * (self.size[x] + self.size[y] - both)
+
+
+def _links(group: pa.RecordBatch, whole: _Sets, base: int) -> list[tuple[int, int]]:
     """Verified links between the paragraphs of one block or two of a band value that connect what isn't connected."""
-    block, i, j, names, bits, words = (group.column(c).to_numpy() for c in ("block", "i", "j", "print", "bits", "words"))
-    bits, size, texts = bits.view(np.uint64), words - SHINGLE + 1, group.column("text")
+    block, i, j, names = (group.column(c).to_numpy() for c in ("block", "i", "j", "print"))
     first, second, alone = np.nonzero(block == i[0])[0], np.nonzero(block == j[0])[0], i[0] == j[0]
-    known: dict[int, np.ndarray] = {}
     merged: dict[int, int] = {}
 
-    def whole(at: int) -> np.ndarray:
-        if at not in known:
-            known[at] = sets([texts[int(at)].as_py()])[0]
-        return known[at]
-
     def root(at: int) -> int:
         while at in merged:
             at = merged[at]
@@ -236,24 +278,45 @@ def _links(group: pa.RecordBatch) -> list[tuple[int, int]]:
     found = []
     for x in first:
         y = second[second > x] if alone else second
-        # What one has and the other lacks bounds the similarity from above.
-        lacks, lacked = np.bitwise_count(bits[x] & ~bits[y]).astype(int), np.bitwise_count(bits[y] & ~bits[x]).astype(int)
-        both = np.minimum(size[x] - lacks, size[y] - lacked)
-        for at in y[(100 * both >= 75 * (both + lacks + lacked)) & (both > 0)]:
-            if root(x) != root(at) and similar(whole(x), whole(at)):
+        for at in y[whole.may_link(base + x, base + y)]:
+            if root(x) != root(at) and similar(whole[base + x], whole[base + at]):
                 found.append((names[x], names[at]))
                 merged[root(x)] = root(at)
     return found
 
 
+#: Groups of so many paragraphs at most are compared many at once, pair by pair.
+_SMALL = 8
+
+
+def _small_links(starts: np.ndarray, sizes: np.ndarray, names: np.ndarray, whole: _Sets) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Verified links of groups that are one block each, all pairs of all groups of one size together."""
+    for m in np.unique(sizes):
+        at = starts[sizes == m]
+        x, y = np.triu_indices(m, 1)
+        x, y = (at[:, None] + x).ravel(), (at[:, None] + y).ravel()
+        near = whole.may_link(x, y)
+        x, y = x[near], y[near]
+        if len(x):
+            linked = whole.linked(x, y)
+            yield names[x[linked]], names[y[linked]]
+
+
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Links of all groups (key, i, j) of a partition that is sorted by them; one group is held beyond its batch."""
     rest = None
 
-    def links(table: pa.RecordBatch, cuts: Sequence[int]) -> pa.RecordBatch:
-        found = [e for a, b in zip(cuts[:-1], cuts[1:]) for e in _links(table.slice(a, b - a))]
-        columns = list(zip(*found)) or [(), ()]
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b"])
+    def links(table: pa.RecordBatch, cuts: np.ndarray) -> pa.RecordBatch:
+        whole = _Sets(table.column("shingles").combine_chunks() if isinstance(table, pa.Table) else table.column("shingles"), table.column("bits").to_numpy())
+        names, i, j = (table.column(c).to_numpy() for c in ("print", "i", "j"))
+        starts, sizes = cuts[:-1], np.diff(cuts)
+        small = (sizes > 1) & (sizes <= _SMALL) & (i[starts] == j[starts])
+        found = list(_small_links(starts[small], sizes[small], names, whole))
+        for a, b in zip(starts[~small & (sizes > 1)], cuts[1:][~small & (sizes > 1)]):
+            if more := _links(table.slice(a, b - a), whole, a):
+                found.append(tuple(np.array(more, np.int64).T))
+        columns = [np.concatenate([np.empty(0, np.int64), *[f[k] for f in found]]) for k in (0, 1)]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["a", "b"])
 
     for batch in filter(len, batches):
         table = batch if rest is None else pa.Table.from_batches([rest, batch]).combine_chunks().to_batches()[0]
@@ -261,11 +324,12 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for c in ("key", "i", "j"):
             values = table.column(c).to_numpy()
             new[1:] |= values[1:] != values[:-1]
-        cuts = [0, *np.nonzero(new)[0]]
-        yield links(table, cuts)
-        rest = table.slice(cuts[-1])
+        cuts = np.append(0, np.nonzero(new)[0])
+        if len(cuts) > 1:
+            yield links(table, cuts)
+        rest = pa.RecordBatch.from_arrays([pa.concat_arrays([c.slice(cuts[-1])]) for c in table.columns], table.schema.names)
     if rest is not None and rest.num_rows:
-        yield links(rest, [0, rest.num_rows])
+        yield links(rest, np.array([0, rest.num_rows]))
 
 
 def _runs(word: np.ndarray, *sizes: int) -> list[np.ndarray]:
@@ -306,17 +370,28 @@ _PLACES = "array<struct<print:long,start:int,words:int>>"
 
 
 def _read(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Windows and paragraph texts that ``wanted`` (id, tid, seeds, places) lists, from one pass over its texts."""
+    """Windows and paragraphs' shingles that ``wanted`` (id, tid, seeds, places) lists, from one pass over its texts."""
     texts = rows.join(wanted, ["id", "tid"]).select("id", "tid", "text", "seeds", "places")
-    schema = "id long, tid long, start int, window long, print long, bits long, words int, text binary"
-    return saved(texts.mapInArrow(_reader, schema), "read")
+    return saved(texts.mapInArrow(_reader, _READ), "read")
+
 
+def _repeated(read: DataFrame) -> DataFrame:
+    """(id, tid, start, end, kept_id): runs of windows that a smaller id has too.
 
-def _repeated(found: DataFrame) -> DataFrame:
-    found = found.filter("window is not null").select("id", "tid", "start", "window")
-    owners = found.groupBy("window").agg(F.min("id").alias("kept_id"), F.max("id").alias("top")).filter("kept_id <> top")
-    gone = found.join(owners.drop("top"), "window").filter("id <> kept_id")
-    return gone.select("id", "tid", "start", (F.col("start") + WINDOW).alias("end"), "kept_id")
+    Windows come in contexts, runs with one seed. Where all contexts of a seed
+    are equal, the smallest id keeps them; otherwise each window is looked at.
+    """
+    found = read.filter("seed is not null").select("id", "tid", "start", "seed", "content", "windows")
+    classes = found.groupBy("seed", "content").agg(F.min("id").alias("kept_id"), F.max("id").alias("top"))
+    seeds = classes.groupBy("seed").agg(F.count(F.lit(1)).alias("k"), F.min("kept_id").alias("kept_id"), F.max("top").alias("top"))
+    named = found.join(seeds.filter("kept_id <> top").drop("top"), "seed")
+    end = F.col("start") + F.size("windows") - 1 + WINDOW
+    equal = named.filter("k = 1 and id <> kept_id").select("id", "tid", "start", end.alias("end"), "kept_id")
+    place = F.posexplode("windows").alias("turn", "window")
+    several = named.filter("k > 1").select("id", "tid", "start", place).select("id", "tid", (F.col("start") + F.col("turn")).alias("start"), "window")
+    owners = several.groupBy("window").agg(F.min("id").alias("kept_id"), F.max("id").alias("top")).filter("kept_id <> top")
+    gone = several.join(owners.drop("top"), "window").filter("id <> kept_id")
+    return equal.unionByName(gone.select("id", "tid", "start", (F.col("start") + WINDOW).alias("end"), "kept_id"))
 
 
 def repeated_windows(rows: DataFrame) -> DataFrame:
@@ -327,7 +402,9 @@ def repeated_windows(rows: DataFrame) -> DataFrame:
     their seeds' and their own 64-bit hashes are.
     """
     wanted = _wanted_seeds(_segmented(rows)).withColumn("places", F.lit(None).cast(_PLACES))
-    return _repeated(_read(rows, wanted))
+    runs = _repeated(_read(rows, wanted))
+    each = F.explode(F.sequence("start", F.col("end") - WINDOW)).alias("start")
+    return runs.select("id", "tid", each, "kept_id").select("id", "tid", "start", (F.col("start") + WINDOW).alias("end"), "kept_id")
 
 
 def repeated_passages(
@@ -385,7 +462,7 @@ def repeated_passages(
     read = _read(rows, wanted)
     remove(parts)
     forget(rows.sparkSession)
-    texts = read.filter("print is not null").groupBy("print").agg(*[F.first(c).alias(c) for c in ("bits", "words", "text")])
+    texts = read.filter("print is not null").groupBy("print").agg(F.first("bits").alias("bits"), F.first("shingles").alias("shingles"))
     dealt = (
         members.join(texts, "print")
         .withColumn("block", F.pmod(F.xxhash64("print"), F.col("blocks")).cast("int"))
@@ -393,7 +470,7 @@ def repeated_passages(
         .withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
     )
     group = ["key", "i", "j"]
-    dealt = dealt.select(*group, "block", "print", "bits", "words", "text").repartition(*group).sortWithinPartitions(*group)
+    dealt = dealt.select(*group, "block", "print", "bits", "shingles").repartition(*group).sortWithinPartitions(*group)
     links = saved(dealt.mapInArrow(_compare, "a long, b long").distinct(), "paragraph-links")
     roots = components(links).withColumnRenamed("node", "print")
     placed = some.select("id", "tid", "start", "words", "print").join(roots, "print", "left")
