@@ -26,6 +26,7 @@ from crmtide.session import ensure_utc
 from crmtide.sinks import files, tables
 from crmtide.sources.bronze import read_bronze, typed_bronze
 from crmtide.sources.stage import load_landing, read_groups
+from crmtide.streaming import ingest
 
 
 def bronze_to_silver(
@@ -82,17 +83,28 @@ def curate_churn(raw: DataFrame) -> DataFrame:
     return latest_per_key(raw, S.CHURN_KEYS)
 
 
+def load_once(spark: SparkSession, name: str, stage_path: str, table: str, full_refresh: bool = False) -> None:
+    """Add the stage files that the landing table does not hold yet, whatever their columns and types.
+
+    Which files were loaded is kept beside the table's own files and goes with
+    them: ``full_refresh`` starts with an empty table and loads all.
+    """
+    if full_refresh or not spark.catalog.tableExists(table):
+        tables.create_landing(spark, table, name)
+    root = tables.location(spark, table)
+    ingest.load_incremental(spark, name, stage_path, root, f"{root}/_loads", drifting=True)
+    spark.catalog.refreshTable(table)
+
+
 def churn_batch(
     spark: SparkSession, stage_path: str, raw_table: str, curated_table: str, full_refresh: bool = True
 ) -> None:
     """Load the churn export into its raw table and rebuild the curated one from it.
 
-    ``full_refresh`` replaces the raw rows; otherwise the load adds to them. To
-    load each file once, feed the raw table with ``ingest.load_incremental``.
+    ``full_refresh`` replaces the raw rows; otherwise files that were loaded
+    before are skipped.
     """
-    if full_refresh or not spark.catalog.tableExists(raw_table):
-        tables.create_landing(spark, raw_table, "churn")
-    tables.append_landing(load_landing(spark, "churn", stage_path, leaf_columns_only=True), raw_table)
+    load_once(spark, "churn", stage_path, raw_table, full_refresh)
     tables.materialize(curate_churn(spark.table(raw_table)), curated_table)
 
 
@@ -106,15 +118,11 @@ STAGE_PREFIXES = {
 def load_silver_landing(
     spark: SparkSession, stage_root: str, database: str, full_refresh: bool = True
 ) -> dict[str, str]:
-    """Create the three landing tables and load their stage prefixes."""
+    """The three landing tables with the files of their stage prefixes, each loaded once unless refreshed."""
     loaded = {}
     for name, prefix in STAGE_PREFIXES.items():
-        table = f"{database}.{prefix}_raw"
-        if full_refresh or not spark.catalog.tableExists(table):
-            tables.create_landing(spark, table, name)
-        rows = load_landing(spark, name, f"{stage_root.rstrip('/')}/{prefix}")
-        tables.append_landing(rows, table)
-        loaded[name] = table
+        loaded[name] = f"{database}.{prefix}_raw"
+        load_once(spark, name, f"{stage_root.rstrip('/')}/{prefix}", loaded[name], full_refresh)
     return loaded
 
 

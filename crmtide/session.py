@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import io
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
+_PACKAGE = Path(__file__).resolve().parent
+
 
 def build_session(app_name: str = "crmtide", master: str | None = None, **conf: str) -> SparkSession:
     """Session with the settings the jobs are written for; extra ``conf`` wins."""
@@ -25,7 +30,31 @@ def build_session(app_name: str = "crmtide", master: str | None = None, **conf:
         builder = builder.master(master)
     for key, value in settings.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship_package(spark)
+    return spark
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors' Python this package, once per application.
+
+    Functions that run in tasks are sent by name, so the workers must be able to
+    import it. A package that is installed is taken to be so everywhere.
+    """
+    context = spark.sparkContext
+    if "site-packages" in _PACKAGE.parts or getattr(context, "_ships_crmtide", False):
+        return
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive:
+        for file in sorted(_PACKAGE.rglob("*.py")):
+            archive.write(file, file.relative_to(_PACKAGE.parent))
+    folder = shared_dir(spark, "package")
+    at = context._jvm.org.apache.hadoop.fs.Path(f"{folder}/crmtide.zip")
+    out = at.getFileSystem(context._jsc.hadoopConfiguration()).create(at)
+    out.write(bytearray(packed.getvalue()))
+    out.close()
+    context.addPyFile(at.toString())
+    context._ships_crmtide = True
 
 
 def ensure_utc(spark: SparkSession) -> None:

@@ -19,6 +19,12 @@ def drop_table(spark: SparkSession, name: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
+def location(spark: SparkSession, table: str) -> str:
+    """The folder that holds a table's files."""
+    found = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Location'").first()
+    return found["data_type"]
+
+
 def create_landing(spark: SparkSession, table: str, name: str, fmt: str = "parquet") -> None:
     """Create or replace an empty typed landing table."""
     empty = spark.createDataFrame([], S.landing_table_schema(name))

@@ -7,7 +7,7 @@ import re
 from collections import defaultdict
 from collections.abc import Iterator, Sequence
 from functools import reduce
-from urllib.parse import unquote, urlparse
+from urllib.parse import quote, unquote, urlparse
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -73,7 +73,7 @@ def _footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = []
         for file in batch.column(0).to_pylist():
             try:
-                fs, at = FileSystem.from_uri(re.sub("^file:/+", "file:///", file))
+                fs, at = FileSystem.from_uri(re.sub("^file:/+", "file:///", quote(file, safe=":/")))
                 with fs.open_input_file(at) as opened:
                     arrow = pq.ParquetFile(opened).schema_arrow
                 stored = (arrow.metadata or {}).get(_SPARK_SCHEMA)
@@ -99,6 +99,11 @@ def file_schemas(spark: SparkSession, path: str, pattern: str = PARQUET_FILES) -
         .load(path)
         .select("path")
     )
+    return with_schemas(files)
+
+
+def with_schemas(files: DataFrame) -> DataFrame:
+    """(file, schema, problem) of files named in the one column."""
     return files.mapInArrow(_footers, "file string, schema string, problem string")
 
 
@@ -142,6 +147,46 @@ def rejected_rows(df: DataFrame, name: str) -> DataFrame:
     return df.filter(cast_failed(df, S.LANDING_SCHEMAS[name]))
 
 
+def folder_columns(file: Column, stage_path: str) -> Column:
+    """Names of the ``name=value`` folders between the stage and a listed file, found where the row is."""
+    folders = F.split(F.regexp_replace(stage_relative(file, stage_path), "[^/]*$", ""), "/")
+    return F.transform(F.filter(folders, lambda x: x.contains("=")), lambda x: F.substring_index(x, "=", 1))
+
+
+def schema_groups(files: DataFrame, stage_path: str, leaf_columns_only: bool = False) -> DataFrame:
+    """``files`` (file, schema, problem) with the path columns and a number for every pair of schema and path columns."""
+    names = F.array().cast("array<string>") if leaf_columns_only else folder_columns(F.col("file"), stage_path)
+    return files.withColumn("names", names).withColumn("kind", F.xxhash64("schema", "names"))
+
+
+def read_files(
+    spark: SparkSession, schema: str, names: Sequence[str], files: Sequence[str], path: str, leaf_columns_only: bool
+) -> DataFrame:
+    """Files of one schema, given as JSON, with their path columns as text."""
+    typed = _with_text(T.StructType.fromJson(json.loads(schema)), names)
+    reader = spark.read.schema(typed).option("recursiveFileLookup", leaf_columns_only)
+    if not leaf_columns_only:
+        reader = reader.option("basePath", path)
+    return reader.parquet(*sorted(files))
+
+
+def frames_by_schema(spark: SparkSession, groups: DataFrame, path: str, on_error: str, leaf_columns_only: bool = False) -> list[DataFrame]:
+    """A frame for each kind of file in ``schema_groups``; the files' own schemas are compared in tasks.
+
+    To the driver come one schema for each kind and, as for any scan, the names of the files.
+    """
+    if on_error != "continue":
+        bad = groups.filter("schema is null").select("file", "problem").first()
+        if bad:
+            raise ValueError(f"{bad['file']} cannot be read: {bad['problem']}")
+    good = groups.filter("schema is not null")
+    kinds = good.groupBy("kind").agg(F.min(F.struct("schema", "names")).alias("of")).orderBy("of").collect()
+    files: dict[int, list[str]] = defaultdict(list)
+    for row in good.select("kind", "file").collect() if kinds else []:
+        files[row["kind"]].append(row["file"])
+    return [read_files(spark, k["of"]["schema"], k["of"]["names"], files[k["kind"]], path, leaf_columns_only) for k in kinds]
+
+
 def read_groups(
     spark: SparkSession, path: str, on_error: str, pattern: str = PARQUET_FILES, leaf_columns_only: bool = False
 ) -> list[DataFrame]:
@@ -150,22 +195,11 @@ def read_groups(
     Under ``continue`` files that can't be read are left out (``file_schemas``
     lists them), otherwise the first one stops the load.
     """
-    groups: dict[tuple, list[str]] = defaultdict(list)
-    for row in file_schemas(spark, path, pattern).collect():
-        if row["schema"] is None:
-            if on_error != "continue":
-                raise ValueError(f"{row['file']} cannot be read: {row['problem']}")
-            continue
-        names = () if leaf_columns_only else tuple(path_columns(row["file"], path))
-        groups[row["schema"], names].append(row["file"])
-    frames = []
-    for (schema, names), files in sorted(groups.items()):
-        typed = _with_text(T.StructType.fromJson(json.loads(schema)), names)
-        reader = spark.read.schema(typed).option("recursiveFileLookup", leaf_columns_only)
-        if not leaf_columns_only:
-            reader = reader.option("basePath", path)
-        frames.append(reader.parquet(*sorted(files)))
-    return frames
+    groups = schema_groups(file_schemas(spark, path, pattern), path, leaf_columns_only).persist()
+    try:
+        return frames_by_schema(spark, groups, path, on_error, leaf_columns_only)
+    finally:
+        groups.unpersist()
 
 
 def load_landing(
@@ -181,10 +215,12 @@ def load_landing(
     Files may differ: each group of files with the same columns and types is read
     as it is and cast to the declared types, a column a file lacks is NULL.
     """
-    parts = [
-        type_landing(with_lineage(df, stage_path), name, on_error)
-        for df in read_groups(spark, stage_path, on_error, pattern, leaf_columns_only)
-    ]
+    return landing_rows(spark, name, stage_path, read_groups(spark, stage_path, on_error, pattern, leaf_columns_only), on_error)
+
+
+def landing_rows(spark: SparkSession, name: str, stage_path: str, frames: Sequence[DataFrame], on_error: str = "continue") -> DataFrame:
+    """Typed landing rows of frames read from a stage, whatever their own types."""
+    parts = [type_landing(with_lineage(df, stage_path), name, on_error) for df in frames]
     if not parts:
         return spark.createDataFrame([], S.landing_table_schema(name))
     return reduce(DataFrame.unionByName, parts)
@@ -198,11 +234,11 @@ def stage_schema(spark: SparkSession, name: str, stage_path: str, leaf_columns_o
     """
     found: dict[str, T.DataType] = {}
     names: list[str] = []
-    for row in file_schemas(spark, stage_path).filter("schema is not null").collect():
+    groups = schema_groups(file_schemas(spark, stage_path).filter("schema is not null"), stage_path, leaf_columns_only)
+    for row in groups.select("schema", "names").distinct().collect():
         for f in T.StructType.fromJson(json.loads(row["schema"])):
             if found.setdefault(f.name, f.dataType) != f.dataType:
-                raise ValueError(f"{stage_path}: {f.name} is {found[f.name]} and {f.dataType}; use load_landing")
-        if not leaf_columns_only:
-            names = path_columns(row["file"], stage_path) or names
+                raise ValueError(f"{stage_path}: {f.name} is {found[f.name]} and {f.dataType}; use drifting ingest or load_landing")
+        names = row["names"] or names
     schema = T.StructType([T.StructField(n, t) for n, t in found.items()])
     return _with_text(schema, names) if found else S.LANDING_SCHEMAS[name]

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -13,8 +14,18 @@ from crmtide.functions.columns import required_invalid, with_stamp, with_time_pa
 from crmtide.operators.latest import latest_per_key
 from crmtide.operators.upsert import upsert
 from crmtide.operators.validate import with_reason
+from crmtide.sinks.deliveries import Deliveries
 from crmtide.sources.bronze import text_schema, typed_bronze
-from crmtide.sources.stage import PARQUET_FILES, stage_schema, type_landing, with_lineage
+from crmtide.sources.stage import (
+    PARQUET_FILES,
+    frames_by_schema,
+    landing_rows,
+    schema_groups,
+    stage_schema,
+    type_landing,
+    with_lineage,
+    with_schemas,
+)
 
 EVERY_MINUTE = {"processingTime": "1 minute"}
 ALL_AVAILABLE = {"availableNow": True}
@@ -22,6 +33,8 @@ ALL_AVAILABLE = {"availableNow": True}
 
 # A file counts as new whatever its date: backfills and copies keep old ones.
 ANY_AGE = {"maxFileAge": "36500d"}
+# Below a raw table, where readers of the table do not look: the files that were met.
+FILES = "_files"
 # Exports: a folder names the export's scope, not the rows' tenant, so folder names are not columns.
 EXPORTS = ("churn", "lead_score")
 
@@ -79,7 +92,8 @@ def auto_ingest(
     ``file_schema`` defaults to that of the files in the stage at the start.
 
     The source's checkpoint remembers the files, the file sink's log makes a
-    replayed micro-batch invisible.
+    replayed micro-batch invisible. All files need the same types; a stage whose
+    files differ is for ``drifting_ingest``.
     """
     rows = staged_files(spark, name, stage_path, file_schema, max_files_per_trigger, archive)
     return (
@@ -91,9 +105,74 @@ def auto_ingest(
     )
 
 
-def load_incremental(spark: SparkSession, name: str, stage_path: str, raw_path: str, checkpoint: str, **options) -> None:
-    """Batch form of the ingest: load the files not loaded before, then stop."""
-    run_to_end(auto_ingest(spark, name, stage_path, raw_path, checkpoint, trigger=ALL_AVAILABLE, **options))
+_FILE = "path string, modificationTime timestamp, length bigint, content binary"
+
+
+def drifting_ingest(
+    spark: SparkSession,
+    name: str,
+    stage_path: str,
+    raw_path: str,
+    checkpoint: str,
+    trigger: dict = EVERY_MINUTE,
+    max_files_per_trigger: int = 10_000,
+    archive: str | None = None,
+) -> StreamingQuery:
+    """Append every new stage file to the raw table, exactly once per file, whatever its columns and types.
+
+    The stream carries the names of new files. Each micro-batch reads their
+    footers in tasks, groups them by schema and casts every group to the declared
+    types; a value that does not fit skips its row, as in ``load_landing``. A
+    micro-batch that comes again after a failure is recognised by its number
+    (see ``Deliveries``). Files that are no Parquet are not loaded; ``loaded_files``
+    lists them with all others.
+    """
+    flat = name in EXPORTS
+    cleaning = {"cleanSource": "archive", "sourceArchiveDir": archive} if archive else {}
+    files = (
+        spark.readStream.format("binaryFile")
+        .schema(_FILE)
+        .options(**ANY_AGE, **cleaning)
+        .option("pathGlobFilter", PARQUET_FILES)
+        .option("recursiveFileLookup", True)
+        .option("maxFilesPerTrigger", max_files_per_trigger)
+        .load(stage_path)
+        .select("path")
+    )
+
+    def load(batch: DataFrame, batch_id: int) -> None:
+        session = batch.sparkSession
+        query = session.sparkContext.getLocalProperty("sql.streaming.queryId") or "none"
+        deliveries = Deliveries(session, raw_path)
+        if deliveries.resume(query, batch_id):
+            return
+        groups = schema_groups(with_schemas(batch), stage_path, flat).persist()
+        try:
+            listed = groups.select("file", "problem", F.lit(batch_id).cast("bigint").alias("batch_id"))
+            frames = frames_by_schema(session, groups, stage_path, "continue", flat)
+            rows = landing_rows(session, name, stage_path, frames)
+            deliveries.write(query, batch_id, {"": rows, FILES: listed})
+        finally:
+            groups.unpersist()
+
+    return files.writeStream.option("checkpointLocation", checkpoint).trigger(**trigger).foreachBatch(load).start()
+
+
+def loaded_files(spark: SparkSession, raw_path: str) -> DataFrame:
+    """(file, problem, batch_id) of the files that ``drifting_ingest`` met; a problem tells why one was not loaded."""
+    schema = "file string, problem string, batch_id bigint"
+    return spark.read.schema(schema).parquet(f"{raw_path.rstrip('/')}/{FILES}")
+
+
+def load_incremental(
+    spark: SparkSession, name: str, stage_path: str, raw_path: str, checkpoint: str, drifting: bool = False, **options
+) -> None:
+    """Batch form of the ingest: load the files not loaded before, then stop.
+
+    ``drifting`` takes files that differ in columns or types.
+    """
+    ingest = drifting_ingest if drifting else auto_ingest
+    run_to_end(ingest(spark, name, stage_path, raw_path, checkpoint, trigger=ALL_AVAILABLE, **options))
 
 
 def change_feed(spark: SparkSession, raw_path: str, name: str, max_files_per_trigger: int = 10_000) -> DataFrame:

@@ -161,6 +161,50 @@ def s13_load_partitioned(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(f"{root}/raw").select("organization_id", "kpi_date", "pipeline_created_count", "activity_volume")
 
 
+DRIFT_OUT = ["organization_id", "module_key", "record_id", "cdc_timestamp", "annual_revenue_usd", "amount_usd"]
+
+
+def t1_drifting_ingest(spark: SparkSession, d: str) -> DataFrame:
+    """The stage whose files differ, loaded continuously a few files at a time, then asked for again."""
+    source, root = stages.drifting_stage(spark, d), shared_dir(spark, "drifting-ingest")
+    for _ in range(2):
+        ingest.load_incremental(
+            spark, "records", source, f"{root}/raw", f"{root}/checkpoint", drifting=True, max_files_per_trigger=8
+        )
+    return spark.read.parquet(f"{root}/raw").select(*DRIFT_OUT)
+
+
+def s13_load_history(spark: SparkSession, d: str) -> DataFrame:
+    """Files met by a continuous load: how many were loaded, how many are no Parquet."""
+    source, root = stages.drifting_stage(spark, d), shared_dir(spark, "load-history")
+    for _ in range(2):
+        ingest.load_incremental(spark, "records", source, f"{root}/raw", f"{root}/checkpoint", drifting=True)
+    loaded = spark.read.parquet(f"{root}/raw").count()
+    return ingest.loaded_files(spark, f"{root}/raw").agg(
+        F.count_if(F.col("problem").isNull() & ~F.col("file").like("%/module_key=%")).alias("stray_files"),
+        F.count_if(F.col("problem").isNotNull()).alias("unreadable_files"),
+        F.lit(loaded).alias("rows_loaded"),
+    )
+
+
+def s13_batch_load_once(spark: SparkSession, d: str) -> DataFrame:
+    """The batch load into a catalog table, run twice: the second run skips the files of the first."""
+    name = f"{_database(spark, 'once')}.records_raw"
+    for _ in range(2):
+        jobs.load_once(spark, "records", stages.drifting_stage(spark, d), name)
+    return spark.table(name).select(*DRIFT_OUT)
+
+
+def k16_bucketed(spark: SparkSession, d: str) -> DataFrame:
+    """Curated lead scores whose days are split into parts by key."""
+    leads = shapes.lead_scores(spark, d)
+    path = shared_dir(spark, "bucketed")
+    for numbers in ((0, 1), (2,)):
+        latest = latest_per_key(_load(leads, *numbers), S.LEAD_SCORE_KEYS)
+        upsert(path, latest, S.LEAD_SCORE_KEYS, "feature_date", buckets=4)
+    return spark.read.schema(leads.schema).parquet(path).select(*leads.columns)
+
+
 def s13_backfill(spark: SparkSession, d: str) -> DataFrame:
     """Files dated long before those loaded first are loaded by the next run."""
     leads, root = shapes.lead_scores(spark, d), shared_dir(spark, "backfill")
@@ -498,10 +542,11 @@ QUERIES = {
     for f in (
         s1_bronze_json_scan, s2_partition_discovery, s3_parquet_stage_scan, s4_file_pattern, s5_lineage,
         s6_load_stamp, s7_load_records, s8_load_activity, s9_load_kpi, s10_load_churn, s11_load_lead_score,
-        s12_on_error_continue, s12_drifting_files, s13_load_once, s13_load_partitioned, s13_backfill, s14_table_scan, s16_external_table, s17_msck, p1_schema_cast,
+        s12_on_error_continue, s12_drifting_files, s13_load_once, s13_load_partitioned, s13_backfill, t1_drifting_ingest, s13_load_history,
+        s13_batch_load_once, s14_table_scan, s16_external_table, s17_msck, p1_schema_cast,
         f1_required_invalid, f2_split_good, f2_split_bad, q4_quarantine_report, k1_append_partitioned,
         k2_quarantine, k3_export_gold, k4_partitioned_write, k5_json_write, k6_views, k7_materialize, k8_docs, k9_ddl,
-        k12_silver_records, k13_silver_activity, k14_silver_kpi, k16_upsert, k16_replay_null_keys, t1_auto_ingest, t2_change_feed,
+        k12_silver_records, k13_silver_activity, k14_silver_kpi, k16_upsert, k16_bucketed, k16_replay_null_keys, t1_auto_ingest, t2_change_feed,
         t3_microbatch, t4_stream_upsert, t5_late_rows, t6_bronze_stream,
     )
 } | {f"p2_bronze_{e}": partial(p2_bronze, entity=e) for e in S.ENTITY_SCHEMAS}

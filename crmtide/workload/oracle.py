@@ -716,3 +716,12 @@ ORACLE: dict[str, str] = {
     + _last_load.format(extra=", 'newest_export' AS rule", order="exported_at DESC")
     + ")",
 } | {f"p2_bronze_{e}": _entity(e) + "SELECT * EXCLUDE (is_invalid, missing_fields) FROM entity" for e in _ENTITY_SQL}
+
+# Other ways to the same rows.
+ORACLE |= {
+    "t1_drifting_ingest": ORACLE["s12_drifting_files"],
+    "s13_batch_load_once": ORACLE["s12_drifting_files"],
+    "s13_load_history": f"""SELECT 0 AS stray_files, 1 AS unreadable_files, count(*) AS rows_loaded
+        FROM ({ORACLE['s12_drifting_files']})""",
+    "k16_bucketed": ORACLE["k16_upsert"],
+}
