@@ -307,7 +307,7 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     rest = None
 
     def links(table: pa.RecordBatch, cuts: np.ndarray) -> pa.RecordBatch:
-        whole = _Sets(table.column("shingles").combine_chunks() if isinstance(table, pa.Table) else table.column("shingles"), table.column("bits").to_numpy())
+        whole = _Sets(table.column("shingles"), table.column("bits").to_numpy())
         names, i, j = (table.column(c).to_numpy() for c in ("print", "i", "j"))
         starts, sizes = cuts[:-1], np.diff(cuts)
         small = (sizes > 1) & (sizes <= _SMALL) & (i[starts] == j[starts])
@@ -327,7 +327,7 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cuts = np.append(0, np.nonzero(new)[0])
         if len(cuts) > 1:
             yield links(table, cuts)
-        rest = pa.RecordBatch.from_arrays([pa.concat_arrays([c.slice(cuts[-1])]) for c in table.columns], table.schema.names)
+        rest = pa.RecordBatch.from_arrays([pa.concat_arrays([c.slice(cuts[-1])]) for c in table.columns], schema=table.schema)
     if rest is not None and rest.num_rows:
         yield links(rest, np.array([0, rest.num_rows]))
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import math
 import re
 from collections import Counter, defaultdict
@@ -10,6 +11,7 @@ from pathlib import Path
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -407,3 +409,63 @@ def test_pipeline_against_plain_python(spark):
     for r in kept:
         full[r.sequence_id] += r.length
     assert max(full.values()) <= 1024 and len(full) <= 1.02 * -(-sum(full.values()) // 1024) + 1
+
+
+def test_groups_are_compared_across_batches():
+    """Small and large groups, of one block and of two, cut anywhere between batches."""
+    base = [rng.integers(0, 2**62, 30).astype(np.int64) for _ in range(12)]
+    paragraphs, rows = [], []
+    for k in range(150):
+        own = base[k % 12].copy()
+        own[rng.permutation(30)[: rng.integers(0, 6)]] = rng.integers(0, 2**62)
+        paragraphs.append(np.unique(own.view(np.uint64)).view(np.int64))
+    for key in range(40):
+        members = rng.choice(150, rng.integers(1, 30), replace=False)
+        for m in members:
+            rows.append((key, 0, 0, 0, int(m)))
+        for m in members:
+            rows += [(key, 0, 1, int(m) % 2, int(m))]
+    rows.sort()
+    bits = [int(np.bitwise_or.reduce(np.uint64(1) << (p.view(np.uint64) >> np.uint64(58))).view(np.int64)) for p in paragraphs]
+    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64()]
+    schema = pa.schema(
+        [pa.field(n, t, n not in "ij") for n, t in zip(("key", "i", "j", "block", "print"), kinds)]
+        + [("bits", pa.int64()), ("shingles", pa.list_(pa.int64()))]
+    )
+    batches = []
+    for lo in range(0, len(rows), 7):
+        some = rows[lo : lo + 7]
+        columns = [pa.array(c, t) for c, t in zip(zip(*some), kinds)]
+        columns += [pa.array([bits[r[4]] for r in some]), pa.array([paragraphs[r[4]] for r in some], pa.list_(pa.int64()))]
+        batches.append(pa.RecordBatch.from_arrays(columns, schema=schema))
+    got = {(a, b) for out in substring_dedup._compare(iter(batches)) for a, b in zip(*out.to_pydict().values())}
+    want = set()
+    groups = defaultdict(list)
+    for key, i, j, block, m in rows:
+        groups[key, i, j].append((block, m))
+    alike = lambda x, y: 100 * len(x & y) >= 75 * len(x | y)
+    for (_, i, j), members in groups.items():
+        for (b1, x), (b2, y) in itertools.combinations(members, 2):
+            if (i == j or b1 != b2) and alike(set(paragraphs[x].tolist()), set(paragraphs[y].tolist())):
+                want.add((x, y))
+    assert all(alike(set(paragraphs[a].tolist()), set(paragraphs[b].tolist())) for a, b in got)
+    assert _components(150, got) == _components(150, want) and len(want) > 50
+
+
+def test_alike_paragraphs_and_their_components_equal_brute_force(spark):
+    """One paragraph a document: what is removed follows from all pairs of paragraphs."""
+    texts = []
+    for k in range(40):
+        own = [f"k{k}x{rng.integers(1000)}" for _ in range(40)]
+        texts.append(own)
+        for _ in range(rng.integers(0, 4)):
+            own = list(own)
+            own[rng.integers(40)] = f"new{rng.integers(10**6)}"
+            texts.append(own)
+    texts = [texts[i] for i in rng.permutation(len(texts))]
+    sets = [{tuple(t[i : i + 5]) for i in range(36)} for t in texts]
+    pairs = [p for p in itertools.combinations(range(len(sets)), 2) if 100 * len(sets[p[0]] & sets[p[1]]) >= 75 * len(sets[p[0]] | sets[p[1]])]
+    least = _components(len(sets), pairs)
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {(r.id, r.start, r.end, r.kept_id) for r in substring_dedup.repeated_passages(df).collect()}
+    assert got == {(i, 0, 40, c) for i, c in enumerate(least) if i != c} and len(got) > 30
