@@ -183,7 +183,7 @@ def s13_load_history(spark: SparkSession, d: str) -> DataFrame:
     return ingest.loaded_files(spark, f"{root}/raw").agg(
         F.count_if(F.col("problem").isNull() & ~F.col("file").like("%/module_key=%")).alias("stray_files"),
         F.count_if(F.col("problem").isNotNull()).alias("unreadable_files"),
-        F.lit(loaded).alias("rows_loaded"),
+        F.lit(loaded).cast("bigint").alias("rows_loaded"),
     )
 
 

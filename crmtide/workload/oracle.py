@@ -721,7 +721,7 @@ ORACLE: dict[str, str] = {
 ORACLE |= {
     "t1_drifting_ingest": ORACLE["s12_drifting_files"],
     "s13_batch_load_once": ORACLE["s12_drifting_files"],
-    "s13_load_history": f"""SELECT 0 AS stray_files, 1 AS unreadable_files, count(*) AS rows_loaded
+    "s13_load_history": f"""SELECT CAST(0 AS BIGINT) AS stray_files, CAST(1 AS BIGINT) AS unreadable_files, count(*) AS rows_loaded
         FROM ({ORACLE['s12_drifting_files']})""",
     "k16_bucketed": ORACLE["k16_upsert"],
 }
