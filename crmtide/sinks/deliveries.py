@@ -7,14 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 
-class Deliveries:
-    """Appends of a source's numbered batches to the folder at ``path`` and folders below it.
-
-    A batch is written beside the table first. Once Spark has committed all of
-    it, its files are moved in one by one; a move either happened or did not, so a
-    batch that a crash cut off is ended, not written again, and readers and
-    streams over the folder meet every file once. One writer at a time.
-    """
+class Folder:
+    """File operations below ``path``, wherever Spark's file systems reach."""
 
     def __init__(self, spark: SparkSession, path: str) -> None:
         self.path = path.rstrip("/")
@@ -31,12 +25,36 @@ class Deliveries:
     def _touch(self, name: str) -> None:
         self.fs.create(self._at(name), True).close()
 
+    def exists(self, name: str) -> bool:
+        return self.fs.exists(self._at(name))
+
+    def reached(self, done: str) -> int:
+        """The greatest number noted below a folder; -1 if there is none."""
+        return max((int(n) for n in self._names(done)), default=-1)
+
+    def note(self, done: str, number: int) -> None:
+        """Note a number and forget smaller ones."""
+        self._touch(f"{done}/{number}")
+        for n in self._names(done):
+            if int(n) < number:
+                self.fs.delete(self._at(f"{done}/{n}"), False)
+
+
+class Deliveries(Folder):
+    """Appends of a source's numbered batches to the folder at ``path`` and folders below it.
+
+    A batch is written beside the table first. Once Spark has committed all of
+    it, its files are moved in one by one; a move either happened or did not, so a
+    batch that a crash cut off is ended, not written again, and readers and
+    streams over the folder meet every file once. One writer at a time.
+    """
+
     def resume(self, source: str, number: int) -> bool:
         """Whether this batch is in the table, after ending it if all of it had been written."""
-        if any(int(n) >= number for n in self._names(f"_deliveries/{source}/done")):
+        if self.reached(f"_deliveries/{source}/done") >= number:
             return True
         pending = f"_deliveries/{source}/{number}"
-        if self.fs.exists(self._at(f"{pending}/_written")):
+        if self.exists(f"{pending}/_written"):
             self._end(source, number)
             return True
         self.fs.delete(self._at(pending), True)
@@ -65,9 +83,5 @@ class Deliveries:
                     to = f"{target}{source[:8]}-{number:09d}-{part}-{name}"
                     if not self.fs.rename(self._at(f"{pending}/{part}/{name}"), self._at(to)):
                         raise OSError(f"cannot move {name} to {to}")
-        done = f"_deliveries/{source}/done"
-        self._touch(f"{done}/{number}")
-        for n in self._names(done):
-            if int(n) < number:
-                self.fs.delete(self._at(f"{done}/{n}"), False)
+        self.note(f"_deliveries/{source}/done", number)
         self.fs.delete(self._at(pending), True)

@@ -9,7 +9,8 @@ from crmtide import schemas as S
 from crmtide.functions import columns as C
 from crmtide.operators import joins, quality, rollups
 from crmtide.operators.latest import latest_per_key
-from crmtide.plans import marts, staging
+from crmtide.plans import incremental, marts, staging
+from crmtide.plans.incremental import Marts
 from crmtide.session import ensure_utc
 from crmtide.sinks.files import write_partitioned
 from crmtide.sources.bronze import read_bronze, typed_bronze
@@ -144,6 +145,48 @@ def m3_pipeline_health(spark: SparkSession, d: str) -> DataFrame:
     return _scorecard_out(marts.pipeline_health(scorecard))
 
 
+def _delivered(spark: SparkSession, d: str) -> Marts:
+    """Sums after three deliveries: rows by number modulo 3, of which the first came with flaws that later ones correct."""
+    frames = {"records": _records(spark, d), "activity": _activity(spark, d), "kpi": _kpi(spark, d)}
+
+    def write(path: str) -> None:
+        _deliver(Marts(spark, path, frames["kpi"].schema), frames)
+
+    return Marts(spark, stages.once(spark, d, "incremental", write), frames["kpi"].schema)
+
+
+def _deliver(kept: Marts, frames: dict[str, DataFrame]) -> None:
+    part = {
+        "records": F.pmod(F.xxhash64("record_id"), F.lit(3)),
+        "activity": F.pmod(F.xxhash64("record_id"), F.lit(3)),
+        "kpi": F.dayofmonth("kpi_date") % 3,
+    }
+    flaw = {
+        "records": lambda df: df.withColumns({"amount_usd": F.col("amount_usd") + 5, "health_score": F.lit(1.0)}),
+        "activity": lambda df: df.withColumn("account_id", F.lit("acct_1")),
+        "kpi": lambda df: df.withColumn("pipeline_coverage_ratio", F.lit(9.0)),
+    }
+    for number in range(3):
+        delivery = {n: incremental.signed(df.filter(part[n] == number)) for n, df in frames.items()}
+        if number == 0:
+            delivery = {n: flaw[n](df) for n, df in delivery.items()}
+        if number == 1:
+            for n, df in frames.items():
+                right = df.filter(part[n] == 0)
+                wrong = incremental.signed(flaw[n](right), -1)
+                delivery[n] = delivery[n].unionByName(wrong).unionByName(incremental.signed(right))
+        for _ in range(2 if number == 2 else 1):
+            kept.deliver(number, **delivery)
+
+
+def m3_incremental(spark: SparkSession, d: str) -> DataFrame:
+    return _scorecard_out(_delivered(spark, d).mart("pipeline_health"))
+
+
+def a1_incremental(spark: SparkSession, d: str) -> DataFrame:
+    return _delivered(spark, d).activity_rollup()
+
+
 def m4_module_snapshot(spark: SparkSession, d: str) -> DataFrame:
     snapshot = rollups.module_snapshot(_records(spark, d))
     return _rounded(snapshot, avg_health_score=6, avg_lead_score_hint=6, total_amount_usd=2)
@@ -304,7 +347,7 @@ QUERIES = {
         p14_extras_encode, p15_extras_schema, f3_tenant_scope, f4_snapshot_scope, j1_record_activity_or,
         j1_record_activity_equi, j2_kpi_records, j4_tenant_dim, a1_activity_rollup,
         m1_record_daily_activity, m1_record_daily_activity_dedup, m2_scorecard, m2_scorecard_plain,
-        m3_pipeline_health, m4_module_snapshot, w1_latest_churn, w1_latest_churn_max_by, w2_latest_lead,
+        m3_pipeline_health, m3_incremental, a1_incremental, m4_module_snapshot, w1_latest_churn, w1_latest_churn_max_by, w2_latest_lead,
         w3_latest_cdc, u1_union_modules, x14_calendar_spine, x_scalars, q_not_null, q_accepted_values, q_checks,
         q_unique_record_day, q_unique_scorecard, q_unique_health, q_unique_snapshot,
     )

@@ -724,4 +724,6 @@ ORACLE |= {
     "s13_load_history": f"""SELECT CAST(0 AS BIGINT) AS stray_files, CAST(1 AS BIGINT) AS unreadable_files, count(*) AS rows_loaded
         FROM ({ORACLE['s12_drifting_files']})""",
     "k16_bucketed": ORACLE["k16_upsert"],
+    "m3_incremental": ORACLE["m3_pipeline_health"],
+    "a1_incremental": ORACLE["a1_activity_rollup"],
 }
