@@ -152,6 +152,13 @@ def _segmenter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 _LEAST = [f"m{j}" for j in range(0, BANDS, 2)]
 
 
+def _step(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` written down; what its shuffles took on disk is free again."""
+    out = saved(df, purpose)
+    forget(df.sparkSession)
+    return out
+
+
 def _segmented(rows: DataFrame) -> DataFrame:
     """A row per text of ``rows`` with its paragraphs and seeds."""
     low = ",".join(f"{m}:long" for m in _LEAST)
@@ -372,7 +379,7 @@ _PLACES = "array<struct<print:long,start:int,words:int>>"
 def _read(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     """Windows and paragraphs' shingles that ``wanted`` (id, tid, seeds, places) lists, from one pass over its texts."""
     texts = rows.join(wanted, ["id", "tid"]).select("id", "tid", "text", "seeds", "places")
-    return saved(texts.mapInArrow(_reader, _READ), "read")
+    return _step(texts.mapInArrow(_reader, _READ), "read")
 
 
 def _repeated(read: DataFrame) -> DataFrame:
@@ -437,20 +444,20 @@ def repeated_passages(
     parts = _segmented(rows)
     found = parts.select("id", "tid", F.inline("paragraphs"))
     least = [F.first(m).alias(m) for m in _LEAST]
-    distinct = saved(found.groupBy("print").agg(F.min("id").alias("x"), F.max("id").alias("y"), *least), "prints")
+    distinct = _step(found.groupBy("print").agg(F.min("id").alias("x"), F.max("id").alias("y"), *least), "prints")
     members = None
     for bands in (range(0, BANDS // 2), range(BANDS // 2, BANDS)):
         keyed = distinct.select("print", "x", "y", F.explode(_keys(bands)).alias("key"))
         shared = keyed.groupBy("key").agg(F.min("x").alias("x"), F.max("y").alias("y")).filter("x <> y").select("key")
-        some = saved(keyed.select("print", "key").join(shared, "key", "left_semi"), "band-members")
+        some = _step(keyed.select("print", "key").join(shared, "key", "left_semi"), "band-members")
         members = some if members is None else members.unionByName(some)
-        forget(rows.sparkSession)
     several = members.groupBy("key").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
     members = members.join(several.select("key", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks")), "key")
-    members = saved(members, "members")
+    parted, members = members, _step(members, "members")
+    remove(parted)
     equal = distinct.filter("x <> y").select("print")
     sharing = members.select("print").unionByName(equal).distinct()
-    some = saved(found.select("id", "tid", "start", "words", "print").join(sharing, "print", "left_semi"), "shared-paragraphs")
+    some = _step(found.select("id", "tid", "start", "words", "print").join(sharing, "print", "left_semi"), "shared-paragraphs")
     remove(distinct)
 
     place = F.struct("id", "tid", "start", "words")
@@ -461,7 +468,6 @@ def repeated_passages(
     wanted = _wanted_seeds(parts).join(wanted, ["id", "tid"], "full")
     read = _read(rows, wanted)
     remove(parts)
-    forget(rows.sparkSession)
     texts = read.filter("print is not null").groupBy("print").agg(F.first("bits").alias("bits"), F.first("shingles").alias("shingles"))
     dealt = (
         members.join(texts, "print")
@@ -471,13 +477,17 @@ def repeated_passages(
     )
     group = ["key", "i", "j"]
     dealt = dealt.select(*group, "block", "print", "bits", "shingles").repartition(*group).sortWithinPartitions(*group)
-    links = saved(dealt.mapInArrow(_compare, "a long, b long").distinct(), "paragraph-links")
+    links = _step(dealt.mapInArrow(_compare, "a long, b long").distinct(), "paragraph-links")
     roots = components(links).withColumnRenamed("node", "print")
     placed = some.select("id", "tid", "start", "words", "print").join(roots, "print", "left")
     placed = placed.withColumn("component", F.coalesce("component", "print"))
     owners = placed.groupBy("component").agg(F.min("id").alias("kept_id"), F.max("id").alias("top")).filter("kept_id <> top")
     gone = placed.join(owners.drop("top"), "component").filter("id <> kept_id")
-    gone = gone.select("id", "tid", "start", (F.col("start") + F.col("words")).alias("end"), "kept_id").unionByName(_repeated(read))
+    gone = gone.select("id", "tid", "start", (F.col("start") + F.col("words")).alias("end"), "kept_id")
+    gone = _step(gone, "alike-passages").unionByName(_step(_repeated(read), "equal-passages"))
+    remove(read)
+    remove(some)
+    remove(members)
     by = Window.partitionBy("id", "tid").orderBy("start", "end")
     until = F.max("end").over(by.rowsBetween(Window.unboundedPreceding, -1))
     gone = gone.withColumn("new", F.coalesce((F.col("start") > until).cast("int"), F.lit(1)))
