@@ -30,9 +30,24 @@ def violations(
     return rows.groupBy("check_name", "column_name", "value").agg(F.count("*").alias("violations"))
 
 
+def null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``violations`` of the not-null rules alone: one counter per column, so no row is made for what breaks a rule."""
+    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
+    named = [
+        F.struct(
+            F.lit("not_null").alias("check_name"),
+            F.lit(c).alias("column_name"),
+            F.lit(None).cast("string").alias("value"),
+            F.col(c).alias("violations"),
+        )
+        for c in columns
+    ]
+    return counts.select(F.inline(F.array(*named))).filter("violations > 0")
+
+
 def not_null(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(column_name, violations)"""
-    return violations(df, columns).select("column_name", "violations")
+    return null_counts(df, columns).select("column_name", "violations")
 
 
 def accepted_values(df: DataFrame, accepted: Mapping[str, Sequence[str]]) -> DataFrame:
@@ -51,7 +66,7 @@ def _of_models(models: Mapping[str, DataFrame], rules: Mapping[str, DataFrame])
 
 
 def check_not_null(models: Mapping[str, DataFrame]) -> DataFrame:
-    return _of_models(models, {m: violations(models[m], c) for m, c in S.NOT_NULL.items() if m in models})
+    return _of_models(models, {m: null_counts(models[m], c) for m, c in S.NOT_NULL.items() if m in models})
 
 
 def check_accepted_values(models: Mapping[str, DataFrame]) -> DataFrame:

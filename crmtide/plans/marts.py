@@ -138,9 +138,12 @@ def pipeline_health(scorecard: DataFrame) -> DataFrame:
 
 
 def build_marts(
-    raw_records: DataFrame, raw_activity: DataFrame, raw_kpi: DataFrame
+    raw_records: DataFrame, raw_activity: DataFrame, raw_kpi: DataFrame, hot: Sequence[int] | None = None
 ) -> dict[str, DataFrame]:
-    """Every model of the project, lazily: each mart is one plan, run at its write."""
+    """Every model of the project, lazily: each mart is one plan, run at its write.
+
+    ``hot`` is that of ``record_daily_activity``.
+    """
     records = staging.stg_records(raw_records)
     activity = staging.stg_activity(raw_activity)
     kpi = staging.stg_kpi(raw_kpi)
@@ -149,7 +152,7 @@ def build_marts(
         "stg_records": records,
         "stg_activity": activity,
         "stg_kpi": kpi,
-        "record_daily_activity": record_daily_activity(records, activity),
+        "record_daily_activity": record_daily_activity(records, activity, hot=hot),
         "daily_scorecard": scorecard,
         "pipeline_health": pipeline_health(scorecard),
         "module_snapshot": rollups.module_snapshot(records),

@@ -304,7 +304,8 @@ def _dirty_models(spark: SparkSession, d: str) -> dict[str, DataFrame]:
     again = kpi.filter(day == 18).withColumn("tenant_name", F.lower("tenant_name"))
     kpi = kpi.unionByName(again)
     models = {"raw_records": records, "raw_activity": activity, "raw_kpi": kpi}
-    return models | marts.build_marts(records, activity, kpi)
+    hot = joins.hot_records(rollups.activity_rollup(staging.stg_activity(activity)))
+    return models | marts.build_marts(records, activity, kpi, hot)
 
 
 def q_not_null(spark: SparkSession, d: str) -> DataFrame:
