@@ -17,8 +17,9 @@ from crmtide.llm.components import components
 THRESHOLD = 0.93
 SAMPLE = 8192
 SUBSPACES, CODES = 8, 256
-#: Part of the link radius within which the border to another list makes that list be probed.
-MARGIN = 0.6
+#: Part of the link radius within which the border to another list makes that list be probed. Of two linked
+#: vectors on both sides of a border, one lies within half the radius of it, so every link is met.
+MARGIN = 0.5
 BLOCK, VISITORS, QUERIES = 2048, 32768, 512
 
 
@@ -49,7 +50,7 @@ class Model:
         """Lists (a column each) whose border lies nearer to a vector than the margin of the radius."""
         d = (self.centres**2).sum(axis=1) - 2 * (x @ self.centres.T)
         apart = np.sqrt(((self.centres[:, None] - self.centres[None]) ** 2).sum(axis=2))[own]
-        return d - d[np.arange(len(x)), own][:, None] <= 2 * MARGIN * radius * apart
+        return d - d[np.arange(len(x)), own][:, None] <= 2 * MARGIN * radius * apart + 1e-9
 
     def encode(self, residuals: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(codes, length of what they leave out) of residuals."""
@@ -72,6 +73,7 @@ class Model:
 
 def _unit(vectors) -> np.ndarray:
     x = np.stack(list(vectors)).astype(np.float64)
+    x /= np.abs(x).max(axis=1)[:, None]
     return x / np.linalg.norm(x, axis=1)[:, None]
 
 
@@ -83,9 +85,10 @@ def _lister(model: Model, radius: float) -> Callable:
             x = _unit(batch.column(2).to_numpy(zero_copy_only=False))
             own = model.nearest(x)
             near = model.probes(x, own, radius)
-            later = [np.nonzero(row[o + 1 :])[0] + o + 1 for row, o in zip(near, own)]
+            near[np.arange(len(x)), own] = False
+            others = [np.nonzero(row)[0] for row in near]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(own, pa.int32()), pa.array(later, pa.list_(pa.int32()))],
+                [*batch.columns, pa.array(own, pa.int32()), pa.array(others, pa.list_(pa.int32()))],
                 ["id", "label", "v", "copies", "list", "probes"],
             )
 
@@ -111,8 +114,10 @@ def _linker(model: Model, threshold: float, radius: float) -> Callable[[pd.DataF
         out: list[tuple] = []
         if len(stored):
             y, y_ids, y_copies = _unit(stored["v"]), stored["id"].to_numpy(), stored["copies"].to_numpy()
-            centre = model.centres[int(stored["list"].iloc[0])]
+            here = int(stored["list"].iloc[0])
+            centre = model.centres[here]
             codes, left_out = model.encode(y - centre)
+            y_asks = model.probes(y, np.full(len(y), here), radius)
             y_links = np.zeros(len(y), np.int64)
             asking = pdf[pdf["asks"]]
             for at in range(0, len(asking), QUERIES):
@@ -121,6 +126,9 @@ def _linker(model: Model, threshold: float, radius: float) -> Callable[[pd.DataF
                 likely = model.distances(x - centre, codes) <= (radius + left_out + 1e-3)[None, :]
                 # Two of the same block meet twice: the smaller id asks.
                 likely &= ~some["same"].to_numpy()[:, None] | (x_ids[:, None] < y_ids[None, :])
+                # Two that ask each other's list meet twice: the one from the earlier list counts.
+                home = some["home"].to_numpy()
+                likely &= ~((home > here)[:, None] & y_asks[:, home].T)
                 rows, columns = np.nonzero(likely.any(axis=1))[0], np.nonzero(likely.any(axis=0))[0]
                 if not len(rows):
                     continue
@@ -141,7 +149,8 @@ def _pairs(classes: DataFrame, threshold: float) -> DataFrame:
     n = classes.count()
     sample = hash_sample(classes.select("id", "v"), ["id"], SAMPLE).select("v").toArrow()["v"]
     model = Model(_unit(sample.to_numpy()), int(np.clip(np.sqrt(n) / 8, 1, 1024)))
-    schema = "id long, label string, v array<float>, copies long, list int, probes array<int>"
+    kind = classes.schema["v"].dataType.simpleString()
+    schema = f"id long, label string, v {kind}, copies long, list int, probes array<int>"
     placed = saved(classes.select("id", "label", "v", "copies").mapInArrow(_lister(model, radius), schema), "lists")
     sizes = placed.groupBy("label", "list").agg(F.count(F.lit(1)).alias("m"))
     labels = sizes.groupBy("label").agg(F.sum("m").alias("of_label"))
@@ -158,23 +167,23 @@ def _pairs(classes: DataFrame, threshold: float) -> DataFrame:
         }
     )
     none, one = F.lit(False), F.lit(True)
-    names = ["label", "list", "block", "part", "id", "v", "copies", "stored", "asks", "same"]
+    names = ["label", "list", "block", "part", "id", "v", "copies", "home", "stored", "asks", "same"]
     home = at.withColumn("to", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
-        "label", "list", "block", F.col("to").alias("part"), "id", "v", "copies",
+        "label", "list", "block", F.col("to").alias("part"), "id", "v", "copies", F.col("list").alias("home"),
         one.alias("stored"), (F.col("to") == F.col("part")).alias("asks"), one.alias("same"),
     )
     beside = (
         at.withColumn("to", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .filter("to > block")
         .select(
-            "label", "list", F.col("to").alias("block"), "part", "id", "v", "copies",
+            "label", "list", F.col("to").alias("block"), "part", "id", "v", "copies", F.col("list").alias("home"),
             none.alias("stored"), one.alias("asks"), none.alias("same"),
         )
     )
-    visits = at.select("label", F.explode("probes").alias("list"), "part", "id", "v", "copies")
+    visits = at.select("label", F.col("list").alias("home"), F.explode("probes").alias("list"), "part", "id", "v", "copies")
     visits = visits.join(sizes.select("label", "list", "blocks"), ["label", "list"])
     visits = visits.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "label", "list", "block", "part", "id", "v", "copies",
+        "label", "list", "block", "part", "id", "v", "copies", "home",
         none.alias("stored"), one.alias("asks"), none.alias("same"),
     )
     met = reduce(DataFrame.unionByName, [home.select(*names), beside.select(*names), visits.select(*names)])
@@ -195,8 +204,8 @@ def near_vectors(
     precision, is ``threshold`` or more. Equal vectors of a label are one class
     that counts as often as it occurs. The index is fitted on ``SAMPLE`` vectors
     and holds all of them: a vector is kept in the list of its nearest centre as
-    codes of its residual. It asks its own list and each later one whose border
-    is near; a code's distance plus what the code leaves out decides whether the
+    codes of its residual. It asks its own list and each other one whose border
+    is near enough that a link may cross it; a code's distance plus what the code leaves out decides whether the
     pair's exact cosine is computed, so that step misses nothing. Vectors that
     are NULL, empty, zero or hold a NULL or a non-finite component, rows without
     label and rows without id (component NULL) link with nothing and are kept.
@@ -208,7 +217,8 @@ def near_vectors(
         F.col(label_column).cast("string").alias("label"),
         F.col(vector_column).alias("_v"),
     )
-    parts = F.transform("_v", lambda x: x.cast("float"))
+    single = vectors.schema[vector_column].dataType.elementType.simpleString() == "float"
+    parts = F.transform("_v", lambda x: x.cast("float" if single else "double"))
     big = F.lit(float("inf"))
     fit = F.forall("_v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < big)) & F.exists("_v", lambda x: x != 0)
     usable = F.col("id").isNotNull() & F.col("label").isNotNull() & F.coalesce(fit, F.lit(False))

@@ -10,7 +10,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crmtide.llm.common import by_size, hash_sample, saved, table
+from crmtide.llm.common import by_size, saved, table
 from crmtide.llm.toxicity import held_out
 from crmtide.llm.words import hashed, lower_bytes
 
@@ -18,14 +18,14 @@ STATES = 8
 #: A word's class is the first 16 bits of its hash; the end of a text has a class of its own.
 CLASSES = 1 << 16
 END = -7
-#: Training rows of the first rounds, which only find a starting point, and their number of rounds.
-START_ROWS, START_ROUNDS = 1500, 12
+#: The first rounds only find a starting point: each covers one in so many training rows, chosen by a hash.
+START_SHARE, START_ROUNDS = 8, 12
 #: Rounds over all training rows.
-ROUNDS = 2
+ROUNDS = 3
 #: Words whose counts every task holds; all others are joined.
 FREQUENT = 1 << 16
-#: Tokens of a training segment. Scores are computed over whole texts.
-SEGMENT = 256
+#: Tokens of texts that are counted together, padded to the longest of them; a longer text is counted alone.
+TOGETHER = 1 << 19
 SMOOTH = 20_000.0
 _CHUNK = 8_000_000
 
@@ -81,13 +81,12 @@ class Model:
         found[order] = out
         return found
 
-    def expect(self, segments: list[np.ndarray], start: np.ndarray, move: np.ndarray, emit: np.ndarray) -> None:
-        """Adds the expected counts of the segments, by the forward and the backward recursion."""
-        segments = sorted(segments, key=len, reverse=True)
-        lengths = np.array([len(s) for s in segments])
-        n, steps = len(segments), int(lengths[0])
+    def expect(self, texts: list[np.ndarray], start: np.ndarray, move: np.ndarray, emit: np.ndarray) -> None:
+        """Adds the expected counts of whole texts, longest first, by the forward and the backward recursion."""
+        lengths = np.array([len(s) for s in texts])
+        n, steps = len(texts), int(lengths[0])
         x = np.zeros((steps, n), np.int32)
-        for i, s in enumerate(segments):
+        for i, s in enumerate(texts):
             x[: len(s), i] = s
         alive = n - np.searchsorted(lengths[::-1], np.arange(steps), "right")
         forward, scales = np.zeros((steps, n, len(self.start))), np.ones((steps, n))
@@ -122,17 +121,14 @@ def _expecter(model) -> Callable:
         own = model.value
         states = len(own.start)
         start, move, emit = np.zeros(states), np.zeros((states, states)), np.zeros_like(own.emit)
-        waiting: list[np.ndarray] = []
         for batch in batches:
             token, bounds = tokens(batch.column(0).to_pylist())
             label = classes(token)
-            for a, b in zip(bounds[:-1], bounds[1:]):
-                waiting += [label[s : min(s + SEGMENT, b)] for s in range(a, b, SEGMENT)]
-                if len(waiting) >= 2000:
-                    own.expect(waiting, start, move, emit)
-                    waiting = []
-        if waiting:
-            own.expect(waiting, start, move, emit)
+            waiting = sorted((label[a:b] for a, b in zip(bounds[:-1], bounds[1:])), key=len, reverse=True)
+            while waiting:
+                n = max(1, TOGETHER // len(waiting[0]))
+                own.expect(waiting[:n], start, move, emit)
+                waiting = waiting[n:]
         met = np.nonzero(emit.any(axis=1))[0]
         rows = np.concatenate([start[None, :], move, emit[met]])
         kinds = np.concatenate([-1 - np.arange(states + 1), met]).astype(np.int32)
@@ -151,6 +147,8 @@ def baum_welch(texts: DataFrame, model: Model, unigram: np.ndarray) -> Model:
     counts = texts.mapInArrow(_expecter(now), "kind int, " + ", ".join(f"{c} double" for c in names))
     found = counts.groupBy("kind").agg(*[F.sum(c).alias(c) for c in names]).toArrow()
     now.destroy()
+    if not (found["kind"].to_numpy() >= 0).any():
+        return model
     sums = np.zeros((CLASSES + 1, states))
     kinds, values = found["kind"].to_numpy(), np.column_stack([found[c].to_numpy() for c in names])
     sums[kinds[kinds >= 0]] = values[kinds >= 0]
@@ -206,9 +204,10 @@ def score_texts(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     log2(1 + 32768 / training tokens) bits a token, which matters on tiny data only. Words are cut at ASCII white
     space, A-Z lowered; each text ends in one end token, so a NULL or empty text
     is that token alone. Counts cover all training rows; words that are not among
-    the most frequent are joined with theirs. Rows with a NULL or repeated id are
-    scored like others (NULL trains). Other columns are ignored. An empty table
-    gives no rows.
+    the most frequent are joined with theirs. Baum-Welch counts whole texts,
+    first of every ``START_SHARE``-th training row, then of all. Rows with a NULL or repeated id are
+    scored like others (NULL trains). A text is scored whole, however long. Other
+    columns are ignored. An empty table gives no rows.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"))
@@ -226,8 +225,8 @@ def score_texts(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     unigram = of_class / of_class.sum()
 
     model = Model.first(unigram, STATES)
-    start = hash_sample(training, ["id", "text"], START_ROWS).select("text")
-    start = saved(start.repartition(6), "start-texts")
+    start = training.filter(F.pmod(F.xxhash64("id", "text"), F.lit(START_SHARE)) == 0).select("text")
+    start = saved(start, "start-texts")
     for _ in range(START_ROUNDS):
         model = baum_welch(start, model, unigram)
     for _ in range(ROUNDS):

@@ -14,35 +14,42 @@ from crmtide.llm.common import saved, table
 
 BLOCK = 4096
 QUERY_BLOCK = 1024
-#: Parts of the lists read before the bounds are looked at.
-DEPTHS = (0.25, 0.5, 0.75)
+#: Steps in which the lists are read; after each, the bounds are looked at.
+STEPS = 8
 
 
-def scan(queries: np.ndarray, vectors: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For each query (rows, scores) that hold its ``k`` largest inner products and all that tie with the last.
+def scan(queries: np.ndarray, vectors: np.ndarray, k: int, steps: int = STEPS) -> list[tuple[np.ndarray, np.ndarray, int]]:
+    """For each query (rows, scores, step it stopped at): its ``k`` largest inner products and all that tie with the last.
 
     A list holds the rows in the order of one component. It is read from the
     large end where a query's component is positive, from the small end where it
-    is negative. A row's score lies between the sum of what was read of it plus
-    the least, and plus the most, that the unread part of every other list
-    allows. A query stops when few rows can still reach the k-th of the least
-    scores; those rows' scores are then resolved. All lists are read to the same
-    depth for a block of queries, so the sums of what was read are products of
-    matrices. At full depth the sums are the scores.
+    is negative, all lists to the same depth, a step at a time; what was read of
+    a row is added up. Its score lies between that sum plus the least, and plus
+    the most, that the unread part of every other list allows. A query stops when
+    no row but a few (4 k) can reach the k-th of the least scores; the scores of
+    those few are then resolved. With the last step all lists are read, and the
+    sums are the scores. The additions for a block of queries are products of
+    matrices.
     """
     n, found = len(vectors), [None] * len(queries)
     rank = np.argsort(np.argsort(vectors, axis=0, kind="stable"), axis=0)
     ordered, v = np.sort(vectors, axis=0), vectors.astype(np.float64)
     up, down = np.maximum(queries, 0).astype(np.float64), np.minimum(queries, 0).astype(np.float64)
-    left = np.arange(len(queries))
-    few = max(4 * k, n // 50)
-    for depth in DEPTHS:
-        to = int(n * depth)
-        if n <= k or not 0 < to < n or not len(left):
-            break
+    left, read, before = np.arange(len(queries)), np.zeros((n, len(queries))), 0
+    for step in range(1, steps + 1):
+        to = n * step // steps
         p, q = up[left], down[left]
+        read += (v * ((rank >= n - to) & (rank < n - before))) @ p.T + (v * ((rank < to) & (rank >= before))) @ q.T
+        before = to
+        if to == n:
+            bounds = np.partition(read, n - k, axis=0)[n - k] if n > k else np.full(len(left), -np.inf)
+            for at, score, bound in zip(left, read.T, bounds):
+                rows = np.nonzero(score >= bound)[0]
+                found[at] = (rows, score[rows].astype(np.int64), step)
+            break
+        if n <= k or not to:
+            continue
         large, small = (rank >= n - to).astype(np.float64), (rank < to).astype(np.float64)
-        read = (v * large) @ p.T + (v * small) @ q.T
 
         def unread(of_large: np.ndarray, of_small: np.ndarray) -> np.ndarray:
             most_p, most_q = p * of_large, q * of_small
@@ -51,16 +58,13 @@ def scan(queries: np.ndarray, vectors: np.ndarray, k: int) -> list[tuple[np.ndar
         least = read + unread(ordered[0], ordered[-1])
         bound = np.partition(least, n - k, axis=0)[n - k]
         open_ = read + unread(ordered[n - to - 1], ordered[to]) >= bound
-        counts = open_.sum(axis=0)
-        for at in np.nonzero(counts <= few)[0]:
+        ended = open_.sum(axis=0) <= 4 * k
+        for at in np.nonzero(ended)[0]:
             rows = np.nonzero(open_[:, at])[0]
-            found[left[at]] = (rows, vectors[rows] @ queries[left[at]])
-        left = left[counts > few]
-    if len(left):
-        scores = vectors.astype(np.float64) @ queries[left].T.astype(np.float64)
-        for at, of in zip(left, scores.T):
-            rows = np.nonzero(of >= np.partition(of, n - k)[n - k])[0] if n > k else np.arange(n)
-            found[at] = (rows, of[rows].astype(np.int64))
+            found[left[at]] = (rows, vectors[rows] @ queries[left[at]], step)
+        left, read = left[~ended], read[:, ~ended]
+        if not len(left):
+            break
     return found
 
 
@@ -74,7 +78,7 @@ def _searcher(k: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
             own = int(np.unique(ids[np.isin(ids, query_ids)], return_counts=True)[1].max(initial=0))
             for at in range(0, len(asked), 256):
                 queries = np.stack(asked["v"].iloc[at : at + 256].to_numpy()).astype(np.int64)
-                for query_id, (rows, score) in zip(query_ids[at : at + 256], scan(queries, vectors, k + own)):
+                for query_id, (rows, score, _) in zip(query_ids[at : at + 256], scan(queries, vectors, k + own)):
                     other = ids[rows] != query_id
                     rows, score = rows[other], score[other]
                     best = np.lexsort((ids[rows], -score))[:k]
@@ -106,7 +110,7 @@ def top_k(
     non-finite component take no part; nor do pairs of vectors of different
     lengths. Of rows that repeat an id, none is a candidate for a query of that
     id, each is one for others, and the query is asked once for each of them but
-    answered as one. An empty table gives no rows. Queries and rows meet in
+    answered as one. Other columns are ignored; an empty table gives no rows. Queries and rows meet in
     blocks: each block of rows sorts its lists once for a block of queries and
     gives k rows per query.
     """

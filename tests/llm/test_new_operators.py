@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from crmtide.llm import common, fim, hard_negatives, packing, substring_dedup, suffix_dedup, toxicity
+from crmtide.llm import common, embedding_dedup, fim, hard_negatives, hmm, packing, substring_dedup, suffix_dedup, topk, toxicity
 
 KIND = "doc_id long, text string, id string, kept string, n long, output string, row string, spans string"
 rng = np.random.default_rng(11)
@@ -469,3 +469,74 @@ def test_alike_paragraphs_and_their_components_equal_brute_force(spark):
     df = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
     got = {(r.id, r.start, r.end, r.kept_id) for r in substring_dedup.repeated_passages(df).collect()}
     assert got == {(i, 0, 40, c) for i, c in enumerate(least) if i != c} and len(got) > 30
+
+
+@pytest.mark.parametrize("width", [4, 8, 16, 64])
+def test_index_with_many_lists_misses_no_link(spark, monkeypatch, width):
+    """About 125 lists, half of the vectors planted beside others at cosines around the threshold."""
+    made = np.random.default_rng(width)
+    monkeypatch.setattr(embedding_dedup, "Model", lambda sample, lists, real=embedding_dedup.Model: real(sample, 125))
+    base = made.normal(size=(900, width))
+    base /= np.linalg.norm(base, axis=1)[:, None]
+    other = made.normal(size=(900, width))
+    other -= (other * base).sum(axis=1)[:, None] * base
+    other /= np.linalg.norm(other, axis=1)[:, None]
+    cosine = made.uniform(0.92, 0.95, 900)[:, None]
+    x = np.concatenate([base, cosine * base + np.sqrt(1 - cosine**2) * other])
+    df = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    links = x @ x.T >= 0.93
+    np.fill_diagonal(links, False)
+    got = {r.vec_id: r.n_links for r in embedding_dedup.near_vectors(df).collect()}
+    assert [got[i] for i in range(1800)] == links.sum(axis=1).tolist()
+
+
+def test_cosines_are_taken_in_double_precision(spark):
+    rows = [(1, [1.0, 0.0]), (2, [1e-50, 0.0]), (3, [1e300, 1.0]), (4, [0.0, 1e-300])]
+    df = spark.createDataFrame([(i, v, 1) for i, v in rows], "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embedding_dedup.near_vectors(df).collect()}
+    assert got == {1: (2, 1), 2: (2, 1), 3: (2, 1), 4: (0, 4)}
+
+
+def test_sorted_lists_end_by_their_bounds():
+    """On skewed components most queries stop before the lists end; on even ones none does, and the sums are the scores."""
+    ended = {}
+    for name, data in (("skewed", rng.exponential(40, (600, 4)) ** 2), ("even", rng.normal(0, 100, (600, 64)))):
+        data = np.floor(data).astype(np.int64)
+        queries = data[:40]
+        found = topk.scan(queries, data, 5)
+        ended[name] = [step for _, _, step in found]
+        for q, (at, scores, _) in zip(queries, found):
+            exact = data @ q
+            assert (exact[at] == scores).all()
+            assert sorted(scores)[-5:] == sorted(exact)[-5:]
+            assert set(np.nonzero(exact >= np.sort(exact)[-5])[0]) <= set(at)
+    assert np.mean(np.array(ended["skewed"]) < topk.STEPS) > 0.8 and min(ended["even"]) > topk.STEPS // 2
+
+
+def test_baum_welch_counts_equal_sums_over_all_paths():
+    """Whole texts: starts are counted once a text, whatever its length."""
+    states, kinds = 3, 5
+    made = np.random.default_rng(2)
+    model = hmm.Model(made.dirichlet([1] * states), made.dirichlet([1] * states, states), made.dirichlet([1] * kinds, states).T)
+    texts = [np.array(t, np.int32) for t in ([0, 1, 2, 3, 4, 0], [4, 4, 1], [2])]
+    start, move, emit = np.zeros(states), np.zeros((states, states)), np.zeros((kinds, states))
+    model.expect(texts, start, move, emit)
+    want = np.zeros(states), np.zeros((states, states)), np.zeros((kinds, states))
+    for t in texts:
+        paths = list(itertools.product(range(states), repeat=len(t)))
+        weight = []
+        for path in paths:
+            w = model.start[path[0]] * model.emit[t[0], path[0]]
+            for a, b, x in zip(path, path[1:], t[1:]):
+                w *= model.move[a, b] * model.emit[x, b]
+            weight.append(w)
+        for path, w in zip(paths, np.array(weight) / sum(weight)):
+            want[0][path[0]] += w
+            for a, b in zip(path, path[1:]):
+                want[1][a, b] += w
+            for x, s in zip(t, path):
+                want[2][x, s] += w
+    for a, b in zip((start, move, emit), want):
+        assert np.allclose(a, b, atol=1e-12)
+    assert start.sum() == pytest.approx(len(texts))
