@@ -18,6 +18,8 @@ from crmtide.llm.topk import whole
 POSITIVES, NEGATIVES, EVERY = 5, 10, 100
 #: Percent of the positive's score between which a negative's lies.
 LOW, HIGH = 30, 90
+#: One-bit codes of a vector: the first of it, each other one of what the codes before leave out.
+LEVELS = 4
 #: Bits of a rotated anchor's components.
 BITS = 8
 #: Components of the rows and of the anchors that meet in one group.
@@ -40,25 +42,30 @@ def _packed(bits: np.ndarray) -> np.ndarray:
 
 
 def encode(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(signs after rotation, alignment, length of the rest) of each vector.
+    """(signs, alignments, length of the rest) of each vector after rotation.
 
-    The code vector has components of +-1 / sqrt(width); the alignment is its inner
-    product with the rotated vector, the rest is what is orthogonal to it.
+    A code vector has components of +-1 / sqrt(width), the signs of what is left of
+    the vector; its alignment is the inner product with that, and what is
+    orthogonal to it is left for the next code. Four codes leave about an eighth.
     """
-    turned = vectors.astype(np.float64) @ rotation(vectors.shape[1]).T
-    aligned = np.abs(turned).sum(axis=1) / np.sqrt(vectors.shape[1])
-    rest = np.sqrt(np.maximum((turned**2).sum(axis=1) - aligned**2, 0))
-    return _packed(turned >= 0), aligned, rest
+    left = vectors.astype(np.float64) @ rotation(vectors.shape[1]).T
+    codes, aligned = [], []
+    for _ in range(LEVELS):
+        bits = left >= 0
+        codes.append(_packed(bits))
+        aligned.append(np.abs(left).sum(axis=1) / np.sqrt(vectors.shape[1]))
+        left = left - np.where(bits, 1, -1) * (aligned[-1] / np.sqrt(vectors.shape[1]))[:, None]
+    return np.stack(codes, axis=1), np.stack(aligned, axis=1), np.sqrt((left**2).sum(axis=1))
 
 
 def intervals(codes: np.ndarray, aligned: np.ndarray, rest: np.ndarray, anchors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(estimate, half width) of the inner product of each coded vector (row) with each anchor (column).
 
     An anchor's rotated components are rounded to ``BITS`` bits, so that its
-    product with a code vector is a sum of bit counts. With a = alignment,
-    g = that product and e = the length of what rounding left out, the inner
-    product differs from a * g by a * e at most, plus the length of the anchor's
-    part orthogonal to the code vector times the length of the vector's own
+    product with a code vector is a sum of bit counts. The estimate adds up
+    alignment times product over the codes. What it misses is at most the
+    alignments times the length of what rounding left out, plus the length of the
+    anchor's part orthogonal to the last code vector times the length of the rest
     (Cauchy-Schwarz). Nothing in it is random: no vector lies outside.
     """
     width = anchors.shape[1]
@@ -68,18 +75,22 @@ def intervals(codes: np.ndarray, aligned: np.ndarray, rest: np.ndarray, anchors:
     whole_steps = np.rint(turned / step[:, None]).astype(np.int64)
     lost = np.sqrt(((turned - whole_steps * step[:, None]) ** 2).sum(axis=1))
     shifted = whole_steps + half + 1
-    of_set = np.zeros((len(codes), len(anchors)), np.int32)
-    for j in range(BITS):
-        plane = _packed((shifted >> j & 1).astype(bool))
-        for w in range(codes.shape[1]):
-            of_set += np.bitwise_count(codes[:, w, None] & plane[None, :, w]).astype(np.int32) << j
-    ones = np.bitwise_count(codes).sum(axis=1, dtype=np.int64)
-    signed = 2 * (of_set - (half + 1) * ones[:, None]) - whole_steps.sum(axis=1)
-    product = signed * (step / np.sqrt(width))
+    planes = [_packed((shifted >> j & 1).astype(bool)) for j in range(BITS)]
+    estimate = np.zeros((len(codes), len(anchors)))
+    for level in range(codes.shape[1]):
+        of_set = np.zeros((len(codes), len(anchors)), np.int32)
+        for j, plane in enumerate(planes):
+            for w in range(codes.shape[2]):
+                of_set += np.bitwise_count(codes[:, level, w, None] & plane[None, :, w]).astype(np.int32) << j
+        ones = np.bitwise_count(codes[:, level]).sum(axis=1, dtype=np.int64)
+        signed = 2 * (of_set - (half + 1) * ones[:, None]) - whole_steps.sum(axis=1)
+        product = signed * (step / np.sqrt(width))
+        estimate += aligned[:, level, None] * product
     square = (turned**2).sum(axis=1)
     across = np.sqrt(np.maximum(square - np.maximum(np.abs(product) - lost, 0) ** 2, 0))
-    slack = 1e-9 * np.sqrt(square) * (aligned + rest)[:, None] + 1e-6
-    return aligned[:, None] * product, aligned[:, None] * lost + across * rest[:, None] + slack
+    all_aligned = aligned.sum(axis=1)[:, None]
+    slack = 1e-9 * np.sqrt(square) * (all_aligned + rest[:, None]) + 1e-6
+    return estimate, all_aligned * lost + across * rest[:, None] + slack
 
 
 def _best(scores: np.ndarray, k: int) -> float:
@@ -123,7 +134,7 @@ def _coder(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 codes, aligned, rest = encode(np.stack(vectors[some]))
                 own = batch.take(pa.array(some))
                 yield pa.RecordBatch.from_arrays(
-                    [*own.columns, pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(aligned), pa.array(rest)],
+                    [*own.columns, pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(list(aligned)), pa.array(rest)],
                     ["id", "label", "v", "width", "code", "aligned", "rest"],
                 )
 
@@ -137,8 +148,8 @@ def _searcher(k: int, positives: bool) -> Callable[[pd.DataFrame], pd.DataFrame]
         if len(data) and len(asked):
             vectors = np.stack(data["v"].to_numpy()).astype(np.int64)
             ids, labels = data["id"].to_numpy(), data["label"].to_numpy()
-            codes = np.frombuffer(b"".join(data["code"]), np.uint64).reshape(len(data), -1)
-            aligned, rest = data["aligned"].to_numpy(), data["rest"].to_numpy()
+            codes = np.frombuffer(b"".join(data["code"]), np.uint64).reshape(len(data), LEVELS, -1)
+            aligned, rest = np.stack(data["aligned"].to_numpy()), data["rest"].to_numpy()
             step = max(1, _PAIRS // len(data))
             for at in range(0, len(asked), step):
                 some = asked.iloc[at : at + step]
@@ -217,7 +228,7 @@ def hard_negatives(
         whole(vector_column, scale).alias("v"),
     )
     rows = rows.filter("id is not null and label is not null and v is not null").withColumn("width", F.size("v"))
-    schema = "id long, label long, v array<long>, width int, code binary, aligned double, rest double"
+    schema = "id long, label long, v array<long>, width int, code binary, aligned array<double>, rest double"
     index = saved(rows.mapInArrow(_coder, schema), "codes")
     first = F.min(F.struct("label", "v", "width", "code", "aligned", "rest")).alias("row")
     anchors = index.filter(F.col("id") % every == 0).groupBy("id").agg(first).select("id", "row.*")
