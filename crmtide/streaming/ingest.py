@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from crmtide import schemas as S
 from crmtide.functions.columns import required_invalid, with_stamp, with_time_parts
-from crmtide.operators.latest import latest_per_key
+from crmtide.operators.latest import LOAD_ORDER, latest_per_key
 from crmtide.operators.upsert import upsert
 from crmtide.operators.validate import with_reason
 from crmtide.sinks.deliveries import Deliveries
@@ -223,6 +224,55 @@ def curate(
     return feed.writeStream.option("checkpointLocation", checkpoint).trigger(**trigger).foreachBatch(apply).start()
 
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+
+
+def curate_stateful(
+    feed: DataFrame,
+    curated_path: str,
+    checkpoint: str,
+    keys: Sequence[str] = tuple(S.LEAD_SCORE_KEYS),
+    partition_col: str = "feature_date",
+    order: Sequence[str] = LOAD_ORDER,
+    trigger: dict = EVERY_MINUTE,
+    buckets: int | None = None,
+) -> StreamingQuery:
+    """Keep the curated table current from the best row of every key, held as the query's state.
+
+    The state, not the table, tells what is best: only keys whose best row
+    changed reach the merge, and a late row that beats nothing touches no file.
+    ``order`` is that of ``latest_per_key``; with ``exported_at`` first, the newest
+    export wins whenever it comes. The state has one row per key, on the
+    executors' disks and in the checkpoint; a restart goes on from there. A row
+    with a NULL key is a key of its own.
+    """
+    order = [c for c in order if c in feed.columns]
+    own = F.when(reduce(Column.__or__, [F.col(k).isNull() for k in keys]), F.xxhash64(*feed.columns))
+    rank = [c for o in order for c in (F.col(o).isNull().alias(f"_n_{o}"), F.col(o).alias(f"_o_{o}"))]
+    rank.append(F.xxhash64(*feed.columns).alias("_tie"))
+    values = F.struct(*[c for c in feed.columns if c not in keys])
+    best = feed.withColumn("_own", own).groupBy(*keys, "_own").agg(F.max_by(values, F.struct(*rank)).alias("_best"))
+    columns = [F.col(c) if c in keys else F.col(f"_best.{c}").alias(c) for c in feed.columns]
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        rows = batch.select(*columns).persist()
+        try:
+            upsert(curated_path, rows, keys, partition_col, batch=(query, batch_id) if query else None, buckets=buckets)
+        finally:
+            rows.unpersist()
+
+    conf = feed.sparkSession.conf
+    before = conf.get(_PROVIDER)
+    conf.set(_PROVIDER, ROCKSDB)
+    try:
+        writer = best.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
+        return writer.trigger(**trigger).foreachBatch(apply).start()
+    finally:
+        conf.set(_PROVIDER, before)
+
+
 def bronze_stream(
     spark: SparkSession,
     entity: str,

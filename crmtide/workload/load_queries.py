@@ -523,6 +523,26 @@ def t5_late_rows(spark: SparkSession, d: str) -> DataFrame:
     return last_load.unionByName(newest)
 
 
+def t5_stateful_latest(spark: SparkSession, d: str) -> DataFrame:
+    """The same deliveries, each taken by a query that starts again from its checkpoint and holds the best rows as state."""
+
+    def curated(rule: str, order: tuple[str, ...]) -> DataFrame:
+        leads, root = shapes.lead_scores(spark, d), shared_dir(spark, "stateful")
+        for number in (2, 0, 1):
+            _deliver(leads, f"{root}/stage", number)
+            ingest.load_incremental(spark, "lead_score", f"{root}/stage", f"{root}/raw", f"{root}/ingest")
+            feed = ingest.change_feed(spark, f"{root}/raw", "lead_score")
+            query = ingest.curate_stateful(
+                feed, f"{root}/curated", f"{root}/state", order=order, trigger=ingest.ALL_AVAILABLE
+            )
+            ingest.run_to_end(query)
+        rows = spark.read.schema(S.landing_table_schema("lead_score")).parquet(f"{root}/curated")
+        return rows.select(*S.LEAD_SCORE.names, F.lit(rule).alias("rule"))
+
+    newest = ("exported_at", "loaded_at", "src_filename")
+    return curated("last_load", ("loaded_at", "exported_at", "src_filename")).unionByName(curated("newest_export", newest))
+
+
 def t6_bronze_stream(spark: SparkSession, d: str) -> DataFrame:
     ensure_utc(spark)
     root = shared_dir(spark, "bronze-stream")
@@ -547,6 +567,6 @@ QUERIES = {
         f1_required_invalid, f2_split_good, f2_split_bad, q4_quarantine_report, k1_append_partitioned,
         k2_quarantine, k3_export_gold, k4_partitioned_write, k5_json_write, k6_views, k7_materialize, k8_docs, k9_ddl,
         k12_silver_records, k13_silver_activity, k14_silver_kpi, k16_upsert, k16_bucketed, k16_replay_null_keys, t1_auto_ingest, t2_change_feed,
-        t3_microbatch, t4_stream_upsert, t5_late_rows, t6_bronze_stream,
+        t3_microbatch, t4_stream_upsert, t5_late_rows, t5_stateful_latest, t6_bronze_stream,
     )
 } | {f"p2_bronze_{e}": partial(p2_bronze, entity=e) for e in S.ENTITY_SCHEMAS}

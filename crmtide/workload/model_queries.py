@@ -10,6 +10,7 @@ from crmtide.functions import columns as C
 from crmtide.operators import joins, quality, rollups
 from crmtide.operators.latest import latest_per_key
 from crmtide.plans import incremental, marts, staging
+from crmtide.plans.history import History
 from crmtide.plans.incremental import Marts
 from crmtide.session import ensure_utc
 from crmtide.sinks.files import write_partitioned
@@ -213,6 +214,23 @@ def w3_latest_cdc(spark: SparkSession, d: str) -> DataFrame:
     return latest.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("cdc_timestamp", "createdDate")})
 
 
+def w3_history(spark: SparkSession, d: str) -> DataFrame:
+    """Stages of every opportunity with their validity, from three deliveries out of order; some changes are deletes."""
+    ensure_utc(spark)
+    versions = typed_bronze(read_bronze(spark, "opportunity", stages.bronze_stage(spark, d, "opportunity")), "opportunity")
+    at = F.col("cdc_timestamp").cast("timestamp_ntz")
+    changes = versions.filter("cdc_timestamp is not null").groupBy("opportunityId", at.alias("cdc_timestamp")).agg(F.max("stage").alias("stage"))
+    changes = changes.withColumn("operationType", F.when(F.hour("cdc_timestamp") % 4 == 0, "DELETE").otherwise("UPDATE"))
+
+    def write(path: str) -> None:
+        kept = History(spark, path, changes.schema, ["opportunityId"], parts=4)
+        for number, part in enumerate((2, 0, 1)):
+            kept.deliver(number, changes.filter(F.minute("cdc_timestamp") % 3 == part))
+
+    kept = History(spark, stages.once(spark, d, "history", write), changes.schema, ["opportunityId"], parts=4)
+    return kept.versions()
+
+
 def u1_union_modules(spark: SparkSession, d: str) -> DataFrame:
     return C.union_modules(*shapes.record_modules(spark, d)).select(
         "organization_id", "module_key", "record_id", "employee_band", "health_score", "lead_source",
@@ -349,7 +367,7 @@ QUERIES = {
         j1_record_activity_equi, j2_kpi_records, j4_tenant_dim, a1_activity_rollup,
         m1_record_daily_activity, m1_record_daily_activity_dedup, m2_scorecard, m2_scorecard_plain,
         m3_pipeline_health, m3_incremental, a1_incremental, m4_module_snapshot, w1_latest_churn, w1_latest_churn_max_by, w2_latest_lead,
-        w3_latest_cdc, u1_union_modules, x14_calendar_spine, x_scalars, q_not_null, q_accepted_values, q_checks,
+        w3_latest_cdc, w3_history, u1_union_modules, x14_calendar_spine, x_scalars, q_not_null, q_accepted_values, q_checks,
         q_unique_record_day, q_unique_scorecard, q_unique_health, q_unique_snapshot,
     )
 }
