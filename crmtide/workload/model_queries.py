@@ -220,12 +220,12 @@ def w3_history(spark: SparkSession, d: str) -> DataFrame:
     versions = typed_bronze(read_bronze(spark, "opportunity", stages.bronze_stage(spark, d, "opportunity")), "opportunity")
     at = F.col("cdc_timestamp").cast("timestamp_ntz")
     changes = versions.filter("cdc_timestamp is not null").groupBy("opportunityId", at.alias("cdc_timestamp")).agg(F.max("stage").alias("stage"))
-    changes = changes.withColumn("operationType", F.when(F.hour("cdc_timestamp") % 4 == 0, "DELETE").otherwise("UPDATE"))
+    changes = changes.withColumn("operationType", F.when(F.second("cdc_timestamp") % 4 == 0, "DELETE").otherwise("UPDATE"))
 
     def write(path: str) -> None:
         kept = History(spark, path, changes.schema, ["opportunityId"], parts=4)
         for number, part in enumerate((2, 0, 1)):
-            kept.deliver(number, changes.filter(F.minute("cdc_timestamp") % 3 == part))
+            kept.deliver(number, changes.filter(F.second("cdc_timestamp") % 3 == part))
 
     kept = History(spark, stages.once(spark, d, "history", write), changes.schema, ["opportunityId"], parts=4)
     return kept.versions()

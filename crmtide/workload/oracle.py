@@ -730,7 +730,7 @@ ORACLE |= {
     "w3_history": _entity("opportunity")
     + """, c AS (SELECT "opportunityId", cdc_timestamp AS ts, max(stage) AS stage FROM entity
           WHERE cdc_timestamp IS NOT NULL GROUP BY 1, 2),
-        s AS (SELECT *, CASE WHEN hour(ts) % 4 <> 0 THEN 's' || coalesce(stage, '') END AS st FROM c),
+        s AS (SELECT *, CASE WHEN second(ts) % 4 <> 0 THEN 's' || coalesce(stage, '') END AS st FROM c),
         p AS (SELECT *, lag(st) OVER (PARTITION BY "opportunityId" ORDER BY ts) AS was FROM s),
         e AS (SELECT *, lead(ts) OVER (PARTITION BY "opportunityId" ORDER BY ts) AS valid_to FROM p WHERE st IS DISTINCT FROM was)
         SELECT "opportunityId", stage, ts AS valid_from, valid_to FROM e WHERE st IS NOT NULL""",
