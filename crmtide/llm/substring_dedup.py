@@ -275,20 +275,17 @@ def _links(group: pa.RecordBatch, whole: _Sets, base: int) -> list[tuple[int, in
     """Verified links between the paragraphs of one block or two of a band value that connect what isn't connected."""
     block, i, j, names = (group.column(c).to_numpy() for c in ("block", "i", "j", "print"))
     first, second, alone = np.nonzero(block == i[0])[0], np.nonzero(block == j[0])[0], i[0] == j[0]
-    merged: dict[int, int] = {}
-
-    def root(at: int) -> int:
-        while at in merged:
-            at = merged[at]
-        return at
-
+    part = np.arange(group.num_rows)
     found = []
     for x in first:
         y = second[second > x] if alone else second
+        y = y[part[y] != part[x]]
+        if not len(y):
+            continue
         for at in y[whole.may_link(base + x, base + y)]:
-            if root(x) != root(at) and similar(whole[base + x], whole[base + at]):
+            if part[at] != part[x] and similar(whole[base + x], whole[base + at]):
                 found.append((names[x], names[at]))
-                merged[root(x)] = root(at)
+                part[part == part[at]] = part[x]
     return found
 
 
