@@ -240,9 +240,9 @@ def curate_stateful(
 ) -> StreamingQuery:
     """Keep the curated table current from the best row of every key, held as the query's state.
 
-    The state, not the table, tells what is best: only keys whose best row
-    changed reach the merge, and a late row that beats nothing touches no file.
-    ``order`` is that of ``latest_per_key``; with ``exported_at`` first, the newest
+    The state, not the table, tells what is best: only keys that new rows came
+    for reach the merge, each with its best row so far, so a late row that beats
+    nothing brings the same row again. ``order`` is that of ``latest_per_key``; with ``exported_at`` first, the newest
     export wins whenever it comes. The state has one row per key, on the
     executors' disks and in the checkpoint; a restart goes on from there. A row
     with a NULL key is a key of its own.

@@ -100,3 +100,17 @@ def test_union_keeps_duplicates_and_fills(spark):
 def test_extract(spark, text, key, want):
     df = spark.createDataFrame([(text,)], "v string")
     assert df.select(C.extract(F.try_parse_json("v"), key, "bigint")).collect()[0][0] == want
+
+
+def test_stamp_is_the_time_of_the_run(spark):
+    """One time for all rows of a run, between its start and its end."""
+    import datetime as dt
+
+    from crmtide.functions.columns import with_stamp
+
+    started = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    for _ in range(2):
+        stamped = with_stamp(spark.range(100).repartition(4), "ingested_at")
+        found = {r[0] for r in stamped.select(stamped["ingested_at"].cast("timestamp_ntz")).collect()}
+        ended = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+        assert len(found) == 1 and started <= found.pop() <= ended

@@ -167,3 +167,30 @@ def test_time_limit_stops_a_query(spark, path):
     with pytest.raises(TimeoutError):
         ingest.run_to_end(query, seconds=1)
     assert not query.isActive
+
+
+def stateful_round(spark, root, data, order):
+    rows_ = [(lead, client, day, score, at) for lead, client, day, score, at in data]
+    full = []
+    for lead, client, day, score, at in rows_:
+        row = {"lead_id": lead, "client_id": client, "feature_date": day, "lead_score": score, "exported_at": at}
+        full.append(tuple(row.get(f.name) for f in S.LEAD_SCORE))
+    if full:
+        spark.createDataFrame(full, S.LEAD_SCORE).write.mode("append").parquet(f"{root}/stage")
+    ingest.load_incremental(spark, "lead_score", f"{root}/stage", f"{root}/raw", f"{root}/in")
+    feed = ingest.change_feed(spark, f"{root}/raw", "lead_score")
+    ingest.run_to_end(ingest.curate_stateful(feed, f"{root}/curated", f"{root}/state", order=order, trigger=ingest.ALL_AVAILABLE))
+    return spark.read.schema(S.landing_table_schema("lead_score")).parquet(f"{root}/curated")
+
+
+def test_stateful_latest_goes_on_after_a_restart(spark, path):
+    """The newest export wins whenever it comes; rows without a key part stay once."""
+    root, newest = path("s"), ("exported_at", "loaded_at")
+    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    stateful_round(spark, root, [("l1", "c", D[0], 1.0, T[2]), ("l2", "c", D[1], 2.0, T[0]), ("l3", None, D[0], 3.0, T[0])], newest)
+    late = [("l1", "c", D[0], 9.0, T[1]), ("l2", "c", D[1], 8.0, dt.datetime(2023, 1, 1)), ("l4", "c", D[0], 4.0, T[0])]
+    got = stateful_round(spark, root, late, newest)
+    assert rows(got, "lead_id", "lead_score") == [("l1", 1.0), ("l2", 2.0), ("l3", 3.0), ("l4", 4.0)]
+    got = stateful_round(spark, root, [("l1", "c", D[0], 7.0, T[3])], newest)
+    assert rows(got, "lead_id", "lead_score") == [("l1", 7.0), ("l2", 2.0), ("l3", 3.0), ("l4", 4.0)]
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") == before
