@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -74,12 +74,12 @@ def check_accepted_values(models: Mapping[str, DataFrame]) -> DataFrame:
     return _of_models(models, rules)
 
 
-def check_unique_grain(models: Mapping[str, DataFrame]) -> DataFrame:
+def check_unique_grain(models: Mapping[str, DataFrame], find: Callable[..., DataFrame] = unique_grain) -> DataFrame:
     """Duplicate keys, the key's values in ``value`` and its rows as ``violations``."""
     rules = {}
     for m, keys in S.UNIQUE_GRAIN.items():
         if m in models:
-            rules[m] = unique_grain(models[m], keys).select(
+            rules[m] = find(models[m], keys).select(
                 F.lit("unique_grain").alias("check_name"),
                 F.lit(",".join(keys)).alias("column_name"),
                 F.concat_ws("|", *[F.col(k).cast("string") for k in keys]).alias("value"),
@@ -98,4 +98,5 @@ def run_checks(models: Mapping[str, DataFrame]) -> DataFrame:
         for m, df in models.items()
         if m in S.NOT_NULL or m in S.ACCEPTED_VALUES
     }
-    return _of_models(models, rules).unionByName(check_unique_grain(models))
+    found = _of_models(models, rules)
+    return found.unionByName(check_unique_grain(models)) if set(models) & set(S.UNIQUE_GRAIN) else found

@@ -19,7 +19,8 @@ from crmtide.functions.columns import (
 )
 from crmtide.operators.latest import latest_per_key
 from crmtide.operators.validate import split_valid
-from crmtide.operators.quality import run_checks
+from crmtide.operators.observed import Watched, unique_grain_by_print
+from crmtide.operators.quality import check_unique_grain, run_checks
 from crmtide.plans import silver, staging
 from crmtide.plans.marts import build_marts, pipeline_health
 from crmtide.session import ensure_utc
@@ -163,6 +164,24 @@ def build_project(spark: SparkSession, landing: Mapping[str, str], database: str
     return models
 
 
+def write_checked(spark: SparkSession, models: Mapping[str, DataFrame], database: str) -> DataFrame:
+    """Write the marts among ``models`` as tables of the database; violations of every declared rule of all models.
+
+    Null and value rules of a mart are counted by its write. Its grain is looked
+    for in the written table, by prints of the keys. Landing and staging models are
+    not written; their rules are read off them.
+    """
+    marts = {m: df for m, df in models.items() if not m.startswith(("raw_", "stg_"))}
+    found = run_checks({m: df for m, df in models.items() if m not in marts})
+    written = {}
+    for m, df in marts.items():
+        watched = Watched(df, S.NOT_NULL.get(m, ()), S.ACCEPTED_VALUES.get(m))
+        tables.materialize(watched.df, f"{database}.{m}", S.MODEL_DOCS[m])
+        written[m] = spark.table(f"{database}.{m}")
+        found = found.unionByName(watched.findings(written[m]).select(F.lit(m).alias("model"), "*"))
+    return found.unionByName(check_unique_grain(written, unique_grain_by_print))
+
+
 def check_project(spark: SparkSession, landing: Mapping[str, str], database: str) -> DataFrame:
     """Violations of every declared rule in the landing tables and the built models."""
     models = {f"raw_{name}": spark.table(table) for name, table in landing.items()}

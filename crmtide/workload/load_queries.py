@@ -21,7 +21,7 @@ from crmtide.sources import stage as stage_source
 from crmtide.sources import tables as table_source
 from crmtide.sources.bronze import read_bronze, typed_bronze
 from crmtide.streaming import ingest
-from crmtide.workload import shapes, stages
+from crmtide.workload import model_queries, shapes, stages
 
 
 def _plain(df: DataFrame) -> DataFrame:
@@ -444,6 +444,11 @@ def k16_replay_null_keys(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.schema(leads.schema).parquet(path).select(*LEAD_OUT)
 
 
+def q_observed(spark: SparkSession, d: str) -> DataFrame:
+    """Every rule of every model, counted while the marts are written."""
+    return jobs.write_checked(spark, model_queries.flawed_models(spark, d), _database(spark, "checked"))
+
+
 # Streams -----------------------------------------------------------------
 
 
@@ -566,7 +571,7 @@ QUERIES = {
         s13_batch_load_once, s14_table_scan, s16_external_table, s17_msck, p1_schema_cast,
         f1_required_invalid, f2_split_good, f2_split_bad, q4_quarantine_report, k1_append_partitioned,
         k2_quarantine, k3_export_gold, k4_partitioned_write, k5_json_write, k6_views, k7_materialize, k8_docs, k9_ddl,
-        k12_silver_records, k13_silver_activity, k14_silver_kpi, k16_upsert, k16_bucketed, k16_replay_null_keys, t1_auto_ingest, t2_change_feed,
+        k12_silver_records, k13_silver_activity, k14_silver_kpi, k16_upsert, k16_bucketed, q_observed, k16_replay_null_keys, t1_auto_ingest, t2_change_feed,
         t3_microbatch, t4_stream_upsert, t5_late_rows, t5_stateful_latest, t6_bronze_stream,
     )
 } | {f"p2_bronze_{e}": partial(p2_bronze, entity=e) for e in S.ENTITY_SCHEMAS}

@@ -292,7 +292,7 @@ def f4_snapshot_scope(spark: SparkSession, d: str) -> DataFrame:
 
 
 @shapes.planned_once
-def _dirty_models(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+def flawed_models(spark: SparkSession, d: str) -> dict[str, DataFrame]:
     """The project built from rows that break its quality rules here and there."""
 
     def number(column: str):
@@ -327,20 +327,20 @@ def _dirty_models(spark: SparkSession, d: str) -> dict[str, DataFrame]:
 
 
 def q_not_null(spark: SparkSession, d: str) -> DataFrame:
-    return quality.check_not_null(_dirty_models(spark, d)).drop("value")
+    return quality.check_not_null(flawed_models(spark, d)).drop("value")
 
 
 def q_accepted_values(spark: SparkSession, d: str) -> DataFrame:
-    return quality.check_accepted_values(_dirty_models(spark, d))
+    return quality.check_accepted_values(flawed_models(spark, d))
 
 
 def q_checks(spark: SparkSession, d: str) -> DataFrame:
     """Every rule of every model, grains included."""
-    return quality.run_checks(_dirty_models(spark, d))
+    return quality.run_checks(flawed_models(spark, d))
 
 
 def _duplicates(spark: SparkSession, d: str, model: str) -> DataFrame:
-    return quality.unique_grain(_dirty_models(spark, d)[model], S.UNIQUE_GRAIN[model])
+    return quality.unique_grain(flawed_models(spark, d)[model], S.UNIQUE_GRAIN[model])
 
 
 def q_unique_record_day(spark: SparkSession, d: str) -> DataFrame:

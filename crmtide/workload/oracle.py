@@ -727,6 +727,7 @@ ORACLE |= {
     "m3_incremental": ORACLE["m3_pipeline_health"],
     "a1_incremental": ORACLE["a1_activity_rollup"],
     "t5_stateful_latest": ORACLE["t5_late_rows"],
+    "q_observed": ORACLE["q_checks"],
     "w3_history": _entity("opportunity")
     + """, c AS (SELECT "opportunityId", cdc_timestamp AS ts, max(stage) AS stage FROM entity
           WHERE cdc_timestamp IS NOT NULL GROUP BY 1, 2),

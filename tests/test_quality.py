@@ -56,3 +56,22 @@ def test_all_rules_of_a_model_take_one_pass(spark, path):
         ("not_null", "organization_id", None, 1),
         ("unique_grain", "organization_id,kpi_date", "o|2024-01-01", 2),
     ]
+
+
+def test_rules_are_counted_by_the_write(spark, path):
+    from crmtide.operators.observed import Watched, unique_grain_by_print
+
+    rules = {"k": ["a", "b"], "v": ["x"]}
+    df = spark.createDataFrame([("a", "x", 1), ("a", "x", 1), ("c", None, 2), (None, "y", 2), ("c", "x", None)], "k string, v string, n int")
+    watched = Watched(df, ["k", "n"], rules)
+    watched.df.write.parquet(path("t"))
+    got = {tuple(r) for r in watched.findings(spark.read.parquet(path("t"))).collect()}
+    assert got == {tuple(r) for r in quality.violations(df, ["k", "n"], rules).collect()} and len(got) == 4
+    clean = Watched(df.filter("k = 'a'"), ["k", "n"], rules)
+    clean.df.write.parquet(path("clean"))
+    # Nothing is broken, so what was written is not read.
+    assert clean.findings(spark.createDataFrame([], "nothing int")).count() == 0
+    for keys in (["k"], ["k", "v"], ["n"]):
+        assert {tuple(r) for r in unique_grain_by_print(df, keys).collect()} == {tuple(r) for r in quality.unique_grain(df, keys).collect()}
+    plan = unique_grain_by_print(df, ["k", "v"])._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(_print" in plan
