@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import gc
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -104,6 +107,25 @@ def positions(
     )
 
 
+def lean(work: Callable) -> Callable:
+    """``work`` on batches, after which the worker gives back the memory it no longer uses.
+
+    A worker process is kept for later tasks; without this, every one of them
+    would hold on to the largest batch it ever saw.
+    """
+
+    @functools.wraps(work)
+    def run(batches: Iterator) -> Iterator:
+        yield from work(batches)
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+        except (OSError, AttributeError):
+            pass  # another C library: it keeps what it keeps
+
+    return run
+
+
 def hash_sample(df: DataFrame, columns: Sequence[str], rows: int) -> DataFrame:
     """The ``rows`` rows that come first in the order of a hash of ``columns``.
 

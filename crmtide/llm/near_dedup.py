@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, IntegerType
 
-from crmtide.llm.common import by_size, saved, table
+from crmtide.llm.common import by_size, lean, saved, table
 from crmtide.llm.components import components
 from crmtide.llm.words import lower_bytes, mix, sets, similar
 
@@ -21,7 +21,7 @@ COORDINATES = BANDS * ROWS
 LEAST_AGREEING = 70
 BLOCK = 256
 _EMPTY = np.uint64(2**64 - 1)
-_CHUNK = 4_000_000
+_CHUNK = 2_000_000
 
 
 def sketch(shingle_sets: Sequence[np.ndarray], size: int = COORDINATES) -> np.ndarray:
@@ -219,7 +219,7 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     """
     base = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).cast("string").alias("text"))
     schema = "id long, n long, f0 long, f1 long, bands array<long>, marks binary"
-    sketches = saved(base.mapInArrow(_sketches, schema), "sketches")
+    sketches = saved(base.mapInArrow(lean(_sketches), schema), "sketches")
     classes = (
         sketches.filter("n > 0 and id is not null")
         .groupBy("f0", "f1", "n")

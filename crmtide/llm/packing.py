@@ -15,7 +15,7 @@ import tiktoken
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crmtide.llm.common import hex_bucket, partitions, positions, saved, shuffle_key, table
+from crmtide.llm.common import hex_bucket, lean, partitions, positions, saved, shuffle_key, table
 
 CAPACITY = 1024
 END = 2
@@ -72,7 +72,7 @@ def cut_pieces(
     """
     rows = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).cast("string").alias("text"))
     schema = "id long, piece int, start long, length long, ids_crc32 long, ids binary"
-    return rows.mapInArrow(_cutter(path, capacity, with_ids), schema)
+    return rows.mapInArrow(lean(_cutter(path, capacity, with_ids)), schema)
 
 
 def best_two_fit(counts: np.ndarray, capacity: int) -> list[tuple[int, list[int]]]:

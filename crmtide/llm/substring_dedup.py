@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 from pyspark.sql.window import Window
 
-from crmtide.llm.common import WORD, by_size, forget, remove, saved, table
+from crmtide.llm.common import WORD, by_size, forget, lean, remove, saved, table
 from crmtide.llm.components import components
 from crmtide.llm.words import SHINGLE, hashed, hashes, lower_bytes, mix, shingles, similar
 
@@ -30,7 +30,7 @@ PASSAGE = 20
 #: Every run of WINDOW words that two documents share is found; its least run of SEED words tells where to look.
 WINDOW, SEED = 50, 20
 BLOCK = 512
-_CHUNK = 4_000_000
+_CHUNK = 2_000_000
 _BASE = 0x9E3779B97F4A7C15
 _STOPS = np.zeros(256, bool)
 _STOPS[list(b".!?")] = True
@@ -163,7 +163,7 @@ def _segmented(rows: DataFrame) -> DataFrame:
     """A row per text of ``rows`` with its paragraphs and seeds."""
     low = ",".join(f"{m}:long" for m in _LEAST)
     schema = f"id long, tid long, paragraphs array<struct<start:int,words:int,print:long,{low}>>, seeds array<long>"
-    return saved(rows.mapInArrow(_segmenter, schema), "paragraphs")
+    return saved(rows.mapInArrow(lean(_segmenter), schema), "paragraphs")
 
 
 def _keys(bands: Sequence[int]) -> Column:
@@ -376,7 +376,7 @@ _PLACES = "array<struct<print:long,start:int,words:int>>"
 def _read(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     """Windows and paragraphs' shingles that ``wanted`` (id, tid, seeds, places) lists, from one pass over its texts."""
     texts = rows.join(wanted, ["id", "tid"]).select("id", "tid", "text", "seeds", "places")
-    return _step(texts.mapInArrow(_reader, _READ), "read")
+    return _step(texts.mapInArrow(lean(_reader), _READ), "read")
 
 
 def _repeated(read: DataFrame) -> DataFrame:
@@ -474,7 +474,7 @@ def repeated_passages(
     )
     group = ["key", "i", "j"]
     dealt = dealt.select(*group, "block", "print", "bits", "shingles").repartition(*group).sortWithinPartitions(*group)
-    links = _step(dealt.mapInArrow(_compare, "a long, b long").distinct(), "paragraph-links")
+    links = _step(dealt.mapInArrow(lean(_compare), "a long, b long").distinct(), "paragraph-links")
     roots = components(links).withColumnRenamed("node", "print")
     placed = some.select("id", "tid", "start", "words", "print").join(roots, "print", "left")
     placed = placed.withColumn("component", F.coalesce("component", "print"))

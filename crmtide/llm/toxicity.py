@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crmtide.llm.common import by_size, hash_sample, saved, table
+from crmtide.llm.common import by_size, hash_sample, lean, saved, table
 from crmtide.llm.words import hashed, lower_bytes, mix
 
 BITS = 20
@@ -19,7 +19,7 @@ SIZE = 1 << BITS
 FIT_ROWS = 20_000
 EPOCHS = 5
 ALPHA, BETA, L1, L2 = 2.0, 1.0, 8.0, 0.1
-_CHUNK = 4_000_000
+_CHUNK = 1_000_000
 _BARE = bytes.maketrans(b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~", b" " * 31)
 
 
@@ -98,7 +98,7 @@ def fit(labelled: DataFrame, epochs: int = EPOCHS) -> tuple[np.ndarray, np.ndarr
     at, z, n = np.empty(0, np.int64), np.empty(0), np.empty(0)
     for _ in range(epochs):
         start = spark.sparkContext.broadcast((at, z, n))
-        found = rows.coalesce(1).mapInArrow(_trainer(start), "i long, z double, n double").toArrow()
+        found = rows.coalesce(1).mapInArrow(lean(_trainer(start)), "i long, z double, n double").toArrow()
         at, z, n = (found[c].to_numpy() for c in ("i", "z", "n"))
         start.destroy()
     w = weights(z, n)
@@ -109,7 +109,6 @@ def fit(labelled: DataFrame, epochs: int = EPOCHS) -> tuple[np.ndarray, np.ndarr
 
 
 def _scorer(model) -> Callable:
-    @F.pandas_udf("double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         at, w, bias = model.value
         dense = np.zeros(SIZE)
@@ -125,7 +124,7 @@ def _scorer(model) -> Callable:
             yield pd.Series(1 / (1 + np.exp(-np.clip(sums + bias, -35, 35))))
 
     # A filter on the score must not move below it: texts would be scored for the filter and again for the column.
-    return score.asNondeterministic()
+    return F.pandas_udf(lean(score), "double", F.PandasUDFType.SCALAR_ITER).asNondeterministic()
 
 
 def held_out(id_column: str, remainder: int) -> Column:
