@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -36,6 +37,8 @@ ALL_AVAILABLE = {"availableNow": True}
 ANY_AGE = {"maxFileAge": "36500d"}
 # Below a raw table, where readers of the table do not look: the files that were met.
 FILES = "_files"
+# Below a curated table, likewise: the best rows that the last micro-batch brought.
+BEST = "_best"
 # Exports: a folder names the export's scope, not the rows' tenant, so folder names are not columns.
 EXPORTS = ("churn", "lead_score")
 
@@ -224,6 +227,23 @@ def curate(
     return feed.writeStream.option("checkpointLocation", checkpoint).trigger(**trigger).foreachBatch(apply).start()
 
 
+@contextmanager
+def adaptive(spark: SparkSession) -> Iterator[None]:
+    """Adaptive execution on, as it was again afterwards.
+
+    Spark turns it off in the session of a query with state, whose shuffles must
+    keep their number. What is done with a micro-batch of its result is a batch job
+    like any other; without it every task of a write has a file in every partition.
+    """
+    name = "spark.sql.adaptive.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 
@@ -254,14 +274,15 @@ def curate_stateful(
     values = F.struct(*[c for c in feed.columns if c not in keys])
     best = feed.withColumn("_own", own).groupBy(*keys, "_own").agg(F.max_by(values, F.struct(*rank)).alias("_best"))
     columns = [F.col(c) if c in keys else F.col(f"_best.{c}").alias(c) for c in feed.columns]
+    best_rows = f"{curated_path.rstrip('/')}/{BEST}"
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        rows = batch.select(*columns).persist()
-        try:
+        with adaptive(batch.sparkSession):
+            # Written once: a merge that read the batch twice would go through the state twice.
+            batch.select(*columns).write.mode("overwrite").parquet(best_rows)
+            rows = batch.sparkSession.read.schema(feed.schema).parquet(best_rows)
             upsert(curated_path, rows, keys, partition_col, batch=(query, batch_id) if query else None, buckets=buckets)
-        finally:
-            rows.unpersist()
 
     conf = feed.sparkSession.conf
     before = conf.get(_PROVIDER)

@@ -194,3 +194,14 @@ def test_stateful_latest_goes_on_after_a_restart(spark, path):
     got = stateful_round(spark, root, [("l1", "c", D[0], 7.0, T[3])], newest)
     assert rows(got, "lead_id", "lead_score") == [("l1", 7.0), ("l2", 2.0), ("l3", 3.0), ("l4", 4.0)]
     assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") == before
+
+
+def test_stateful_latest_writes_a_partition_once(spark, path):
+    """Each touched day is one small file, not one from every task of the state."""
+    root = path("s")
+    for k in range(2):
+        data = [(f"l{i}", "c", D[i % 2], float(i), T[k] + dt.timedelta(seconds=i)) for i in range(40)]
+        got = stateful_round(spark, root, data, ("exported_at", "loaded_at"))
+        assert got.count() == 40
+        for day in D[:2]:
+            assert len(list((Path(root) / "curated" / f"feature_date={day}").glob("*.parquet"))) == 1
