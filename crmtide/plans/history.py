@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -51,20 +51,26 @@ class History:
         content = F.to_json(F.struct(*self.schema.names), {"ignoreNullFields": "false"})
         part = F.pmod(F.xxhash64(*self.keys), F.lit(self.parts)).cast("int")
         rows = changes.select(*self.schema.names).withColumns({"_id": F.sha2(content, 256), PART: part}).dropDuplicates(["_id", PART])
+        step = f"_steps/{source}.{number}"
+        # Written once: the merge reads a delivery several times, and its rows may come out of a long job.
+        rows.write.mode("overwrite").parquet(f"{self.root}/{step}")
+        rows = self.spark.read.schema(self._log_schema()).parquet(f"{self.root}/{step}")
         upsert(f"{self.root}/log", rows, ["_id", PART], PART, batch=(source, number))
         touched = [r[PART] for r in rows.select(PART).distinct().collect()]
         if touched:
             self._derive(touched)
         self.folder.note(f"_done/{source}", number)
+        self.folder.fs.delete(self.folder._at(step), True)
 
     def _derive(self, parts: Sequence[int]) -> None:
         log = self.spark.read.schema(self._log_schema()).parquet(f"{self.root}/log").filter(F.col(PART).isin(list(parts)))
         found = change_history(log.select(*self.schema.names), **self.how)
         found = found.withColumn(PART, F.pmod(F.xxhash64(*self.keys), F.lit(self.parts)).cast("int"))
+        counted = Observation()
+        found = found.observe(counted, *[F.count_if(F.col(PART) == p).alias(str(p)) for p in parts])
         out = clustered(found, [PART]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         out.partitionBy(PART).parquet(f"{self.root}/versions")
-        kept = {r[PART] for r in found.select(PART).distinct().collect()}
-        for p in set(parts) - kept:
+        for p in (p for p, n in counted.get.items() if not n):
             self.folder.fs.delete(self.folder._at(f"versions/{PART}={p}"), True)
 
     def versions(self) -> DataFrame:

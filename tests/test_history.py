@@ -98,3 +98,13 @@ def test_hot_key_windows_are_days(spark):
     df = spark.createDataFrame(records(1), SCHEMA)
     plan = change_history(df, **HOW)._jdf.queryExecution().executedPlan().toString()
     assert "_day" in plan.split("Window", 1)[1].splitlines()[0]
+
+
+def test_a_delivery_is_computed_once(spark, path):
+    read = spark.sparkContext.accumulator(0)
+    found = records(7, 40)
+    changes = spark.createDataFrame(spark.sparkContext.parallelize(found, 2).map(lambda r: read.add(1) or r), SCHEMA)
+    kept = History(spark, path("h"), SCHEMA, **HOW, parts=2)
+    kept.deliver(0, changes)
+    assert read.value == len(found)
+    assert kept.versions().count() == change_history(changes, **HOW).count()
