@@ -234,10 +234,16 @@ class Marts:
 
     def _write_down(self, step: str, records: DataFrame | None, activity: DataFrame | None, kpi: DataFrame | None) -> None:
         empty = {n: self.spark.createDataFrame([], self.schemas[n]).drop("key") for n in KEYS}
+
+        def once(name: str, df: DataFrame) -> DataFrame:
+            """Written, as what follows reads it several times; a delivery's rows may come out of a long job."""
+            df.write.mode("overwrite").parquet(f"{step}/delta-{name}")
+            return self.spark.read.schema(df.schema).parquet(f"{step}/delta-{name}")
+
         delta = {
-            "rollup": rollup_changes(activity) if activity is not None else empty["rollup"],
-            "records": record_changes(records) if records is not None else empty["records"],
-            "kpi": kpi_changes(kpi) if kpi is not None else empty["kpi"],
+            "rollup": once("rollup", rollup_changes(activity)) if activity is not None else empty["rollup"],
+            "records": once("records", record_changes(records)) if records is not None else empty["records"],
+            "kpi": once("kpi", kpi_changes(kpi)) if kpi is not None else empty["kpi"],
         }
         days = {r["day"] for df in delta.values() for r in df.select("day").distinct().collect()}
 
@@ -250,8 +256,8 @@ class Marts:
 
         groups = changed("rollup", delta["rollup"])
         touched = _added(delta["records"].unionByName(matched_changes(groups)), KEYS["records"], _OF_RECORD)
-        of_records = changed("records", touched)
-        changed("totals", day_changes(of_records))
+        of_records = changed("records", once("touched", touched))
+        changed("totals", once("totals", day_changes(of_records)))
         changed("kpi", delta["kpi"])
 
     def _rebuild(self, days: Sequence) -> None:

@@ -107,3 +107,15 @@ def test_a_delivery_reads_touched_days_only(spark, path):
     kept.deliver(1, **one)
     assert untouched and all(f.exists() and f.stat().st_mtime_ns == t for f, t in untouched.items())
     assert plain(kept.mart("pipeline_health")) == plain(expected(whole([a, one])))
+
+
+def test_a_delivery_is_computed_once(spark, path):
+    frames, read = data(spark, 4), spark.sparkContext.accumulator(0)
+
+    def counted(df):
+        return spark.createDataFrame(spark.sparkContext.parallelize(df.collect(), 2).map(lambda r: read.add(1) or r), df.schema)
+
+    kept = Marts(spark, path("m"), frames["kpi"].schema)
+    kept.deliver(0, **{n: counted(df) for n, df in frames.items()})
+    assert read.value == sum(df.count() for df in frames.values())
+    assert plain(kept.mart("pipeline_health")) == plain(expected(frames))
