@@ -10,7 +10,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crmtide.llm.common import by_size, saved, table
+from crmtide.llm.common import by_size, remove, saved, table
 from crmtide.llm.toxicity import held_out
 from crmtide.llm.words import hashed, lower_bytes
 
@@ -116,15 +116,21 @@ def _counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(words), pa.array(counts)], ["word", "c"])
 
 
+def _labeller(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The classes of each text's tokens in turn, as bytes of int32."""
+    for batch in batches:
+        token, bounds = tokens(batch.column(0).to_pylist())
+        label = classes(token)
+        yield pa.RecordBatch.from_arrays([pa.array([label[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:])], pa.binary())], ["label"])
+
+
 def _expecter(model) -> Callable:
     def expect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = model.value
         states = len(own.start)
         start, move, emit = np.zeros(states), np.zeros((states, states)), np.zeros_like(own.emit)
         for batch in batches:
-            token, bounds = tokens(batch.column(0).to_pylist())
-            label = classes(token)
-            waiting = sorted((label[a:b] for a, b in zip(bounds[:-1], bounds[1:])), key=len, reverse=True)
+            waiting = sorted((np.frombuffer(t, np.int32) for t in batch.column(0).to_pylist()), key=len, reverse=True)
             while waiting:
                 n = max(1, TOGETHER // len(waiting[0]))
                 own.expect(waiting[:n], start, move, emit)
@@ -139,8 +145,13 @@ def _expecter(model) -> Callable:
     return expect
 
 
+def labelled(texts: DataFrame) -> DataFrame:
+    """(label) of ``texts`` (text): what ``baum_welch`` reads, to be saved for all its rounds."""
+    return texts.mapInArrow(_labeller, "label binary")
+
+
 def baum_welch(texts: DataFrame, model: Model, unigram: np.ndarray) -> Model:
-    """One round over all ``texts`` (text): counts expected in each partition, summed by class."""
+    """One round over all ``texts`` (label): counts expected in each partition, summed by class."""
     spark, states = texts.sparkSession, len(model.start)
     now = spark.sparkContext.broadcast(model)
     names = [f"s{k}" for k in range(states)]
@@ -225,12 +236,15 @@ def score_texts(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     unigram = of_class / of_class.sum()
 
     model = Model.first(unigram, STATES)
+    # Words are cut and hashed once, not again in every round.
     start = training.filter(F.pmod(F.xxhash64("id", "text"), F.lit(START_SHARE)) == 0).select("text")
-    start = saved(start, "start-texts")
+    start = saved(labelled(start), "start-labels")
     for _ in range(START_ROUNDS):
         model = baum_welch(start, model, unigram)
+    whole = saved(labelled(training.select("text")), "labels")
     for _ in range(ROUNDS):
-        model = baum_welch(training.select("text"), model, unigram)
+        model = baum_welch(whole, model, unigram)
+    remove(whole)
 
     top = counts.orderBy(F.col("c").desc(), "word").limit(FREQUENT).orderBy("word").toArrow()
     logs = np.log10(top["c"].to_numpy() + 0.5)

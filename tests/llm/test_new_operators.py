@@ -540,3 +540,13 @@ def test_baum_welch_counts_equal_sums_over_all_paths():
     for a, b in zip((start, move, emit), want):
         assert np.allclose(a, b, atol=1e-12)
     assert start.sum() == pytest.approx(len(texts))
+
+
+def test_language_model_reads_its_texts_once_for_all_rounds(spark):
+    """Counting, the starting rows, the labels of all rounds and scoring: four times, however many rounds there are."""
+    read = spark.sparkContext.accumulator(0)
+    texts = [(k, f"a word{k % 7} and word{k % 3}") for k in range(40)]
+    docs = spark.createDataFrame(spark.sparkContext.parallelize(texts, 2).map(lambda r: read.add(1) or r), "doc_id long, text string")
+    docs = hmm.score_texts(docs)
+    assert read.value == 4 * len(texts)
+    assert docs.count() == len(texts)
