@@ -17,7 +17,7 @@ from crmtide.llm.words import mix
 LENGTH = 200
 #: Bytes of an anchor: every string of LENGTH bytes is filed under the least hash of so many bytes in a row in it.
 ANCHOR = 64
-#: Bytes of the strings under one anchor that are put in suffix order together; beyond, equal strings meet by their hash.
+#: Bytes of the strings under one anchor that are put in suffix order together; beyond, they are filed anew by longer ones.
 TOGETHER = 1 << 17
 #: Bytes that are worked on at once; a longer text is worked on in such parts.
 PART = 1 << 20
@@ -296,19 +296,46 @@ def _ordered(length: int, keep: str) -> Callable:
     return find
 
 
-def _strings(length: int) -> Callable:
+def _narrowed(length: int, level: int) -> Callable:
+    """Contexts cut where the anchor's first place in their strings moves on from one share of all distances to the next.
+
+    The distances from a string's start to its anchor are dealt over 2 ** ``level``
+    shares. What the strings of one share have in common is longer than the anchor,
+    by more at each level; ``key`` hashes it, and at the last level whole strings.
+    Equal pieces that are cut at once show their bytes once.
+    """
+    edges = np.arange((1 << level) + 1) * (length - ANCHOR + 1) >> level
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["id", "tid", "anchor", "seen", "key", "content", "start", "n", "bytes"]
         for batch in batches:
             raw = batch.column(6).to_pylist()
-            n, first = batch.column(4).to_numpy(), batch.column(3).to_numpy()
-            for lo, hi in chunks([len(t) for t in raw], PART):
-                bounds = np.append(0, np.cumsum([len(t) for t in raw[lo:hi]]))
+            anchor, first, n = (batch.column(c).to_numpy() for c in (2, 3, 4))
+            sizes = np.array([len(t) for t in raw], np.int64)
+            for lo, hi in chunks(sizes, PART):
+                together = b"".join(raw[lo:hi])
+                bounds = np.append(0, np.cumsum(sizes[lo:hi]))
                 row, at = _starts(bounds, n[lo:hi])
-                string = Hashes(np.frombuffer(b"".join(raw[lo:hi]), np.uint8)).of(at, at + length)
-                own = pa.array(row + lo)
+                hashes = Hashes(np.frombuffer(together, np.uint8))
+                run = hashes.runs(ANCHOR)
+                hit = np.nonzero(run == np.repeat(anchor[lo:hi].view(np.uint64), sizes[lo:hi])[: len(run)])[0]
+                place = hit[np.searchsorted(hit, at)]
+                share = np.searchsorted(edges, place - at, "right") - 1
+                new = (row[1:] != row[:-1]) | (place[1:] != place[:-1]) | (share[1:] != share[:-1])
+                head = np.nonzero(np.append(True, new))[0]
+                many = np.diff(np.append(head, len(at)))
+                row, at, place, share = row[head], at[head], place[head], share[head]
+                end = at + many - 1 + length
+                key = mix(hashes.of(place - edges[share], place - edges[share + 1] + 1 + length) + share.astype(np.uint64))
+                content = hashes.of(at, end)
+                shown = np.zeros(len(at), bool)
+                shown[np.unique(content, return_index=True)[1]] = True
+                pieces = [together[a:b] if s else None for a, b, s in zip(at, end, shown)]
                 start = (at - bounds[row] + first[lo:hi][row]).astype(np.int32)
+                own = pa.array(row + lo)
                 columns = [batch.column(c).take(own) for c in (0, 1, 2, 5)]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(start), _signed(string)], ["id", "tid", "anchor", "seen", "start", "string"])
+                columns += [_signed(key), _signed(content), pa.array(start), pa.array(many.astype(np.int32)), pa.array(pieces, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names)
 
     return cut
 
@@ -334,10 +361,14 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH, keep: str = "none") ->
     occurs twice as a whole is covered without more ado. The others under an
     anchor are put in suffix order, where longest-previous-factor arrays tell which
     strings an earlier place has, and the same from behind for later ones.
-    Where the contexts of an anchor have over ``TOGETHER`` bytes, equal strings
-    are brought together by hash instead, in combining aggregations that no
-    frequent anchor can overload. Anchors and contents are equal if two 64-bit
-    hashes are; within suffix order the bytes themselves are compared.
+    Where the contexts of an anchor have over ``TOGETHER`` bytes, they are cut in
+    pieces that have more than the anchor in common (see ``_narrowed``) and filed
+    anew under that, which parts contexts that go on differently. Pieces that
+    occur twice as a whole are covered, the others put in suffix order, and what
+    is still too large is cut again, until a piece is one string. A round makes
+    a few rows of a context, not one of each string, in combining aggregations
+    that no frequent anchor can overload. Anchors, keys and contents are equal if
+    two 64-bit hashes are; within suffix order the bytes themselves are compared.
     """
     if keep not in ("none", "first"):
         raise ValueError("keep is none or first")
@@ -364,26 +395,39 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH, keep: str = "none") ->
         pieces = pieces.dropDuplicates(["anchor", "id", "tid", "start"])
     pieces = saved(pieces, "snippets").join(several, "anchor")
     kind = "id long, tid long, start int, end int"
-    sorted_ = pieces.filter("fits").drop("fits").select("id", "tid", "anchor", "start", "n", "seen", "bytes")
-    sorted_ = sorted_.repartition("anchor").sortWithinPartitions("anchor", "id", "tid", "start")
-    by_order = sorted_.mapInArrow(_ordered(length, keep), kind)
-
-    large = pieces.filter("not fits").select("id", "tid", "anchor", "start", "n", "seen", "bytes")
-    strings = saved(large.mapInArrow(_strings(length), "id long, tid long, anchor long, seen long, start int, string long"), "strings")
-    end = (F.col("start") + length).alias("end")
+    kept = ["id", "tid", "anchor", "start", "n", "seen", "bytes"]
+    small, large = pieces.filter("fits").select(*kept), pieces.filter("not fits").select(*kept)
     place = F.struct("id", "tid", "start")
     if keep == "none":
-        twice = strings.groupBy("anchor", "string").agg(F.sum("seen").alias("n")).filter("n > 1").select("anchor", "string")
-        by_hash = strings.filter("seen = 1").join(twice, ["anchor", "string"], "left_semi")
         whole = some.join(classes.filter("seen > 1").select("anchor", "content"), ["anchor", "content"], "left_semi")
     else:
-        owners = strings.groupBy("anchor", "string").agg(F.min(place).alias("first"))
-        by_hash = strings.join(owners, ["anchor", "string"]).filter(F.col("first") < place)
         whole = some.join(classes.filter("seen > 1").select("anchor", "content", "at"), ["anchor", "content"])
         whole = whole.filter(F.struct("at.id", "at.tid", "at.start") < place)
-    by_hash = by_hash.select("id", "tid", "start", end)
+    whole = whole.select("id", "tid", "start", "n")
+    schema = "id long, tid long, anchor long, seen long, key long, content long, start int, n int, bytes binary"
+    for level in range(1, (length - ANCHOR).bit_length() + 1):
+        cut = saved(large.mapInArrow(_narrowed(length, level), schema), "narrowed")
+        if cut.isEmpty():
+            break
+        same = [F.min(c).alias(c) for c in ("anchor", "n")]
+        narrow = cut.groupBy("key", "content").agg(F.sum("seen").alias("seen"), F.min(place).alias("at"), F.max("bytes").alias("bytes"), *same)
+        narrow = saved(narrow, "narrowed-classes")
+        equal = narrow.filter("seen > 1").select("key", "content", "at")
+        if keep == "none":
+            more = cut.filter("seen = 1").join(equal, ["key", "content"], "left_semi")
+        else:
+            more = cut.join(equal, ["key", "content"]).filter(F.col("at") < place)
+        whole = whole.unionByName(more.select("id", "tid", "start", "n"))
+        size = F.col("n").cast("long") + (length - 1)
+        several = narrow.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.sum(size).alias("size")).filter("m > 1")
+        open_ = narrow.join(several.select("key", (F.col("size") <= TOGETHER).alias("fits")), "key")
+        found = ("at.id", "at.tid", "anchor", "at.start", "n", "seen", "bytes")
+        small = small.unionByName(open_.filter("fits").drop("anchor").withColumnRenamed("key", "anchor").select(*found))
+        large = open_.filter("not fits").select(*found)
+    small = small.repartition("anchor").sortWithinPartitions("anchor", "id", "tid", "start")
+    by_order = small.mapInArrow(_ordered(length, keep), kind)
     whole = whole.select("id", "tid", "start", (F.col("start") + F.col("n") + (length - 1)).alias("end"))
-    return by_order.unionByName(by_hash).unionByName(whole)
+    return by_order.unionByName(whole)
 
 
 def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -550,3 +550,27 @@ def test_language_model_reads_its_texts_once_for_all_rounds(spark):
     docs = hmm.score_texts(docs)
     assert read.value == 4 * len(texts)
     assert docs.count() == len(texts)
+
+
+@pytest.mark.parametrize("keep", ["none", "first"])
+def test_large_groups_make_a_few_rows_of_a_context(spark, monkeypatch, keep):
+    """Of one passage in all texts, on which they end alike or not, and of texts that repeat themselves."""
+    monkeypatch.setattr(suffix_dedup, "TOGETHER", 3000)
+    made = []
+    monkeypatch.setattr(suffix_dedup, "saved", lambda df, purpose: made.append((purpose, out := common.saved(df, purpose))) or out)
+    own = np.random.default_rng(3)
+    letters = lambda n: "".join(own.choice(list("abcdefgh "), n))
+    passage, ends = letters(170), [letters(60) for _ in range(4)]
+    texts = [letters(250) + passage + ends[k % 4][: own.integers(61)] + letters(250) for k in range(160)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = suffix_dedup.remove_repeats(df, keep=keep).collect()
+    rows = [(purpose, frame.count()) for purpose, frame in made if purpose != "contexts"]
+    contexts = dict(rows)["snippets"]
+    assert contexts >= 160 and sum(n for _, n in rows) < 20 * contexts
+    periods = ["xy" * 300, "xy" * 200 + letters(50) + "xy" * 150, "y" * 700, letters(30) + "y" * 300]
+    df = spark.createDataFrame(list(enumerate(texts[:40] + periods)), "doc_id long, text string").repartition(3)
+    got += suffix_dedup.remove_repeats(df, keep=keep).collect()
+    want = [expected([t.encode() for t in part], 200, keep) for part in (texts, texts[:40] + periods)]
+    at = [(r.doc_id, (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept))) for r in got]
+    assert Counter(at) == Counter((k, e) for part in want for k, e in enumerate(part))
+    assert sum(r.n_removed for r in got) > 3000
