@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -67,45 +68,36 @@ class State:
             self.n[at] += g * g
 
 
-def _trainer(start) -> Callable:
-    def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        state = State()
-        at, z, n = start.value
-        state.z[at], state.n[at] = z, n
-        for batch in batches:
-            texts, labels = (c.to_pylist() for c in batch.columns)
-            for a, b in by_size([t or "" for t in texts], _CHUNK):
-                owner, coordinate = distinct(*features(texts[a:b]))
-                ends = np.searchsorted(owner, np.arange(b - a + 1))
-                for i, label in enumerate(labels[a:b]):
-                    state.learn(coordinate[ends[i] : ends[i + 1]], int(label))
-        met = np.nonzero(state.n)[0]
-        yield pa.RecordBatch.from_arrays([pa.array(met), pa.array(state.z[met]), pa.array(state.n[met])], ["i", "z", "n"])
-
-    return train
+def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Non-zero weights, and the bias at ``SIZE``, learned from the rows in turn."""
+    state = State()
+    for batch in batches:
+        texts, labels = (c.to_pylist() for c in batch.columns)
+        for a, b in by_size([t or "" for t in texts], _CHUNK):
+            owner, coordinate = distinct(*features(texts[a:b]))
+            ends = np.searchsorted(owner, np.arange(b - a + 1))
+            for i, label in enumerate(labels[a:b]):
+                state.learn(coordinate[ends[i] : ends[i + 1]], int(label))
+    w = weights(state.z, state.n)
+    w[SIZE] = _bias(state.z[SIZE], state.n[SIZE])
+    kept = np.nonzero(w)[0]
+    yield pa.RecordBatch.from_arrays([pa.array(kept), pa.array(w[kept])], ["i", "w"])
 
 
 def fit(labelled: DataFrame, epochs: int = EPOCHS) -> tuple[np.ndarray, np.ndarray, float]:
     """(coordinates, weights, bias), non-zero weights only, of rows (id, text, label); their number must be bounded.
 
     The rule learns from one row after the other, so one task reads the rows, a
-    batch at a time, in the order of a hash. What it hands on to the next epoch
-    has two numbers per coordinate at most, whatever the data.
+    batch at a time, in the order of a hash, once per epoch. The gradient sums
+    stay in that task; what leaves it has one number per non-zero weight.
     """
-    spark = labelled.sparkSession
     rows = labelled.withColumn("turn", F.xxhash64("id")).repartition(1).sortWithinPartitions("turn", "id", "label")
-    rows = saved(rows.select("text", "label"), "labelled")
-    at, z, n = np.empty(0, np.int64), np.empty(0), np.empty(0)
-    for _ in range(epochs):
-        start = spark.sparkContext.broadcast((at, z, n))
-        found = rows.coalesce(1).mapInArrow(lean(_trainer(start)), "i long, z double, n double").toArrow()
-        at, z, n = (found[c].to_numpy() for c in ("i", "z", "n"))
-        start.destroy()
-    w = weights(z, n)
+    rows = saved(rows.select("text", "label"), "labelled").coalesce(1)
+    turns = reduce(DataFrame.unionAll, [rows] * epochs).coalesce(1)
+    found = turns.mapInArrow(lean(_train), "i long, w double").toArrow()
+    at, w = (found[c].to_numpy() for c in ("i", "w"))
     of_bias = at == SIZE
-    kept = (w != 0) & ~of_bias
-    bias = _bias(z[of_bias][0], n[of_bias][0]) if of_bias.any() else 0.0
-    return at[kept], w[kept], float(bias)
+    return at[~of_bias], w[~of_bias], float(w[of_bias].sum())
 
 
 def _scorer(model) -> Callable:

@@ -574,3 +574,16 @@ def test_large_groups_make_a_few_rows_of_a_context(spark, monkeypatch, keep):
     at = [(r.doc_id, (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept))) for r in got]
     assert Counter(at) == Counter((k, e) for part in want for k, e in enumerate(part))
     assert sum(r.n_removed for r in got) > 3000
+
+
+def test_classifier_keeps_its_sums_in_the_task(spark, monkeypatch):
+    """Nothing is broadcast between epochs, and only weights that are not zero reach the driver."""
+    rows = [(i, f"{'bad' if i % 3 else 'good'} word{i} x{i % 7}", int(i % 3 > 0)) for i in range(150)]
+    df = spark.createDataFrame(rows, "id long, text string, label int").repartition(3)
+    sent = []
+    collect = type(df).toArrow
+    monkeypatch.setattr(type(df), "toArrow", lambda frame: sent.append(out := collect(frame)) or out)
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda *_: pytest.fail("sums went through the driver"))
+    at, w, _ = toxicity.fit(df)
+    assert len(at) == len(set(at.tolist())) > 1 and (w != 0).all()
+    assert sum(len(t) for t in sent) <= len(at) + 1
