@@ -11,9 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, IntegerType
 
-from crmtide.llm.common import by_size, lean, saved, table
+from crmtide.llm.common import lean, saved, table
 from crmtide.llm.components import components
-from crmtide.llm.words import lower_bytes, mix, sets, similar
+from crmtide.llm.words import lower_bytes, lowered, mix, sets, similar
 
 BANDS, ROWS = 32, 4
 COORDINATES = BANDS * ROWS
@@ -61,9 +61,8 @@ def band_keys(coordinates: np.ndarray) -> np.ndarray:
 
 def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts = lower_bytes(batch.column(1).to_pylist())
-        for a, b in by_size(texts, _CHUNK):
-            found = sets(texts[a:b])
+        for a, b, texts in lowered(batch.column(1), _CHUNK):
+            found = sets(texts)
             coordinates = sketch(found)
             marks = (mix(coordinates) & np.uint64(255)).astype(np.uint8)
             keys = band_keys(coordinates).view(np.int64).reshape(-1)
@@ -81,12 +80,15 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-@F.pandas_udf(IntegerType())
-def _agreeing(a: pd.Series, b: pd.Series) -> pd.Series:
+def _same_marks(a: pd.Series, b: pd.Series) -> pd.Series:
     left, right = (np.frombuffer(b"".join(x), np.uint8).reshape(-1, COORDINATES) for x in (a, b))
     return pd.Series((left == right).sum(axis=1).astype(np.int32))
 
 
+# Otherwise a filter on the number counts it again, in workers of its own.
+_agreeing = F.pandas_udf(_same_marks, IntegerType()).asNondeterministic()
+
+
 @F.pandas_udf(BooleanType())
 def _verified(a: pd.Series, b: pd.Series) -> pd.Series:
     out = []

@@ -18,9 +18,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 from pyspark.sql.window import Window
 
-from crmtide.llm.common import WORD, by_size, forget, lean, remove, saved, table
+from crmtide.llm.common import WORD, forget, lean, remove, saved, table
 from crmtide.llm.components import components
-from crmtide.llm.words import SHINGLE, hashed, hashes, lower_bytes, mix, shingles, similar
+from crmtide.llm.words import SHINGLE, hashed, hashes, lowered, mix, shingles, similar
 
 #: One row a band finds a pair of similarity 0.75 with probability 1 - 0.25 ** 6 = 0.9998, equal ones always.
 BANDS = 6
@@ -119,9 +119,8 @@ def _nested(columns: dict[str, np.ndarray], owner: np.ndarray, n: int) -> pa.Lis
 def _segmenter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(id, tid, paragraphs, seeds): each paragraph's place, print and least hashes, two to a number; the windows' seeds."""
     for batch in batches:
-        raw = lower_bytes(batch.column(2).to_pylist())
-        for a, b in by_size(raw, _CHUNK):
-            words, word, ends, text_ends = _words(raw[a:b])
+        for a, b, raw in lowered(batch.column(2), _CHUNK):
+            words, word, ends, text_ends = _words(raw)
             text, start, end = _cut(words, word, ends, text_ends)
             bounds = np.append(0, text_ends)
             run, stop = shingles(word), end - SHINGLE + 1
@@ -186,9 +185,9 @@ def _reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """What is wanted of (id, tid, text, seeds, places): windows with these seeds, and the shingles of these paragraphs."""
     names = [c.split()[0] for c in _READ.split(", ")]
     for batch in batches:
-        raw, seeds, spans = lower_bytes(batch.column(2).to_pylist()), batch.column(3), batch.column(4)
-        for a, b in by_size(raw, _CHUNK):
-            word, bounds = hashed(raw[a:b])
+        seeds, spans = batch.column(3), batch.column(4)
+        for a, b, raw in lowered(batch.column(2), _CHUNK):
+            word, bounds = hashed(raw)
             of, at, seed, whole = _windows(word, bounds)
             cuts = np.searchsorted(of, np.arange(b - a + 1))
             kept = [np.empty(0, np.int64)]
@@ -497,8 +496,7 @@ def repeated_passages(
 _WORD = re.compile(WORD)
 
 
-@F.pandas_udf(StringType())
-def _without(text: pd.Series, spans: pd.Series) -> pd.Series:
+def _cut_out(text: pd.Series, spans: pd.Series) -> pd.Series:
     out = []
     for t, gone in zip(text, spans):
         begins = [m.start() for m in _WORD.finditer(t)] + [len(t)]
@@ -510,6 +508,10 @@ def _without(text: pd.Series, spans: pd.Series) -> pd.Series:
     return pd.Series(out)
 
 
+# Otherwise a filter and a length of the text cut each text again, in workers of their own.
+_without = F.pandas_udf(_cut_out, StringType()).asNondeterministic()
+
+
 def remove_passages(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``docs`` with the repeated passages cut out of their texts; a row of which no word is left goes.
 

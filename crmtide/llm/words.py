@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
+
+from crmtide.llm.common import chunks
 
 SHINGLE = 5
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -25,6 +29,12 @@ def lower_bytes(texts: Sequence[str | None]) -> list[bytes]:
     return [b"" if t is None else t.encode("utf-8", "surrogatepass").lower() for t in texts]
 
 
+def lowered(texts: pa.Array, most: int) -> Iterator[tuple[int, int, list[bytes]]]:
+    """Ranges of ``texts`` of about ``most`` bytes each, with their texts as ``lower_bytes``; only one is held at a time."""
+    for a, b in chunks(pc.binary_length(texts).fill_null(0).to_pylist(), most):
+        yield a, b, lower_bytes(texts.slice(a, b - a).to_pylist())
+
+
 def hashes(words: list[bytes]) -> np.ndarray:
     if not words:
         return np.empty(0, np.uint64)

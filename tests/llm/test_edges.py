@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import itertools
 import math
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -401,3 +403,37 @@ def test_pipeline_stages(spark, docs, tmp_path):
         kept = out
     ids = {r.doc_id for r in kept.collect()}
     assert ids <= {i for i, _, _ in TEXTS} and 2 not in ids and 8 not in ids and 6 in ids
+
+
+def test_a_text_is_cut_by_one_call(spark):
+    """Neither the filter on what is left nor its length cuts the text again."""
+    passage = " ".join(f"word{i}" for i in range(60))
+    rows = [(1, f"{passage} one", 0), (2, passage, 0), (3, f"Here stand seven words of own text. {passage}", 0)]
+    out = substring_dedup.remove_passages(spark.createDataFrame(rows, "doc_id long, text string, n_chars int"))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+    assert sorted((r.doc_id, r.text, r.n_chars) for r in out.collect()) == [(1, rows[0][1], 0), (3, "Here stand seven words of own text. ", 36)]
+
+
+@pytest.mark.parametrize("work", ["segmenter", "reader", "sketches"])
+def test_texts_of_a_batch_are_not_held_at_once(monkeypatch, work):
+    """What a task takes beyond its batch follows a chunk, not the batch."""
+    text = " ".join(f"word{i}" for i in range(2000))
+    one = pa.array([text] * 400)
+    ids, none = pa.array(range(400)), pa.nulls(400, pa.list_(pa.int64()))
+    places = pa.nulls(400, pa.list_(pa.struct([("print", pa.int64()), ("start", pa.int32()), ("words", pa.int32())])))
+    for module in (substring_dedup, near_dedup):
+        monkeypatch.setattr(module, "_CHUNK", 4 * len(text))
+    batch, task = {
+        "segmenter": (pa.RecordBatch.from_arrays([ids, ids, one], ["id", "tid", "text"]), substring_dedup._segmenter),
+        "reader": (pa.RecordBatch.from_arrays([ids, ids, one, none, places], ["id", "tid", "text", "seeds", "places"]), substring_dedup._reader),
+        "sketches": (pa.RecordBatch.from_arrays([ids, one], ["id", "text"]), near_dedup._sketches),
+    }[work]
+    tracemalloc.start()
+    try:
+        for _ in task(iter([batch])):
+            pass
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < one.nbytes
