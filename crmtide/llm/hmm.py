@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crmtide.llm.common import by_size, remove, saved, table
+from crmtide.llm.common import by_size, chunks, remove, saved, table
 from crmtide.llm.toxicity import held_out
 from crmtide.llm.words import hashed, lower_bytes
 
@@ -24,7 +25,7 @@ START_SHARE, START_ROUNDS = 8, 12
 ROUNDS = 3
 #: Words whose counts every task holds; all others are joined.
 FREQUENT = 1 << 16
-#: Tokens of texts that are counted together, padded to the longest of them; a longer text is counted alone.
+#: Tokens of texts that are counted together; a longer text is counted alone.
 TOGETHER = 1 << 19
 SMOOTH = 20_000.0
 _CHUNK = 8_000_000
@@ -71,43 +72,58 @@ class Model:
         order = np.argsort(-lengths, kind="stable")
         begins, left = bounds[:-1][order], lengths[order]
         alive = len(order) - np.searchsorted(left[::-1], np.arange(left[0] if len(left) else 0), "right")
-        out, a = np.zeros(len(order)), np.repeat(self.start[None, :], len(order), axis=0)
+        chance, onward = np.ascontiguousarray(self.emit.T), np.ascontiguousarray(self.move.T)
+        out, a = np.zeros(len(order)), np.repeat(self.start[:, None], len(order), axis=1)
         for t, n in enumerate(alive):
-            a = (a[:n] @ self.move if t else a) * self.emit[label[begins[:n] + t]]
-            scale = a.sum(axis=1)
+            a = onward @ a[:, :n] if t else a
+            a *= chance.take(label[begins[:n] + t], axis=1)
+            scale = a.sum(axis=0)
             out[:n] += np.log(scale)
-            a /= scale[:, None]
+            a /= scale
         found = np.empty(len(order))
         found[order] = out
         return found
 
     def expect(self, texts: list[np.ndarray], start: np.ndarray, move: np.ndarray, emit: np.ndarray) -> None:
-        """Adds the expected counts of whole texts, longest first, by the forward and the backward recursion."""
+        """Adds the expected counts of whole texts, longest first, by the forward and the backward recursion.
+
+        Tokens lie by step, each step's texts side by side, a row per state: no
+        place is padding, and all arithmetic runs along the texts of a step.
+        """
         lengths = np.array([len(s) for s in texts])
-        n, steps = len(texts), int(lengths[0])
-        x = np.zeros((steps, n), np.int32)
-        for i, s in enumerate(texts):
-            x[: len(s), i] = s
+        n, steps, states = len(texts), int(lengths[0]), len(self.start)
         alive = n - np.searchsorted(lengths[::-1], np.arange(steps), "right")
-        forward, scales = np.zeros((steps, n, len(self.start))), np.ones((steps, n))
+        at = np.concatenate([[0], np.cumsum(alive)])
+        x = np.empty(at[-1], np.intp)
+        for i, s in enumerate(texts):
+            x[at[: len(s)] + i] = s
+        chance, onward = np.ascontiguousarray(self.emit.T), np.ascontiguousarray(self.move.T)
+        forward, scales = np.empty((states, len(x))), np.empty(len(x))
         for t, m in enumerate(alive):
-            a = (forward[t - 1, :m] @ self.move if t else self.start) * self.emit[x[t, :m]]
-            scales[t, :m] = a.sum(axis=1)
-            forward[t, :m] = a / scales[t, :m, None]
-        backward = np.ones((n, len(self.start)))
+            own = slice(at[t], at[t] + m)
+            a = forward[:, own]
+            if t:
+                np.matmul(onward, forward[:, at[t - 1] : at[t - 1] + m], out=a)
+            else:
+                a[:] = self.start[:, None]
+            a *= chance.take(x[own], axis=1)
+            scales[own] = 1 / a.sum(axis=0)
+            a *= scales[own]
+        backward, moved = np.ones((states, n)), np.zeros((states, states))
         for t in range(steps - 1, -1, -1):
             m = alive[t]
-            seen = forward[t, :m] * backward[:m]
+            own = slice(at[t], at[t] + m)
+            forward[:, own] *= backward[:, :m]
             if t:
-                ahead = self.emit[x[t, :m]] * backward[:m] / scales[t, :m, None]
-                move += (forward[t - 1, :m].T @ ahead) * self.move
-                backward[:m] = ahead @ self.move.T
-            else:
-                start += seen.sum(axis=0)
-            forward[t, :m] = seen
-        label = x.ravel()
-        for k in range(len(self.start)):
-            emit[:, k] += np.bincount(label, forward[:, :, k].ravel(), len(emit))
+                ahead = chance.take(x[own], axis=1)
+                ahead *= backward[:, :m]
+                ahead *= scales[own]
+                moved += forward[:, at[t - 1] : at[t - 1] + m] @ ahead.T
+                np.matmul(self.move, ahead, out=backward[:, :m])
+        start += forward[:, :n].sum(axis=1)
+        move += moved * self.move
+        for k in range(states):
+            emit[:, k] += np.bincount(x, forward[k], len(emit))
 
 
 def _counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -131,10 +147,8 @@ def _expecter(model) -> Callable:
         start, move, emit = np.zeros(states), np.zeros((states, states)), np.zeros_like(own.emit)
         for batch in batches:
             waiting = sorted((np.frombuffer(t, np.int32) for t in batch.column(0).to_pylist()), key=len, reverse=True)
-            while waiting:
-                n = max(1, TOGETHER // len(waiting[0]))
-                own.expect(waiting[:n], start, move, emit)
-                waiting = waiting[n:]
+            for a, b in chunks([len(t) for t in waiting], TOGETHER):
+                own.expect(waiting[a:b], start, move, emit)
         met = np.nonzero(emit.any(axis=1))[0]
         rows = np.concatenate([start[None, :], move, emit[met]])
         kinds = np.concatenate([-1 - np.arange(states + 1), met]).astype(np.int32)
@@ -171,14 +185,15 @@ def baum_welch(texts: DataFrame, model: Model, unigram: np.ndarray) -> Model:
 def _scorer(shared) -> Callable:
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, word, logs, log_class = shared.value
+        place = pd.Index(word)
         uid = TaskContext.get().partitionId() << 40
         for batch in batches:
             token, bounds = tokens(batch.column(1).to_pylist())
             label = classes(token)
             likelihood = model.log_likelihood(label, bounds) / np.log(10)
             owner = np.repeat(np.arange(batch.num_rows), np.diff(bounds))
-            at = np.minimum(np.searchsorted(word, token), max(0, len(word) - 1))
-            frequent = word[at] == token if len(word) else np.zeros(len(token), bool)
+            at = place.get_indexer(token)
+            frequent = at >= 0
             of = lambda values, rows: np.bincount(rows, values, batch.num_rows)
             log_words = of(logs[at[frequent]], owner[frequent])
             order = np.lexsort((token[~frequent], owner[~frequent]))

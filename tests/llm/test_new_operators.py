@@ -8,6 +8,7 @@ import math
 import re
 from collections import Counter, defaultdict
 from pathlib import Path
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
@@ -542,6 +543,22 @@ def test_baum_welch_counts_equal_sums_over_all_paths():
     assert start.sum() == pytest.approx(len(texts))
 
 
+def test_long_and_short_texts_are_counted_together(monkeypatch):
+    """By their tokens alone: short texts take no room up to the length of the longest."""
+    own, expect, met = np.random.default_rng(8), hmm.Model.expect, []
+    model = hmm.Model.first(np.full(hmm.CLASSES + 1, 1 / (hmm.CLASSES + 1)), 4)
+    texts = [own.integers(0, 50, n).astype(np.int32) for n in (3000, 1, 40, 2, 700, 40)]
+    batch = pa.RecordBatch.from_arrays([pa.array([t.tobytes() for t in texts], pa.binary())], ["label"])
+    count = lambda: next(hmm._expecter(SimpleNamespace(value=model))(iter([batch]))).to_pandas()
+    monkeypatch.setattr(hmm.Model, "expect", lambda self, group, *sums: met.append(len(group)) or expect(self, group, *sums))
+    monkeypatch.setattr(hmm, "TOGETHER", sum(map(len, texts)))
+    together = count()
+    monkeypatch.setattr(hmm, "TOGETHER", 1)
+    alone = count()
+    assert met == [6] + [1] * 6
+    assert np.allclose(together, alone, rtol=1e-9)
+
+
 def test_language_model_reads_its_texts_once_for_all_rounds(spark):
     """Counting, the starting rows, the labels of all rounds and scoring: four times, however many rounds there are."""
     read = spark.sparkContext.accumulator(0)
