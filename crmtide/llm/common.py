@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import contextlib
 import ctypes
 import functools
 import gc
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
+from py4j.protocol import Py4JError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -47,9 +49,15 @@ def forget(spark: SparkSession) -> None:
     """Let Spark's cleaner delete the shuffle files of steps whose results are saved and whose frames are gone.
 
     It deletes what the driver's collectors find unused, which without a hint
-    may be long after.
+    may be long after. Each of Spark's listener queues holds on to its last
+    event, which is the end of the step with all its plan, until another comes;
+    so that the files don't stay through the next step, a query without a job
+    makes one and is waited for.
     """
     gc.collect()
+    spark.sql("SELECT 1").collect()
+    with contextlib.suppress(Py4JError):  # not a public call; without it the hint may come too early
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
     spark.sparkContext._jvm.System.gc()
 
 

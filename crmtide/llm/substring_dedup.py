@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator, Sequence
+from functools import reduce
 from operator import itemgetter
 
 import numpy as np
@@ -24,6 +25,13 @@ from crmtide.llm.words import SHINGLE, hashed, hashes, lowered, mix, shingles, s
 
 #: One row a band finds a pair of similarity 0.75 with probability 1 - 0.25 ** 6 = 0.9998, equal ones always.
 BANDS = 6
+#: Bits of a band's least hash. With 32, among the 70 million paragraphs of 6 GB one in ten would share a band by chance.
+BITS = 42
+#: The first paragraphs' hashes are kept in so many numbers, whose low bits hold the parts of the others.
+_WHOLE, _LOW = 4, 64 - BITS
+_PART = BITS * (BANDS - _WHOLE) // _WHOLE
+#: Band keys, and what shares one, are shuffled in so many turns, which need not be on disk together.
+BAND_TURNS, LINK_TURNS = 3, 2
 SENTENCE, LONG, REACH = 6, 48, 12
 #: Words in a row that must repeat for a passage to be removed.
 PASSAGE = 20
@@ -109,6 +117,16 @@ def _signature(run: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarra
     return _over(np.bitwise_or, np.uint64(1) << (run >> np.uint64(58)), start, end - SHINGLE + 1)
 
 
+_LEAST = [f"m{j}" for j in range(_WHOLE)]
+
+
+def _packed(low: Sequence[np.ndarray]) -> list[np.ndarray]:
+    """The high ``BITS`` of each band's least hash: a number for each of the first bands, with a part of a later one below."""
+    high, per = [x >> np.uint64(_LOW) for x in low], BITS // _PART
+    part = lambda j: high[_WHOLE + j // per] >> np.uint64(_PART * (per - 1 - j % per)) & np.uint64((1 << _PART) - 1)
+    return [(high[j] << np.uint64(_LOW) | part(j)).view(np.int64) for j in range(_WHOLE)]
+
+
 def _nested(columns: dict[str, np.ndarray], owner: np.ndarray, n: int) -> pa.ListArray:
     """A list of structs for each of ``n`` rows."""
     offsets = np.searchsorted(owner, np.arange(n + 1)).astype(np.int32)
@@ -129,9 +147,8 @@ def _segmenter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 "words": (end - start).astype(np.int32),
                 "print": prints(run, start, end) if len(start) else np.empty(0, np.int64),
             }
-            for j in range(0, BANDS, 2):
-                low = [_over(np.minimum, mix(run, 200 + k), start, stop) if len(start) else np.empty(0, np.uint64) for k in (j, j + 1)]
-                found[f"m{j}"] = (low[0] >> np.uint64(32) << np.uint64(32) | low[1] >> np.uint64(32)).view(np.int64)
+            low = [_over(np.minimum, mix(run, 200 + j), start, stop) if len(start) else np.empty(0, np.uint64) for j in range(BANDS)]
+            found |= dict(zip(_LEAST, _packed(low)))
             of, _, seed, _ = _windows(word, bounds)
             order = np.lexsort([seed, of])
             of, seed = of[order], seed[order]
@@ -148,9 +165,6 @@ def _segmenter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-_LEAST = [f"m{j}" for j in range(0, BANDS, 2)]
-
-
 def _step(df: DataFrame, purpose: str) -> DataFrame:
     """``df`` written down; what its shuffles took on disk is free again."""
     out = saved(df, purpose)
@@ -166,8 +180,16 @@ def _segmented(rows: DataFrame) -> DataFrame:
 
 
 def _keys(bands: Sequence[int]) -> Column:
-    half = lambda j: F.col(_LEAST[j // 2]).bitwiseAND(F.lit(0xFFFFFFFF)) if j % 2 else F.shiftrightunsigned(_LEAST[j // 2], 32)
-    return F.array(*[F.shiftleft(F.lit(j).cast("long"), 32).bitwiseOR(half(j)) for j in bands])
+    """A key for each of these bands, as ``_packed`` has laid them down; the bands of a key are told apart by its bits over ``BITS``."""
+    per = BITS // _PART
+
+    def least(j: int) -> Column:
+        if j < _WHOLE:
+            return F.shiftrightunsigned(_LEAST[j], _LOW)
+        parts = [F.col(m).bitwiseAND(F.lit((1 << _PART) - 1)) for m in _LEAST[(j - _WHOLE) * per : (j - _WHOLE + 1) * per]]
+        return reduce(lambda x, y: F.shiftleft(x, _PART).bitwiseOR(y), parts)
+
+    return F.array(*[F.lit(j << BITS).cast("long").bitwiseOR(least(j)) for j in bands])
 
 
 def _contexts(of: np.ndarray, at: np.ndarray, seed: np.ndarray, whole: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -387,14 +409,18 @@ def _repeated(read: DataFrame) -> DataFrame:
     found = read.filter("seed is not null").select("id", "tid", "start", "seed", "content", "windows")
     classes = found.groupBy("seed", "content").agg(F.min("id").alias("kept_id"), F.max("id").alias("top"))
     seeds = classes.groupBy("seed").agg(F.count(F.lit(1)).alias("k"), F.min("kept_id").alias("kept_id"), F.max("top").alias("top"))
-    named = found.join(seeds.filter("kept_id <> top").drop("top"), "seed")
-    end = F.col("start") + F.size("windows") - 1 + WINDOW
-    equal = named.filter("k = 1 and id <> kept_id").select("id", "tid", "start", end.alias("end"), "kept_id")
+    seeds = _step(seeds.filter("kept_id <> top").drop("top"), "repeated-seeds")
+    ends = found.select("id", "tid", "start", (F.col("start") + F.size("windows") - 1 + WINDOW).alias("end"), "seed")
+    equal = ends.join(seeds.filter("k = 1"), "seed").filter("id <> kept_id").select("id", "tid", "start", "end", "kept_id")
     place = F.posexplode("windows").alias("turn", "window")
-    several = named.filter("k > 1").select("id", "tid", "start", place).select("id", "tid", (F.col("start") + F.col("turn")).alias("start"), "window")
+    several = found.join(seeds.filter("k > 1"), "seed", "left_semi").select("id", "tid", "start", place)
+    several = several.select("id", "tid", (F.col("start") + F.col("turn")).alias("start"), "window")
     owners = several.groupBy("window").agg(F.min("id").alias("kept_id"), F.max("id").alias("top")).filter("kept_id <> top")
     gone = several.join(owners.drop("top"), "window").filter("id <> kept_id")
-    return equal.unionByName(gone.select("id", "tid", "start", (F.col("start") + WINDOW).alias("end"), "kept_id"))
+    gone = gone.select("id", "tid", "start", (F.col("start") + WINDOW).alias("end"), "kept_id")
+    out = _step(equal.unionByName(gone), "equal-passages")
+    remove(seeds)
+    return out
 
 
 def repeated_windows(rows: DataFrame) -> DataFrame:
@@ -410,6 +436,29 @@ def repeated_windows(rows: DataFrame) -> DataFrame:
     return runs.select("id", "tid", each, "kept_id").select("id", "tid", "start", (F.col("start") + WINDOW).alias("end"), "kept_id")
 
 
+def _members(distinct: DataFrame, bands: Sequence[int]) -> DataFrame:
+    """(print, key, blocks) of the values of these bands that several prints (print, x, y) of more than one document have."""
+    keyed = distinct.select("print", "x", "y", F.explode(_keys(bands)).alias("key"))
+    keys = keyed.groupBy("key").agg(F.min("x").alias("x"), F.max("y").alias("y"), F.count(F.lit(1)).alias("m"))
+    shared = keys.filter("x <> y and m > 1").select("key", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"))
+    return _step(keyed.select("print", "key").join(shared, "key"), "band-members")
+
+
+def _linked(members: DataFrame, read: DataFrame, turn: int) -> DataFrame:
+    """(a, b): links between prints that share a band value, of the values whose turn it is."""
+    texts = read.filter("print is not null").groupBy("print").agg(F.first("bits").alias("bits"), F.first("shingles").alias("shingles"))
+    dealt = (
+        members.filter(F.pmod(F.xxhash64("key"), F.lit(LINK_TURNS)) == turn)
+        .join(texts, "print")
+        .withColumn("block", F.pmod(F.xxhash64("print"), F.col("blocks")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
+    )
+    group = ["key", "i", "j"]
+    dealt = dealt.select(*group, "block", "print", "bits", "shingles").repartition(*group).sortWithinPartitions(*group)
+    return _step(dealt.mapInArrow(lean(_compare), "a long, b long").distinct(), "paragraph-links")
+
+
 def repeated_passages(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", least_words: int = PASSAGE
 ) -> DataFrame:
@@ -428,9 +477,10 @@ def repeated_passages(
 
     Equal paragraphs, by a 64-bit hash of their shingles, are one in all that
     follows. Those none of whose band values occurs in two documents are dropped
-    first, three bands at a time. The texts of the others and the windows worth a
+    first, two bands at a time. The texts of the others and the windows worth a
     look are read in one further pass over the documents that hold any; what
-    shares a band value is compared in blocks, so no list of pairs is made.
+    shares a band value is compared in blocks, half of the values at a time, so no
+    list of pairs is made.
     """
     rows = docs.filter(F.col(id_column).isNotNull()).select(
         F.col(id_column).cast("long").alias("id"),
@@ -441,49 +491,34 @@ def repeated_passages(
     found = parts.select("id", "tid", F.inline("paragraphs"))
     least = [F.first(m).alias(m) for m in _LEAST]
     distinct = _step(found.groupBy("print").agg(F.min("id").alias("x"), F.max("id").alias("y"), *least), "prints")
-    members = None
-    for bands in (range(0, BANDS // 2), range(BANDS // 2, BANDS)):
-        keyed = distinct.select("print", "x", "y", F.explode(_keys(bands)).alias("key"))
-        shared = keyed.groupBy("key").agg(F.min("x").alias("x"), F.max("y").alias("y")).filter("x <> y").select("key")
-        some = _step(keyed.select("print", "key").join(shared, "key", "left_semi"), "band-members")
-        members = some if members is None else members.unionByName(some)
-    several = members.groupBy("key").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
-    members = members.join(several.select("key", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks")), "key")
-    parted, members = members, _step(members, "members")
-    remove(parted)
+    members = reduce(DataFrame.unionByName, [_members(distinct, range(k, BANDS, BAND_TURNS)) for k in range(BAND_TURNS)])
     equal = distinct.filter("x <> y").select("print")
-    sharing = members.select("print").unionByName(equal).distinct()
-    some = _step(found.select("id", "tid", "start", "words", "print").join(sharing, "print", "left_semi"), "shared-paragraphs")
+    sharing = _step(members.select("print").unionByName(equal).distinct(), "sharing")
     remove(distinct)
+    some = _step(found.select("id", "tid", "start", "words", "print").join(sharing, "print", "left_semi"), "shared-paragraphs")
+    remove(sharing)
+    seeds = _step(_wanted_seeds(parts), "shared-seeds")
+    remove(parts)
 
     place = F.struct("id", "tid", "start", "words")
     compared = members.select("print").distinct()
     owners = some.join(compared, "print", "left_semi").groupBy("print").agg(F.min(place).alias("at"))
     owners = owners.select("at.id", "at.tid", F.struct("print", "at.start", "at.words").alias("one"))
     wanted = owners.groupBy("id", "tid").agg(F.collect_list("one").alias("places"))
-    wanted = _wanted_seeds(parts).join(wanted, ["id", "tid"], "full")
-    read = _read(rows, wanted)
-    remove(parts)
-    texts = read.filter("print is not null").groupBy("print").agg(F.first("bits").alias("bits"), F.first("shingles").alias("shingles"))
-    dealt = (
-        members.join(texts, "print")
-        .withColumn("block", F.pmod(F.xxhash64("print"), F.col("blocks")).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
-    )
-    group = ["key", "i", "j"]
-    dealt = dealt.select(*group, "block", "print", "bits", "shingles").repartition(*group).sortWithinPartitions(*group)
-    links = _step(dealt.mapInArrow(lean(_compare), "a long, b long").distinct(), "paragraph-links")
+    read = _read(rows, seeds.join(wanted, ["id", "tid"], "full"))
+    remove(seeds)
+    links = reduce(DataFrame.unionByName, [_linked(members, read, k) for k in range(LINK_TURNS)])
+    remove(members)
     roots = components(links).withColumnRenamed("node", "print")
     placed = some.select("id", "tid", "start", "words", "print").join(roots, "print", "left")
     placed = placed.withColumn("component", F.coalesce("component", "print"))
     owners = placed.groupBy("component").agg(F.min("id").alias("kept_id"), F.max("id").alias("top")).filter("kept_id <> top")
     gone = placed.join(owners.drop("top"), "component").filter("id <> kept_id")
     gone = gone.select("id", "tid", "start", (F.col("start") + F.col("words")).alias("end"), "kept_id")
-    gone = _step(gone, "alike-passages").unionByName(_step(_repeated(read), "equal-passages"))
-    remove(read)
+    gone = _step(gone, "alike-passages")
     remove(some)
-    remove(members)
+    gone = gone.unionByName(_repeated(read))
+    remove(read)
     by = Window.partitionBy("id", "tid").orderBy("start", "end")
     until = F.max("end").over(by.rowsBetween(Window.unboundedPreceding, -1))
     gone = gone.withColumn("new", F.coalesce((F.col("start") > until).cast("int"), F.lit(1)))
